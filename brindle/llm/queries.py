@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe
+from brindle.llm import bpe, linededup, mixing, qualityrules, secretscan
 
 
 def tokenizer_path(name: str) -> str:
@@ -32,8 +32,55 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP5_SQL = """
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM cut),
+k AS (SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT k.doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN f ON k.key = f.key GROUP BY k.doc_id
+"""
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = qualityrules.train(docs, table(spark, sf_dir, "labels"))
+    return qualityrules.judge(docs, model).select("doc_id", *qualityrules.FEATURES, "base_failed", "kept", "quality")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
+    kinds = lambda *names: F.filter("spans", lambda s: s["kind"].isin(*names))
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        *[F.size(kinds(k)).cast("long").alias(f"n_{k}") for k in secretscan.KINDS[:3]],
+        F.sha2(told(kinds(*secretscan.KINDS[:3])), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op4_mixing": op4_mixing,
+    "op5_line_dedup": op5_line_dedup,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": OP5_SQL,
+}
