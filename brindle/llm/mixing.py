@@ -126,14 +126,19 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
 
 
 def apply(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken. Rows with one id share out its copies."""
-    id, text = how.get("id", "doc_id"), how.get("text", "text")
+    """The mix itself: the rows of ``docs``, each as often as it is taken.
+
+    Rows that agree in id, source and size share out their copies, the most to the least hash of the text.
+    """
+    id, text, source = (how.get(n, d) for n, d in (("id", "doc_id"), ("text", "text"), ("source", "source")))
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    source = how.get("source", "source")
-    order = Window.partitionBy("_i", "_s", "_n").orderBy(F.lit(0))
-    taken = mix(docs, **how).select(F.col(id).alias("_i"), F.col("source").alias("_s"), F.col("size").alias("_n"), "copies")
-    taken = taken.withColumn("_k", F.row_number().over(order.orderBy(F.desc("copies"))))
-    numbered = docs.withColumns({"_i": F.col(id), "_s": F.col(source).cast("string"), "_n": size})
-    numbered = numbered.withColumn("_k", F.row_number().over(order.orderBy(F.xxhash64(text))))
-    same = numbered["_i"].eqNullSafe(taken["_i"]) & numbered["_s"].eqNullSafe(taken["_s"]) & (numbered["_n"] == taken["_n"]) & (numbered["_k"] == taken["_k"])
-    return numbered.join(taken, same).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*[numbered[c] for c in docs.columns])
+    same = ["_i", "_s", "_n"]
+    taken = staged(mix(docs, **how).select(F.col(id).alias("_i"), F.col("source").alias("_s"), F.col("size").alias("_n"), "copies"), "mix-taken")
+    ours = docs.withColumns({"_di": F.col(id), "_ds": F.col(source).cast("string"), "_dn": size})
+    on = ours["_di"].eqNullSafe(taken["_i"]) & ours["_ds"].eqNullSafe(taken["_s"]) & (ours["_dn"] == taken["_n"])
+    if not taken.groupBy(*same).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").isEmpty():
+        taken = taken.withColumn("_k", F.row_number().over(Window.partitionBy(*same).orderBy(F.desc("copies"))))
+        ours = ours.withColumn("_dk", F.row_number().over(Window.partitionBy("_di", "_ds", "_dn").orderBy(F.xxhash64(text))))
+        on = ours["_di"].eqNullSafe(taken["_i"]) & ours["_ds"].eqNullSafe(taken["_s"]) & (ours["_dn"] == taken["_n"]) & (ours["_dk"] == taken["_k"])
+    joined = ours.join(taken.where("copies > 0"), on)
+    return joined.select(*[ours[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).drop("_copy")
