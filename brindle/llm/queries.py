@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, embeddings, linededup, minhash, mixing, qualityrules, secretscan
+from brindle.llm import bpe, embeddings, linededup, minhash, mixing, qualityrules, secretscan, suffixdedup
 
 
 def tokenizer_path(name: str) -> str:
@@ -73,6 +73,27 @@ FROM k LEFT JOIN f ON k.key = f.key GROUP BY k.doc_id
 """
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP6_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+m AS (SELECT s, min(doc_id) AS lo FROM w GROUP BY s),
+hit AS (SELECT w.doc_id, w.i FROM w JOIN m ON w.s = m.s WHERE m.lo < w.doc_id),
+b AS (SELECT doc_id, i, substring(h, 2 * i + 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d)),
+g AS (SELECT b.doc_id, b.i, x, coalesce(max(hit.i) OVER (PARTITION BY b.doc_id ORDER BY b.i), -50) > b.i - 50 AS gone
+      FROM b LEFT JOIN hit ON hit.doc_id = b.doc_id AND hit.i = b.i),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM g),
+r AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+             sha256(unhex(coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE NOT gone), ''))) AS kept FROM e GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept, sha256('')) AS kept_sha256
+FROM d LEFT JOIN r ON r.doc_id = d.doc_id
+"""
+
+
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -113,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_embeddings": op7_embeddings,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,
@@ -121,5 +143,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_minhash": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
+    "op6_suffix_dedup": OP6_SQL,
     "op7_embeddings": OP7_SQL,
 }
