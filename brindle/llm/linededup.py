@@ -56,7 +56,9 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep:
     per_slice = seen.groupBy("h1", "h2", "slice").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "mark", "pos")).alias("first"))
     frequent = per_slice.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.min("first").alias("first")).where(F.col("n") >= min_docs)
 
-    hits = hashed.join(frequent.select("h1", "h2", "first"), ["h1", "h2"])
+    # Back to the lines slice by slice, so that a frequent key's lines stay dealt to many tasks.
+    spread = frequent.select("h1", "h2", "first").join(per_slice.select("h1", "h2", "slice"), ["h1", "h2"])
+    hits = cut.join(spread, ["h1", "h2", "slice"])
     if keep == "first":
         hits = hits.where(~F.col("first").eqNullSafe(F.struct("id", "mark", "pos")))
     hits = hits.select("id", "mark", "pos").distinct()
