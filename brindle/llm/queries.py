@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, embeddings, linededup, minhash, mixing, qualityrules, secretscan, suffixdedup
+from brindle.llm import bpe, embeddings, kneserney, linededup, minhash, mixing, qualityrules, secretscan, suffixdedup, urlfilter
 
 
 def tokenizer_path(name: str) -> str:
@@ -50,6 +50,21 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Fixed by the query: (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, verdict string")
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), rules)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -111,6 +126,10 @@ FROM embeddings m JOIN r ON r.a = m.vec_id LEFT JOIN n ON n.a = m.vec_id GROUP B
 """
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneserney.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = qualityrules.train(docs, table(spark, sf_dir, "labels"))
@@ -132,10 +151,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_bpe": op2_bpe,
+    "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_embeddings": op7_embeddings,
+    "op8_kneser_ney": op8_kneser_ney,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,
 }
