@@ -3,21 +3,24 @@
 A document's set of shingles gets ``COMPONENTS`` minimum hashes. The first ``CHUNKED`` keep 16 bits each and are split
 into ``CHUNKS`` chunks: two signatures that differ in at most ``2 * CHUNKS - 1`` of them have, by pigeonhole, a chunk
 with at most one error, so they agree in one of the keys that leave a single component of a chunk out. All
-components keep one bit more in a 64-bit sketch, which drops most chance meetings before any set is compared.
-
-At similarity 0.8 a component differs with chance 0.2: more than 19 of 32 do in less than one pair in 10 million, and
-more than ``SKETCH_BITS`` of 64 sketch bits in about as many. What remains is confirmed on the full sets.
+components keep one bit more in a 64-bit sketch; documents that meet in a key with close sketches get a longer one of
+``LONG`` bits. At similarity 0.8 a component differs with chance 0.2 and a bit with 0.1: more than 19 of 32, 22 of
+64 or 90 of 512 differ in less than one pair in a million. What passes is confirmed on the full sets.
 
 Rows never pair up within a key. Equal sets are one class. In a key, every class is compared with the key's smallest
 (a minimum that is combined before the shuffle and joined back, so a hot key is split); confirmed links make
-components, and only classes of one key that are then still in different components are compared with each other.
+components. Then classes of one key that are still in different components are compared, where enough of both sets
+is shared with anyone at all: a pair has no more in common than the shingles of either that a second candidate holds, which
+rules out the crowd around a hot text without looking at its pairs' sets.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm import textkernel as k
@@ -26,10 +29,14 @@ from brindle.llm.components import connected_components
 
 COMPONENTS, CHUNKED, CHUNKS = 64, 32, 10
 SKETCH_BITS = 22
+LONG, LONG_BITS = 512, 90
 _rng = np.random.default_rng(991)
 FLIPS = _rng.integers(0, 2**64, COMPONENTS, dtype=k.U)
 FACTORS = _rng.integers(0, 2**64, COMPONENTS, dtype=k.U) | k.U(1)
 TAGS = _rng.integers(0, 2**64, CHUNKED, dtype=k.U)
+LONG_FLIPS = _rng.integers(0, 2**64, LONG, dtype=k.U)
+LONG_FACTORS = _rng.integers(0, 2**64, LONG, dtype=k.U) | k.U(1)
+WORDS = [f"w{i}" for i in range(LONG // 64)]
 CHUNK_OF = np.arange(CHUNKED) * CHUNKS // CHUNKED
 
 
@@ -71,6 +78,17 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return parts, sketch
 
 
+def long_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """For sets that are not empty: one bit of ``LONG`` minimum hashes, ``(LONG // 64, sets)``."""
+    flat = np.concatenate(sets)
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
+    out = np.zeros((LONG // 64, len(sets)), k.U)
+    for j in range(LONG):
+        least = k.mix(np.minimum.reduceat((flat ^ LONG_FLIPS[j]) * LONG_FACTORS[j], at))
+        out[j // 64] |= (least & k.U(1)) << k.U(j % 64)
+    return out
+
+
 def keys_of(parts: np.ndarray) -> np.ndarray:
     """One key for each component left out of its chunk, ``(sets, CHUNKED)``."""
     codes = parts.astype(k.U) * FACTORS[:CHUNKED] * k.U(k.BASE)
@@ -111,10 +129,17 @@ def _key_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def _set_batch(n: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, sets = utf8(batch.column("text")), []
+        texts, kept, sizes, sets, words = utf8(batch.column("text")), [], [], [], []
         for i, j in slices([len(t) for t in texts]):
-            sets += [s.tobytes() for s in shingle_sets(texts[i:j], n)]
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], names=["id", "shingles"])
+            full = [(i + at, s) for at, s in enumerate(shingle_sets(texts[i:j], n)) if len(s)]
+            if full:
+                kept += [at for at, _ in full]
+                sizes += [len(s) for _, s in full]
+                words.append(long_sketches([s for _, s in full]))
+                sets += [s.tobytes() for _, s in full]
+        words = np.concatenate(words, axis=1) if words else np.zeros((LONG // 64, 0), k.U)
+        columns = [batch.column("id").take(pa.array(kept, pa.int64())), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), *[_signed(np.ascontiguousarray(w)) for w in words]]
+        return pa.RecordBatch.from_arrays(columns, names=["id", "size", "shingles", *WORDS])
 
     return run
 
@@ -135,15 +160,37 @@ def _link_batch(percent: int):
     return run
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Of ``pairs`` (``a``, ``b``) those whose full sets are as similar as asked. ``docs``: ``id``, ``text``."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = staged(map_batches(docs.join(ids, "id"), _set_batch(n), f"id {docs.schema['id'].dataType.simpleString()}, shingles binary"), "shingle-sets")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of ``pairs`` (``a``, ``b``) those whose full sets are as similar as asked. ``sets``: ``id``, ``shingles``."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     return staged(map_batches(pairs.join(left, "a").join(right, "b"), _link_batch(percent), pairs.schema), "confirmed").distinct()
 
 
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """``id``, ``shared``: how many of a set's shingles another id's set holds too. ``sets``: ``id``, ``shingles``."""
+    kind = sets.schema["id"].dataType.simpleString()
+
+    def explode(batch: pa.RecordBatch) -> pa.RecordBatch:
+        each = [np.frombuffer(b, np.int64) for b in batch.column("shingles").to_pylist()]
+        ids = batch.column("id").take(pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each])))
+        return pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(each))], names=["id", "shingle"])
+
+    rows = map_batches(sets.select("id", "shingles"), explode, f"id {kind}, shingle long")
+    held = rows.groupBy("shingle").agg(F.min("id").alias("x"), F.max("id").alias("y")).where(F.col("x") != F.col("y")).select("shingle")
+    return rows.join(held, "shingle").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def _near(x: str, y: str, words: list[str], most: int) -> Column:
+    """Whether two sketches, columns ``words`` with these endings, differ in at most ``most`` bits."""
+    return reduce(lambda a, b: a + b, [F.bit_count(F.col(w + x).bitwiseXOR(F.col(w + y))) for w in words]) <= most
+
+
+def _left_semi(x: DataFrame, y: DataFrame, condition: Column) -> DataFrame:
+    """Rows of ``x`` for which some row of ``y`` with the same ``key`` meets the condition; no pair is made."""
+    return x.join(y.withColumnRenamed("key", "key2"), (F.col("key") == F.col("key2")) & condition, "left_semi")
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -163,12 +210,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "d
     keys = map_batches(classes.select("rep", "sketch", "parts"), _key_batch, f"key long, rep {kind}, sketch long")
     least = keys.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where(F.col("center") != F.col("last")).drop("last")
     shared = staged(keys.join(least, "key"), "shared-keys")
-    near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= SKETCH_BITS
-    centers = classes.groupBy(F.col("rep").alias("center")).agg(F.collect_set("sketch").alias("center_sketches"))
-    stars = shared.where(F.col("rep") != F.col("center")).select("center", "rep", "sketch").distinct().join(centers, "center")
-    stars = stars.where(F.exists("center_sketches", lambda s: near(s, F.col("sketch")))).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = staged(stars, "star-pairs")
-    links = confirmed(stars, texts, n, percent)
+    named_as = lambda df, end: df.select("key", *[F.col(c).alias(c + end) for c in df.columns if c != "key"])
+    other = shared.select("key", "rep", "sketch")
+    meets = (F.col("rep1") != F.col("rep2")) & _near("1", "2", ["sketch"], SKETCH_BITS)
+    close = _left_semi(named_as(other, "1"), named_as(other, "2"), meets)
+    ids = close.select(F.col("rep1").alias("id")).distinct()
+    sets = staged(map_batches(texts.join(ids, "id"), _set_batch(n), f"id {kind}, size long, shingles binary, " + ", ".join(f"{w} long" for w in WORDS)), "shingle-sets")
+    sketches = sets.select(F.col("id").alias("_id"), "size", *WORDS)
+
+    stars = shared.where(F.col("rep") != F.col("center")).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
+    for end in ("a", "b"):
+        stars = stars.join(sketches.select(F.col("_id").alias(end), *[F.col(w).alias(w + end) for w in WORDS]), end)
+    stars = staged(stars.where(_near("a", "b", WORDS, LONG_BITS)).select("a", "b").distinct(), "star-pairs")
+    links = confirmed(stars, sets, percent)
 
     # An id with several texts joins their classes.
     member = named.join(classes.select(*same, "rep"), same).select("id", "rep")
@@ -180,14 +234,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "d
     # Classes that share a key and whose components still differ; what was compared before is left out.
     placed = shared.join(found, shared["rep"] == found["node"], "left").select("key", "rep", "sketch", F.coalesce("component", "rep").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(F.col("x") != F.col("y")).select("key")
-    placed = staged(placed.join(mixed, "key"), "mixed-keys")
-    x, y = (placed.select("key", *[F.col(c).alias(c + s) for c in ("rep", "sketch", "component")]) for s in "12")
-    rest = x.join(y, "key").where((F.col("rep1") < F.col("rep2")) & (F.col("component1") != F.col("component2")) & near(F.col("sketch1"), F.col("sketch2")))
+    placed = staged(placed.join(mixed, "key").join(sketches, F.col("rep") == F.col("_id")).drop("_id"), "mixed-keys")
+    apart = (F.col("component1") != F.col("component2")) & _near("1", "2", ["sketch"], SKETCH_BITS) & _near("1", "2", WORDS, LONG_BITS)
+    left = _left_semi(named_as(placed, "1"), named_as(placed, "2"), apart).select(F.col("rep1").alias("id")).distinct()
+    sizes = staged(shared_sizes(sets.join(left, "id", "left_semi")), "shared-sizes")
+    placed = placed.join(sizes.select(F.col("id").alias("rep"), "shared"), "rep")
+    enough = F.least("shared1", "shared2") * (100 + percent) >= percent * (F.col("size1") + F.col("size2"))
+    x, y = named_as(placed, "1"), named_as(placed, "2").withColumnRenamed("key", "key2")
+    rest = x.join(y, (F.col("key") == F.col("key2")) & (F.col("rep1") < F.col("rep2")) & enough & apart)
     rest = rest.select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
     rest = staged(rest, "rest-pairs")
     if not rest.isEmpty():
-        more = confirmed(rest, texts, n, percent)
-        found = connected_components(links.union(more))
+        found = connected_components(links.union(confirmed(rest, sets, percent)))
 
     component = classes.join(found, classes["rep"] == found["node"], "left").select(*same, F.coalesce("component", "rep").alias("component"))
     linked = rows.where(F.col("id").isNotNull()).join(component, same, "left").select("id", "n", F.coalesce("component", "id").alias("component"))
