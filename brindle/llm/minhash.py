@@ -5,10 +5,10 @@ into ``CHUNKS`` chunks: two signatures that differ in at most ``2 * CHUNKS - 1``
 with at most one error, so they agree in one of the keys that leave a single component of a chunk out. All
 components keep one bit more in a 64-bit sketch; documents that meet in a key with close sketches get a longer one of
 ``LONG`` bits. At similarity 0.8 a component differs with chance 0.2 and a bit with 0.1: more than 19 of 32, 22 of
-64 or 90 of 512 differ in less than one pair in a million. What passes is confirmed on the full sets.
+64 or 148 of 1024 differ in less than one pair in a million. What passes is confirmed on the full sets.
 
-Rows never pair up within a key. Equal sets are one class. In a key, every class is compared with the key's smallest
-(a minimum that is combined before the shuffle and joined back, so a hot key is split); confirmed links make
+Rows never pair up within a key. Equal sets are one class. In a key, every class is compared with up to four centers
+(least and greatest ones, combined before the shuffle and joined back, so a hot key is split); confirmed links make
 components. Then classes of one key that are still in different components are compared, where enough of both sets
 is shared with anyone at all: a pair has no more in common than the shingles of either that a second candidate holds, which
 rules out the crowd around a hot text without looking at its pairs' sets.
@@ -29,7 +29,7 @@ from brindle.llm.components import connected_components
 
 COMPONENTS, CHUNKED, CHUNKS = 64, 32, 10
 SKETCH_BITS = 22
-LONG, LONG_BITS = 512, 90
+LONG, LONG_BITS = 1024, 148
 _rng = np.random.default_rng(991)
 FLIPS = _rng.integers(0, 2**64, COMPONENTS, dtype=k.U)
 FACTORS = _rng.integers(0, 2**64, COMPONENTS, dtype=k.U) | k.U(1)
@@ -208,7 +208,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "d
     classes = staged(named.groupBy(*same).agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"), F.first("parts").alias("parts")), "classes")
 
     keys = map_batches(classes.select("rep", "sketch", "parts"), _key_batch, f"key long, rep {kind}, sketch long")
-    least = keys.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where(F.col("center") != F.col("last")).drop("last")
+    least = keys.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where(F.col("center") != F.col("last")).select("key")
     shared = staged(keys.join(least, "key"), "shared-keys")
     named_as = lambda df, end: df.select("key", *[F.col(c).alias(c + end) for c in df.columns if c != "key"])
     other = shared.select("key", "rep", "sketch")
@@ -218,7 +218,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "d
     sets = staged(map_batches(texts.join(ids, "id"), _set_batch(n), f"id {kind}, size long, shingles binary, " + ", ".join(f"{w} long" for w in WORDS)), "shingle-sets")
     sketches = sets.select(F.col("id").alias("_id"), "size", *WORDS)
 
-    stars = shared.where(F.col("rep") != F.col("center")).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
+    drawn = F.xxhash64("rep")
+    centers = shared.groupBy("key").agg(F.min("rep").alias("c1"), F.max("rep").alias("c2"), F.min_by("rep", drawn).alias("c3"), F.max_by("rep", drawn).alias("c4"))
+    centers = centers.select("key", F.explode(F.array_distinct(F.array("c1", "c2", "c3", "c4"))).alias("center"))
+    stars = shared.join(centers, "key").where(F.col("rep") != F.col("center")).select(F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).distinct()
     for end in ("a", "b"):
         stars = stars.join(sketches.select(F.col("_id").alias(end), *[F.col(w).alias(w + end) for w in WORDS]), end)
     stars = staged(stars.where(_near("a", "b", WORDS, LONG_BITS)).select("a", "b").distinct(), "star-pairs")
