@@ -30,7 +30,7 @@ from brindle.llm.common import map_batches, staged
 Q = 20
 CHUNK = 2 << 20
 BLOCK = 1 << 18
-#: Bytes of text to a range of hashes, at least; there are also at least twice as many ranges as shuffle partitions.
+#: Bytes of text to a range of hashes, at least; there are also at least four times as many ranges as shuffle partitions.
 RANGE_BYTES = 32 << 20
 NO_ID = np.iinfo(np.int64).max
 SENT = "range long, chunk long, z binary, doc binary, start binary, wide binary, bytes binary"
@@ -46,15 +46,23 @@ def _unzip(b: bytes, kind=None):
     return raw if kind is None else np.frombuffer(raw, kind)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers byte by byte of equal weight, compressed."""
+    return _zip(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T))
+
+
+def _from_planes(b: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(_unzip(b, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as differences, byte by byte of equal weight, compressed."""
-    steps = np.diff(values, prepend=k.U(0))
-    return _zip(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T))
+    """Sorted 64-bit numbers as differences."""
+    return _planes(np.diff(values, prepend=k.U(0)))
 
 
 def unpack_sorted(b: bytes) -> np.ndarray:
-    planes = _unzip(b, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(k.U).ravel(), dtype=k.U)
+    return np.cumsum(_from_planes(b, k.U), dtype=k.U)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,6 +130,12 @@ class Chunk:
         return tuple(np.concatenate([p[i] for p in parts]) for i in range(5))
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One at a time: a row holds a chunk."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _stored(row: dict, length: int) -> Chunk:
     return Chunk(row["ids"], row["sizes"], row["raw"], length)
 
@@ -150,7 +164,7 @@ def _short(z: np.ndarray, ids: np.ndarray, drop: int) -> tuple[np.ndarray, np.nd
 def _send_hashes(length: int, ranges: int, drop: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 c = _stored(row, length)
                 z, doc, *_ = c.runs()
                 short, shared = _short(z, c.ids[doc], drop)
@@ -186,7 +200,7 @@ def _pieces(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _send_stretches(length: int, ranges: int, drop: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 c = _stored(row, length)
                 z, doc, start, count, _ = c.runs()
                 ids = c.ids[doc]
@@ -203,7 +217,7 @@ def _send_stretches(length: int, ranges: int, drop: int):
                     continue
                 size = count + length - 1
                 # A stretch that a smaller document of this chunk holds too is settled here.
-                h = np.concatenate([k.Substrings(c.buf[a : a + (16 << 20)]).hashes(start[i:j] - a, start[i:j] + size[i:j] - a) for a, i, j in _sections(start, size)])
+                h = _hashes(c.buf, start, size)
                 same = np.lexsort((ids, h, z))
                 new = np.concatenate([[True], (z[same][1:] != z[same][:-1]) | (h[same][1:] != h[same][:-1])])
                 least = ids[same][np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -217,19 +231,21 @@ def _send_stretches(length: int, ranges: int, drop: int):
                 kept = kept[o]
                 for a, e in zip(cut, end, strict=True):
                     i = kept[a:e]
-                    rows.append({"range": int(part[a]), "chunk": row["chunk"], "z": z[i].tobytes(), "doc": ids[i].tobytes(), "start": start[i].astype(np.int64).tobytes(), "wide": count[i].astype(np.uint8).tobytes(), "bytes": _zip(_pieces(c.buf, start[i], size[i]))})
+                    rows.append({"range": int(part[a]), "chunk": row["chunk"], "z": pack_sorted(z[i]), "doc": _planes(ids[i]), "start": _planes(start[i].astype(np.int64)), "wide": _planes(count[i].astype(np.uint8)), "bytes": _zip(_pieces(c.buf, start[i], size[i]))})
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("range", pa.int64()), ("chunk", pa.int64()), *[(n, pa.binary()) for n in ("z", "doc", "start", "wide", "bytes")]]))
 
     return run
 
 
-def _sections(start: np.ndarray, size: np.ndarray, most: int = 8 << 20):
-    """Runs of stretches that lie within ``most`` bytes and one more: (offset, first, after the last)."""
-    i = 0
+def _hashes(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Of stretches in ascending order, section by section of the buffer."""
+    out, i = np.zeros(len(start), k.U), 0
     while i < len(start):
-        j = int(np.searchsorted(start, start[i] + most, side="left"))
-        yield int(start[i]), i, j
+        a = int(start[i])
+        j = int(np.searchsorted(start, a + BLOCK, side="left"))
+        out[i:j] = k.Substrings(buf[a : a + BLOCK + 512]).hashes(start[i:j] - a, start[i:j] - a + size[i:j])
         i = j
+    return out
 
 
 def _merge(start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -262,13 +278,15 @@ def _settle(length: int):
             else:
                 sent.append(row)
         if sent:
-            z, doc, start = (np.concatenate([np.frombuffer(r[n], t) for r in sent]) for n, t in (("z", k.U), ("doc", np.int64), ("start", np.int64)))
-            count = np.concatenate([np.frombuffer(r["wide"], np.uint8) for r in sent]).astype(np.int64)
-            chunk = np.repeat(np.array([r["chunk"] for r in sent], np.int64), [len(r["wide"]) for r in sent])
+            z = [unpack_sorted(r["z"]) for r in sent]
+            chunk = np.repeat(np.array([r["chunk"] for r in sent], np.int64), [len(x) for x in z])
+            z = np.concatenate(z)
+            doc, start, count = (np.concatenate([_from_planes(r[n], t) for r in sent]) for n, t in (("doc", np.int64), ("start", np.int64), ("wide", np.uint8)))
+            count = count.astype(np.int64)
             buf = np.frombuffer(b"".join(_unzip(r["bytes"]) for r in sent), np.uint8)
             size = count + length - 1
             at = np.cumsum(size) - size
-            h = np.concatenate([k.Substrings(buf[a : a + (16 << 20)]).hashes(at[i:j] - a, at[i:j] + size[i:j] - a) for a, i, j in _sections(at, size)])
+            h = _hashes(buf, at, size)
             # The bucket refined by whole stretches.
             order = np.lexsort((doc, h, z))
             z, doc, start, count, chunk, size, at, h = (x[order] for x in (z, doc, start, count, chunk, size, at, h))
@@ -320,7 +338,7 @@ def _settle(length: int):
 def _names(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """``window_buckets`` of windows in ascending or any order, section by section of the buffer."""
     out = np.zeros(len(at), k.U)
-    most = 4 << 20
+    most = BLOCK
     section = at // most
     order = np.argsort(section, kind="stable")
     cut = np.searchsorted(section[order], np.arange(section.max() + 2)) if len(at) else [0, 0]
@@ -334,7 +352,7 @@ def _names(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 def _apply(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 c = _stored(row, length)
                 missing = _unzip(row["missing"], bool)
                 mark = np.zeros(len(c.buf) + 1, np.int32)
@@ -370,7 +388,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id: str = "doc_id", text:
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     chunks = staged(texts.mapInArrow(_chunks, "chunk long, n_bytes long, ids binary, missing binary, sizes binary, raw binary"), "chunks")
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
-    ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+    ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
     drop = max(0, 64 - max(40, int(total).bit_length() + 12))
 
     hashes = chunks.select("chunk", "ids", "sizes", "raw").mapInArrow(_send_hashes(length, ranges, drop), "range long, chunk long, hashes binary, shared binary")
