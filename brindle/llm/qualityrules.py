@@ -141,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id: st
     known = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).groupBy(id).agg(F.min(label).alias("y")).withColumn("order", order)
     sample = known.orderBy("order", id).limit(how.rows)
     rows = docs.select(F.col(id), F.col(text).alias("text")).join(F.broadcast(sample), id)
-    got = map_batches(rows.select("text", F.col("y").cast("double").alias("y"), "order"), _slots, "y double, order long, slots binary, shares binary").toPandas()
+    got = map_batches(rows.select("text", F.col("y").cast("double").alias("y"), "order"), _slots, "y double, order long, slots binary, shares binary").toArrow().to_pandas()
     got = got.sort_values(["order", "slots"], kind="stable")
     y = (got["y"].to_numpy() > 0).astype(np.float64)
     if len(set(y)) < 2:
