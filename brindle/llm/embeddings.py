@@ -59,9 +59,10 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The smallest node reachable from each of ``n`` nodes."""
     root = np.arange(n)
     while len(a):
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
+        x, y = root[a], root[b]
+        low = np.minimum(x, y)
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
         while not np.array_equal(root[root], root):
             root = root[root]
         differ = root[a] != root[b]
