@@ -95,17 +95,19 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+o AS (SELECT doc_id, b, substring(h, 512 * b + 1, 610) AS h FROM (SELECT doc_id, h, unnest(range(0, length(h) // 512 + 1)) AS b FROM d)),
+w AS (SELECT doc_id, 256 * b + j AS i, substring(h, 2 * j + 1, 100) AS s FROM (SELECT *, unnest(range(0, 256)) AS j FROM o) WHERE length(h) >= 2 * j + 100),
 m AS (SELECT s, min(doc_id) AS lo FROM w GROUP BY s),
 hit AS (SELECT w.doc_id, w.i FROM w JOIN m ON w.s = m.s WHERE m.lo < w.doc_id),
-b AS (SELECT doc_id, i, substring(h, 2 * i + 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d)),
-g AS (SELECT b.doc_id, b.i, x, coalesce(max(hit.i) OVER (PARTITION BY b.doc_id ORDER BY b.i), -50) > b.i - 50 AS gone
-      FROM b LEFT JOIN hit ON hit.doc_id = b.doc_id AND hit.i = b.i),
-e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM g),
-r AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
-             sha256(unhex(coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE NOT gone), ''))) AS kept FROM e GROUP BY doc_id)
-SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept, sha256('')) AS kept_sha256
-FROM d LEFT JOIN r ON r.doc_id = d.doc_id
+p AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM hit),
+g AS (SELECT doc_id, i, count(*) FILTER (WHERE before IS NULL OR i > before + 50) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM p),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM g GROUP BY doc_id, g),
+gaps AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM spans
+         UNION ALL SELECT s.doc_id, max(z), max(length(h) // 2) FROM spans s JOIN d ON d.doc_id = s.doc_id GROUP BY s.doc_id),
+kept AS (SELECT d.doc_id, sha256(unhex(string_agg(substring(h, 2 * f + 1, 2 * (t - f)), '' ORDER BY f))) AS kept FROM gaps JOIN d ON d.doc_id = gaps.doc_id GROUP BY d.doc_id),
+n AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept, sha256(unhex(h))) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
