@@ -218,10 +218,11 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "d
     sets = staged(map_batches(texts.join(ids, "id"), _set_batch(n), f"id {kind}, size long, shingles binary, " + ", ".join(f"{w} long" for w in WORDS)), "shingle-sets")
     sketches = sets.select(F.col("id").alias("_id"), "size", *WORDS)
 
-    drawn = F.xxhash64("rep")
-    centers = shared.groupBy("key").agg(F.min("rep").alias("c1"), F.max("rep").alias("c2"), F.min_by("rep", drawn).alias("c3"), F.max_by("rep", drawn).alias("c4"))
-    centers = centers.select("key", F.explode(F.array_distinct(F.array("c1", "c2", "c3", "c4"))).alias("center"))
-    stars = shared.join(centers, "key").where(F.col("rep") != F.col("center")).select(F.least("center", "rep").alias("a"), F.greatest("center", "rep").alias("b")).distinct()
+    drawn, one = F.xxhash64("rep"), F.struct("rep", "sketch")
+    centers = shared.groupBy("key").agg(F.array_distinct(F.array(F.min(one), F.max(one), F.min_by(one, drawn), F.max_by(one, drawn))).alias("centers"))
+    centers = centers.select(F.col("key").alias("key2"), F.explode("centers").alias("c")).select("key2", F.col("c.rep").alias("rep2"), F.col("c.sketch").alias("sketch2"))
+    stars = named_as(other, "1").join(centers, (F.col("key") == F.col("key2")) & meets)
+    stars = stars.select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
     for end in ("a", "b"):
         stars = stars.join(sketches.select(F.col("_id").alias(end), *[F.col(w).alias(w + end) for w in WORDS]), end)
     stars = staged(stars.where(_near("a", "b", WORDS, LONG_BITS)).select("a", "b").distinct(), "star-pairs")
