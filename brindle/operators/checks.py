@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.columns import all_matches, at, first_match, hours_between, seconds_between, short_message, test_name, without_escapes
+from brindle.operators.loads import compare
 
 HOURS = 25.0
 
@@ -51,6 +52,11 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     return no_rows(child.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_parent"), "left_anti"), name or f"relationships_{column}")
 
 
+def matches(actual: DataFrame, expected: DataFrame, name: str = "matches") -> DataFrame:
+    """A model's unit test: failures are the rows that only one side has; only the expected columns are compared."""
+    return no_rows(compare(actual.select(*expected.columns), expected), name)
+
+
 def column_count(df: DataFrame, n: int, name: str = "column_count") -> DataFrame:
     return _result(df.limit(0).agg(F.count(F.lit(1))).select(F.lit(0 if len(df.columns) == n else 1).alias("failures")), name)
 

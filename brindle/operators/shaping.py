@@ -36,3 +36,19 @@ def compact(df: DataFrame, path: str, files: int) -> None:
 
 def analyze(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+
+
+def maintain(candidates: DataFrame, folder: str, files: int = 1) -> list[str]:
+    """Work off maintenance candidates, the worst first: each table's content is written again to ``folder`` as few files
+    and its statistics are made. A candidate that is no table of the session's catalog is left out. What was done.
+
+    The candidates are a list of tables, not data, and are walked on the driver.
+    """
+    spark, done = candidates.sparkSession, []
+    for schema, table in candidates.select("schemaname", "relname").collect():
+        name = f"`{schema}`.`{table}`"
+        if spark.catalog.tableExists(name):
+            compact(spark.table(name), f"{folder}/{schema}.{table}", files)
+            analyze(spark, name)
+            done.append(name)
+    return done

@@ -41,6 +41,12 @@ def read_resources(spark: SparkSession, folder: str, resources: dict[str, Struct
     return {name: read_json_landing(spark, f"{folder}/{name}", schema) for name, schema in resources.items()}
 
 
+def read_test_results(spark: SparkSession, path: str) -> DataFrame:
+    """``unique_id``, ``status``, ``message`` of JSON documents that each hold a list ``results``."""
+    schema = "results array<struct<unique_id: string, status: string, message: string>>"
+    return spark.read.option("multiLine", True).schema(schema).json(path).select(F.inline("results"))
+
+
 def read_seed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Reference data as CSV with a header."""
     return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)

@@ -249,3 +249,26 @@ def test_compaction(spark, sf_dir, tmp_path):
     df = scans.source(spark, sf_dir, "orders").repartition(8)
     shaping.compact(df, str(tmp_path / "c"), 2)
     assert len(list((tmp_path / "c").glob("*.parquet"))) == 2
+
+
+def test_maintenance_job(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS staging")
+    spark.range(50).repartition(5).write.mode("overwrite").saveAsTable("staging.wide")
+    stats = spark.createDataFrame([("staging", "wide", 5), ("staging", "gone", 9), ("staging", "clean", 0), ("other", "x", 9)], "schemaname string, relname string, n_dead long")
+    candidates = shaping.maintenance_candidates(stats, ["staging"])
+    assert [r.command for r in candidates.collect()][1] == "ANALYZE TABLE `staging`.`wide` COMPUTE STATISTICS;"
+    assert shaping.maintain(candidates, str(tmp_path)) == ["`staging`.`wide`"]
+    assert len(list((tmp_path / "staging.wide").glob("*.parquet"))) == 1
+
+
+def test_results_document(spark, tmp_path):
+    (tmp_path / "run_results.json").write_text('{"results": [{"unique_id": "test.dw.nn_x.1", "status": "fail", "message": "Got 1 result, configured"}, {"unique_id": "test.dw.u.2", "status": "pass", "message": null}]}')
+    report = checks.test_report(scans.read_test_results(spark, str(tmp_path))).first()
+    assert (report.total, report.failed) == (2, 1) and report.report.endswith("nn_x - Got 1 result")
+
+
+def test_model_unit_test(spark):
+    actual = spark.createDataFrame([(1, "a", 9), (2, "b", 9)], "id long, s string, other long")
+    right = spark.createDataFrame([(2, "b"), (1, "a")], "id long, s string")
+    assert checks.matches(actual, right).first().passed
+    assert checks.matches(actual, right.where("id = 1")).first().failures == 1
