@@ -32,7 +32,7 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
     Sources in the order of their code points, null last, weigh ``weights`` in turn and share ``share`` of all sizes.
     A target stops at ``most`` times its source's size and what is cut is shared again by weight among those that
     have not stopped, until none is above: as many passes as sources stop in turn, each one sum over the sources.
-    A source of size 0 has target 0.
+    A source of size 0 has target 0. Sources are put in order in one task: a row for each source, not for each document.
     """
     ranked = sources.withColumn("_rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
     ranked = staged(ranked.withColumn("_weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))), "mix-sources")

@@ -104,10 +104,10 @@ def segment(labels: DataFrame, lexicon: DataFrame) -> DataFrame:
     return cut.union(distinct.where(~fit).select("label", F.array("label")))
 
 
-def tokens(urls: DataFrame, lexicon: DataFrame, structure: list[str]) -> DataFrame:
+def tokens(urls: DataFrame, lexicon: DataFrame, structure: DataFrame) -> DataFrame:
     """``host``, ``path``, ``token`` for every word of distinct urls; numbers are one token, words in ``structure`` none.
 
-    ``structure`` holds the words that rules name: they tell which rule fits, not what a site is like.
+    ``structure`` (``word``) holds those that rules name: they tell which rule fits, not what a site is like.
     """
     parts = F.filter(F.split("host", r"[.\-_:@]+", -1), lambda s: s != "")
     labels = urls.select("host", F.explode(parts).alias("label")).distinct()
@@ -115,7 +115,8 @@ def tokens(urls: DataFrame, lexicon: DataFrame, structure: list[str]) -> DataFra
     of_host = words.groupBy("host").agg(F.collect_list(F.concat(F.lit("host:"), "token")).alias("host_tokens"))
     of_path = F.transform(F.filter(F.split(F.lower("path"), r"[^\p{L}\p{N}]+", -1), lambda s: s != ""), lambda s: F.concat(F.lit("path:"), F.when(s.rlike(r"^\d+$"), "#").otherwise(s)))
     both = urls.join(of_host, "host", "left").select("host", "path", F.explode(F.concat(F.coalesce("host_tokens", F.array()), of_path)).alias("token"))
-    return both.where(~F.substring("token", 6, 1000).isin(structure)) if structure else both
+    named = structure.select(F.explode(F.array(F.concat(F.lit("host:"), "word"), F.concat(F.lit("path:"), "word"))).alias("token"))
+    return both.join(named, "token", "left_anti")
 
 
 def bayes_weights(tokens: DataFrame, classes: DataFrame) -> tuple[DataFrame, float, float]:
@@ -143,9 +144,8 @@ def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "u
     rows = pages.select(F.col(id), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     urls = staged(match_rules(rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")), rules), "urls")
     words = staged(lexicon(pages.select(html), html), "lexicon")
-    named = rules.select(F.explode(F.split(F.lower(F.concat_ws("/", "rule_host", "rule_path")), r"[^\p{L}\p{N}]+")).alias("w")).where("w <> ''").distinct()
-    structure = sorted(r[0] for r in named.collect())
-    found = staged(tokens(urls.select("host", "path"), words, structure), "url-tokens")
+    named = rules.select(F.explode(F.split(F.lower(F.concat_ws("/", "rule_host", "rule_path")), r"[^\p{L}\p{N}]+")).alias("word")).where("word <> ''").distinct()
+    found = staged(tokens(urls.select("host", "path"), words, named), "url-tokens")
     ruled = urls.where(F.col("ruled").isNotNull())
     weights, unseen, prior = bayes_weights(found, ruled.select("host", "path", "ruled", "n"))
     free = urls.where(F.col("ruled").isNull()).select("host", "path")

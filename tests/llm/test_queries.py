@@ -11,7 +11,7 @@ def test_query_equals_its_sql(spark, sf_dir, name):
     assert_same(QUERIES[name](spark, sf_dir), ORACLES[name], sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys()))
 def test_one_row_for_each_input_row(spark, sf_dir, name):
     table = {"op3_url_filter": "pages", "op7_embeddings": "embeddings"}.get(name, "documents")
     out = QUERIES[name](spark, sf_dir)
