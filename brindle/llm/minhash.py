@@ -215,7 +215,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "d
     meets = (F.col("rep1") != F.col("rep2")) & _near("1", "2", ["sketch"], SKETCH_BITS)
     close = _left_semi(named_as(other, "1"), named_as(other, "2"), meets)
     ids = close.select(F.col("rep1").alias("id")).distinct()
-    sets = staged(map_batches(texts.join(ids, "id"), _set_batch(n), f"id {kind}, size long, shingles binary, " + ", ".join(f"{w} long" for w in WORDS)), "shingle-sets")
+    # A repeated row counts once from here on.
+    once = texts.withColumn("mark", F.xxhash64("text")).join(ids, "id").dropDuplicates(["id", "mark"]).select("id", "text")
+    sets = staged(map_batches(once, _set_batch(n), f"id {kind}, size long, shingles binary, " + ", ".join(f"{w} long" for w in WORDS)), "shingle-sets")
     sketches = sets.select(F.col("id").alias("_id"), "size", *WORDS)
 
     drawn, one = F.xxhash64("rep"), F.struct("rep", "sketch")
