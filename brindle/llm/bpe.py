@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from brindle.llm.common import replace_columns, with_fields
 
 #: Pieces whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED_PIECES = 600_000
+REMEMBERED_PIECES = 200_000
 NONE = np.iinfo(np.int64).max
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -178,7 +178,7 @@ def _parsed(definition: str) -> WordBpe:
     return WordBpe(definition)
 
 
-def _small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
