@@ -10,7 +10,6 @@ source's words miss its target by less than one document.
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
