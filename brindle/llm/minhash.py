@@ -5,7 +5,7 @@ into ``CHUNKS`` chunks: two signatures that differ in at most ``2 * CHUNKS - 1``
 with at most one error, so they agree in one of the keys that leave a single component of a chunk out. All
 components keep one bit more in a 64-bit sketch; documents that meet in a key with close sketches get a longer one of
 ``LONG`` bits. At similarity 0.8 a component differs with chance 0.2 and a bit with 0.1: more than 19 of 32, 22 of
-64 or 148 of 1024 differ in less than one pair in a million. What passes is confirmed on the full sets.
+64 or 148 of 1024 differ in fewer than three pairs in a million together. What passes is confirmed on the full sets.
 
 Rows never pair up within a key. Equal sets are one class. In a key, every class is compared with up to four centers
 (least and greatest ones, combined before the shuffle and joined back, so a hot key is split); confirmed links make
