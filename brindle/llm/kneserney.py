@@ -176,14 +176,18 @@ def score(docs: DataFrame, model: DataFrame, id: str = "doc_id", text: str = "te
     out = None
     schema = f"{id} {docs.schema[id].dataType.simpleString()}, lang string, perplexity double"
     for some in passes:
-        mine = lambda c: F.coalesce(c.isin([s for s in some if s is not None]), F.lit(None in some))  # noqa: B023, E731
+        here, named = F.lit(False), [s for s in some if s is not None]
+        if named:  # `null IN ()` would be false, not null
+            here = F.coalesce(F.col("lang").isin(named), F.lit(False))
+        if None in some:
+            here = here | F.col("lang").isNull()
         table = {}
-        got = model.where(mine(F.col("lang"))).select("lang", F.col("order").cast("byte"), (F.col("kind") == "p").alias("is_p"), F.col("gram").cast("int"), F.col("value").cast("float")).toArrow()
+        got = model.where(here).select("lang", F.col("order").cast("byte"), (F.col("kind") == "p").alias("is_p"), F.col("gram").cast("int"), F.col("value").cast("float")).toArrow()
         for key in some:
-            here = pc.is_null(got["lang"]) if key is None else pc.equal(got["lang"], key)
-            part = got.filter(pc.fill_null(here, False))
+            rows = pc.is_null(got["lang"]) if key is None else pc.equal(got["lang"], key)
+            part = got.filter(pc.fill_null(rows, False))
             table[key] = tuple(part[c].to_numpy() for c in ("order", "is_p", "gram", "value"))
-        part = docs.select(F.col(id), F.col(lang).alias("lang"), F.col(text).alias("text")).where(mine(F.col("lang"))).mapInArrow(_scorer(table, id), schema)
+        part = docs.select(F.col(id), F.col(lang).alias("lang"), F.col(text).alias("text")).where(here).mapInArrow(_scorer(table, id), schema)
         out = part if out is None else out.union(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 

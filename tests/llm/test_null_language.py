@@ -1,0 +1,22 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from brindle.llm import kneserney
+
+
+def test_only_null_languages(spark, docs):
+    some = docs.where("doc_id < 30").withColumn("lang", F.lit(None).cast("string"))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    out = kneserney.judge(some, labels).collect()
+    assert sorted(r.doc_id for r in out) == list(range(30))
+    assert all(r.perplexity is not None for r in out)
+
+
+def test_each_language_in_a_pass_of_its_own(spark, docs, monkeypatch):
+    some = docs.where("doc_id < 60")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    whole = sorted(kneserney.judge(some, labels).collect(), key=lambda r: r.doc_id)
+    monkeypatch.setattr(kneserney, "SENT_AT_ONCE", 1)
+    assert sorted(kneserney.judge(some, labels).collect(), key=lambda r: r.doc_id) == whole
+    assert len(whole) == 60 and {r.lang for r in whole} == {"en", "fr", None}
