@@ -1,0 +1,222 @@
+"""Quality by language-model perplexity: interpolated modified Kneser-Ney over characters, at any size of the model.
+
+N-grams are strings of ``ORDER`` characters as they stand, so every script keeps its distinctions and a model grows
+with the corpus. Documents are packed into chunks of one language. A chunk sends each n-gram that it holds once, with
+how often its trusted documents hold it; counts, continuation counts, discounts and interpolation are joins and
+sums of shards of (language, n-gram). The n-grams that any chunk holds meet the model in joins, order by order, and
+their probabilities go back to the chunks, which add them up for each document. Nothing is gathered on the driver.
+"""
+
+from __future__ import annotations
+
+import secrets
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from brindle.llm import textkernel as k
+from brindle.llm.common import staged
+from brindle.llm.kneserney import discounts
+
+ORDER = 5
+#: What stands before a text: a code point that Unicode assigns to no character.
+EDGE = "\uffff"
+#: Below the single characters all code points are alike.
+POINTS = 0x110000
+#: Characters of a chunk, and of the parts of a long text.
+CHUNK, PART = 4 << 20, 1 << 20
+
+
+def _zip(a: np.ndarray | bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(a if isinstance(a, bytes) else a.tobytes())
+
+
+def _unzip(b: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(b)
+
+
+def fold_of(id: Column) -> Column:
+    """``0`` or ``1``: a document is scored by what the trusted documents of the other fold hold."""
+    return F.pmod(F.xxhash64(id), F.lit(2)).cast("string")
+
+
+def key_of(id: Column, lang: Column) -> Column:
+    """A document's fold and a name of its language that is never null."""
+    return F.concat(fold_of(id), F.coalesce(F.concat(F.lit("="), lang), F.lit("-")))
+
+
+def counted_for(sent: DataFrame) -> DataFrame:
+    """``key``, ``gram``, ``n``: what the trusted documents hold, under the key of those that it is to score.
+
+    That is the other fold of the language, or both where only one fold of it has trusted text.
+    """
+    counted = sent.where("n > 0").groupBy("key", "gram").agg(F.sum("n").alias("n"))
+    folds = counted.select(F.substring("key", 1, 1).alias("fold"), F.expr("substring(key, 2)").alias("name")).distinct().groupBy("name").agg(F.count(F.lit(1)).alias("folds"))
+    other = F.when(F.col("key").startswith("0"), F.lit("1")).otherwise(F.lit("0"))
+    of = F.explode(F.when(F.col("folds") == 1, F.array(F.lit("0"), F.lit("1"))).otherwise(F.array(other))).alias("fold")
+    counted = counted.withColumn("name", F.expr("substring(key, 2)")).join(F.broadcast(folds), "name")
+    return counted.select("name", of, "gram", "n").select(F.concat("fold", "name").alias("key"), "gram", "n")
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a batch by language, in chunks; a text longer than ``PART`` in several parts, each after its context."""
+
+    def out() -> pa.RecordBatch:
+        row = [secrets.randbits(62), key, uids, ids, _zip(np.array([len(p) for p in parts], np.int64)), _zip("".join(parts).encode())]
+        types = [pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(kind), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], names=["chunk", "key", "uids", "ids", "sizes", "raw"])
+
+    for batch in batches:
+        kind, keys = batch.schema.field("id").type, batch.column("key").to_pylist()
+        for key in sorted(set(keys)):
+            uids, ids, parts, total = [], [], [], 0
+            for i in np.flatnonzero([x == key for x in keys]).tolist():
+                uid, id, text = (batch.column(c)[i].as_py() for c in ("uid", "id", "text"))
+                for at in range(0, max(len(text or ""), 1), PART):
+                    before = text[at - ORDER + 1 : at] if at else EDGE * (ORDER - 1)
+                    uids.append(uid)
+                    ids.append(id)
+                    parts.append(before + (text or "")[at : at + PART])
+                    total += len(parts[-1])
+                    if total >= CHUNK:
+                        yield out()
+                        uids, ids, parts, total = [], [], [], 0
+            if uids:
+                yield out()
+
+
+class Grams:
+    """The n-grams of a chunk: ``number`` is that of the n-gram at each character, ``part`` the character's part."""
+
+    def __init__(self, sizes: bytes, raw: bytes):
+        sizes = np.frombuffer(_unzip(sizes), np.int64)
+        self.points = np.frombuffer(_unzip(raw).decode().encode("utf-32-le"), np.uint32)
+        self.sizes = sizes - (ORDER - 1)
+        self.part = np.repeat(np.arange(len(sizes)), self.sizes)
+        start = np.arange(len(self.part)) + self.part * (ORDER - 1)  # of the n-gram that ends at the character
+        mixed = k.mix(self.points.astype(k.U) + k.U(1))
+        name = mixed[: len(mixed) - ORDER + 1].copy()
+        for i in range(1, ORDER):
+            name *= k.U(k.BASE)
+            name += mixed[i : len(mixed) - ORDER + 1 + i]
+        name = name[start]
+        order = np.argsort(name)
+        new = np.ones(len(order), bool)
+        new[1:] = name[order[1:]] != name[order[:-1]]
+        self.first = start[order[new]]
+        self.number = np.empty(len(order), np.int64)
+        self.number[order] = np.cumsum(new) - 1
+
+    def strings(self) -> list[str]:
+        text = self.points[self.first[:, None] + np.arange(ORDER)].tobytes().decode("utf-32-le")
+        return [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One at a time: a row holds a chunk."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1)
+
+
+def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        chunk, key, sizes, raw, trusted = (row.column(c)[0].as_py() for c in ("chunk", "key", "sizes", "raw", "trusted"))
+        grams = Grams(sizes, raw)
+        good = np.zeros(len(grams.sizes), bool)
+        good[trusted or []] = True
+        n = np.bincount(grams.number[good[grams.part]], minlength=len(grams.first))
+        m = len(grams.first)
+        columns = [pa.array([key] * m, pa.string()), pa.array(grams.strings(), pa.string()), pa.array(np.full(m, chunk)), pa.array(np.arange(m, dtype=np.int32)), pa.array(n.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "gram", "chunk", "at", "n"])
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        sizes, raw = (row.column(c)[0].as_py() for c in ("sizes", "raw"))
+        grams, got = Grams(sizes, raw), row.column("told")[0].values
+        total = np.full(len(grams.sizes), np.nan)
+        if got is not None:
+            log_p = np.full(len(grams.first), np.nan)
+            log_p[got.field("at").to_numpy()] = got.field("log_p").to_numpy()
+            total = np.bincount(grams.part, log_p[grams.number], minlength=len(grams.sizes))
+        columns = [row.column("uids")[0].values, row.column("ids")[0].values, pa.array([row.column("key")[0].as_py()] * len(total), pa.string())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(total, mask=np.isnan(total)), pa.array(grams.sizes)], names=["uid", "id", "key", "log_p", "n"])
+
+
+def train(counted: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """From ``key``, ``gram``, ``n``: of each order from 1 the probabilities ``key``, ``gram``, ``p``, and what a
+    context leaves to the next lower order, ``key``, ``context``, ``g``."""
+    counts = {ORDER: staged(counted, "ngrams")}
+    shorter = F.expr("substring(gram, 2)")
+    for n in range(ORDER - 1, 0, -1):  # in how many contexts of one more character an n-gram is seen
+        counts[n] = staged(counts[n + 1].groupBy("key", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "ngrams")
+    known, left = [], []
+    for n in range(1, ORDER + 1):
+        table = counts[n].join(F.broadcast(discounts(counts[n], "key")), "key")
+        cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        table = table.select("key", "gram", F.substring("gram", 1, n - 1).alias("context"), "n", cut.alias("cut"))
+        of = staged(table.groupBy("key", "context").agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("g")), "contexts")
+        seen = table.join(of, ["key", "context"]).withColumn("own", (F.col("n") - F.col("cut")) / F.col("total"))
+        if known:
+            below = known[-1].select("key", F.col("gram").alias("short"), F.col("p").alias("below"))
+            seen = seen.withColumn("short", shorter).join(below, ["key", "short"])
+        else:
+            seen = seen.withColumn("below", F.lit(1.0 / POINTS))
+        known.append(staged(seen.select("key", "gram", (F.col("own") + F.col("g") * F.col("below")).alias("p")), "probabilities"))
+        left.append(of.select("key", "context", "g"))
+    return known, left
+
+
+def look_up(wanted: DataFrame, known: list[DataFrame], left: list[DataFrame]) -> DataFrame:
+    """``key``, ``gram``, ``p`` of the n-grams ``wanted`` (distinct ``key``, ``gram``) whose language has a model.
+
+    Only those that an order has not seen go on to the next lower one.
+    """
+    wanted = wanted.join(F.broadcast(left[0].select("key").distinct()), "key", "left_semi")
+    told = []
+    for n in range(ORDER, 0, -1):
+        found = wanted.join(known[n - 1], ["key", "gram"], "left").withColumn("context", F.substring("gram", 1, n - 1))
+        told.append(staged(found.join(left[n - 1], ["key", "context"], "left").select("key", "gram", "p", F.coalesce("g", F.lit(1.0)).alias("g")), "looked-up"))
+        wanted = told[-1].where("p IS NULL").select("key", F.expr("substring(gram, 2)").alias("gram")).distinct()
+    below = told.pop().select("key", "gram", F.coalesce("p", F.col("g") / POINTS).alias("p"))
+    while told:
+        short = below.select("key", F.col("gram").alias("short"), F.col("p").alias("below"))
+        mine = told.pop().withColumn("short", F.when(F.col("p").isNull(), F.expr("substring(gram, 2)")))
+        below = mine.join(short, ["key", "short"], "left").select("key", "gram", F.coalesce("p", F.col("g") * F.col("below")).alias("p"))
+    return below
+
+
+def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """One row per row of ``docs``: ``id``, ``lang``, ``perplexity``, ``threshold``, ``kept``.
+
+    Trusted are the documents whose labels all say quality 1 and none says toxic; all of them are counted, in two
+    folds, and every document is scored by the fold that it is not in. It is kept if its perplexity is at most its
+    language's ``quantile`` among the trusted documents, which no model has thus seen that scores them. A text
+    that is null or empty has no perplexity and is not kept; a document of a language without trusted text is kept,
+    without perplexity. A null language is a language of its own. Repeated rows are judged each; an empty table gives
+    an empty table; without labels everything is kept.
+    """
+    good = labels.where(F.col(id).isNotNull()).groupBy(id).agg(F.min("quality").alias("_q"), F.max(F.coalesce("toxic", F.lit(0))).alias("_t")).where("_q = 1 AND _t = 0").select(F.col(id).alias("id"))
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id).alias("id"), F.col(text).alias("text"), key_of(F.col(id), F.col(lang)).alias("key"))
+    kind = docs.schema[id].dataType.simpleString()
+    chunks = staged(rows.mapInArrow(_pack, f"chunk long, key string, uids array<long>, ids array<{kind}>, sizes binary, raw binary"), "chunks")
+    places = chunks.select("chunk", F.posexplode("ids").alias("place", "id")).where("id IS NOT NULL")
+    trusted = places.join(good, "id", "left_semi").groupBy("chunk").agg(F.collect_list("place").alias("trusted"))
+    sent = chunks.select("chunk", "key", "sizes", "raw").join(trusted, "chunk", "left").mapInArrow(_send, "key string, gram string, chunk long, at int, n long")
+    sent = staged(sent, "chunk-ngrams")
+    known, left = train(counted_for(sent))
+    p = look_up(sent.select("key", "gram").distinct(), known, left)
+    told = sent.join(p, ["key", "gram"]).groupBy("chunk").agg(F.collect_list(F.struct("at", F.log("p").cast("float").alias("log_p"))).alias("told"))
+    added = chunks.join(told, "chunk", "left").mapInArrow(_add_up, f"uid long, id {kind}, key string, log_p double, n long")
+    whole = added.groupBy("uid", "id", "key").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
+    scored = staged(whole.select("id", "key", "n", F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n"))).alias("perplexity")), "perplexities")
+    scored = scored.withColumn("name", F.expr("substring(key, 2)"))
+    limits = scored.where("perplexity IS NOT NULL").join(good, "id", "left_semi").groupBy("name").agg(F.percentile_approx("perplexity", quantile, 100_000).alias("threshold"))
+    kept = (F.col("n") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
+    of = F.when(F.col("name") != "-", F.expr("substring(name, 2)"))
+    return scored.join(F.broadcast(limits), "name", "left").select(F.col("id").alias(id), of.alias("lang"), "perplexity", "threshold", kept.alias("kept"))

@@ -81,10 +81,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(total[at].astype(np.int64))], names=["lang", "gram", "n"])
 
 
-def _discounts(counts: DataFrame) -> DataFrame:
+def discounts(counts: DataFrame, lang: str = "lang") -> DataFrame:
     """Per language the three discounts of an order's counts, from how many n-grams occur once to four times."""
     times = lambda k: F.sum((F.col("n") == k).cast("double"))
-    t = counts.groupBy("lang").agg(*[times(i).alias(f"t{i}") for i in (1, 2, 3, 4)])
+    t = counts.groupBy(lang).agg(*[times(i).alias(f"t{i}") for i in (1, 2, 3, 4)])
     y = F.when(F.col("t1") + 2 * F.col("t2") > 0, F.col("t1") / (F.col("t1") + 2 * F.col("t2"))).otherwise(0.5)
 
     def d(k: int) -> Column:
@@ -92,7 +92,7 @@ def _discounts(counts: DataFrame) -> DataFrame:
         value = k - (k + 1) * y * F.col(f"t{k + 1}") / F.col(f"t{k}")
         return F.when(known, F.greatest(F.lit(0.05 * k), F.least(value, F.lit(0.95 * k)))).otherwise(0.5 * k).alias(f"d{k}")
 
-    return t.select("lang", d(1), d(2), d(3))
+    return t.select(lang, d(1), d(2), d(3))
 
 
 def train(trusted: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def train(trusted: DataFrame) -> DataFrame:
     rows = None
     for k in range(1, ORDER + 1):
         context = F.shiftright("gram", BITS)
-        table = _join(counts[k], _discounts(counts[k]), ["lang"])
+        table = _join(counts[k], discounts(counts[k]), ["lang"])
         cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         table = table.select("lang", "gram", context.alias("context"), "n", cut.alias("cut"))
         left = table.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("cuts"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, embeddings, kneserney, linededup, minhash, mixing, qualityrules, secretscan, suffixdedup, urlfilter
+from brindle.llm import bpe, charmodel, embeddings, linededup, minhash, mixing, qualityrules, secretscan, suffixdedup, urlfilter
 
 
 def tokenizer_path(name: str) -> str:
@@ -129,7 +129,7 @@ FROM embeddings m JOIN r ON r.a = m.vec_id LEFT JOIN n ON n.a = m.vec_id GROUP B
 
 
 def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kneserney.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+    return charmodel.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

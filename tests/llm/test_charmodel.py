@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from brindle.llm import charmodel, queries
+
+
+def kneser_ney(texts):
+    """Plain modified Kneser-Ney over characters, straight from the formulas."""
+    K, edges = charmodel.ORDER, charmodel.EDGE * (charmodel.ORDER - 1)
+    counts = {K: Counter((edges + t)[i : i + K] for t in texts if t for i in range(len(t)))}
+    for k in range(K - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    tables = {}
+    for k, c in counts.items():
+        t = Counter(c.values())
+        y = t[1] / (t[1] + 2 * t[2]) if t[1] + 2 * t[2] else 0.5
+        d = [min(max(j - (j + 1) * y * t[j + 1] / t[j], 0.05 * j), 0.95 * j) if t[j] and t[j + 1] else 0.5 * j for j in (1, 2, 3)]
+        total, left = Counter(), Counter()
+        for g, n in c.items():
+            total[g[:-1]] += n
+            left[g[:-1]] += d[min(n, 3) - 1]
+        tables[k] = (c, d, total, left)
+
+    def p(g):
+        if not g:
+            return 1 / charmodel.POINTS
+        c, d, total, left = tables[len(g)]
+        if not total[g[:-1]]:
+            return p(g[1:])
+        own = c[g] - d[min(c[g], 3) - 1] if c[g] else 0
+        return own / total[g[:-1]] + left[g[:-1]] / total[g[:-1]] * p(g[1:])
+
+    return lambda text: math.exp(-sum(math.log(p((edges + text)[i : i + K])) for i in range(len(text))) / len(text))
+
+
+def test_perplexity_by_brute_force(spark, docs, monkeypatch):
+    some = docs.where("doc_id < 40 OR length(text) < 300")
+    rows = some.withColumn("fold", charmodel.fold_of(F.col("doc_id"))).collect()
+    trusted = {r.doc_id for r in rows if r.doc_id % 2 == 0 and r.doc_id % 3 != 1}
+    labels = spark.createDataFrame([(i, 1, 0) for i in trusted] + [(1, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(charmodel, "PART", 100)  # texts in several parts, chunks of few
+    monkeypatch.setattr(charmodel, "CHUNK", 700)
+    out = {r.doc_id: r for r in charmodel.judge(some, labels).collect()}
+    assert len(out) == len(rows)
+    models = {(x, f): kneser_ney([r.text for r in rows if r.lang == x and r.fold != f and r.doc_id in trusted]) for x in ("en", None) for f in "01"}
+    for r in rows:
+        got = out[r.doc_id]
+        assert got.lang == r.lang
+        if r.lang == "fr" or not r.text:  # no trusted text
+            assert got.perplexity is None and got.kept == bool(r.text)
+        else:
+            assert abs(got.perplexity / models[r.lang, r.fold](r.text) - 1) < 1e-4
+            assert got.kept == (got.perplexity <= got.threshold)
+
+
+def test_scripts_keep_their_distinctions_and_models_grow(spark):
+    rng, han = random.Random(3), [chr(0x4E00 + i) for i in range(600)]
+    words = ["".join(rng.choices(han, k=3)) for _ in range(60)]
+    rows = [(i, "，".join(rng.choices(words, k=60)), "zh") for i in range(60)]
+    rows += [(100 + i, "".join(rng.sample(t, len(t))), "zh") for i, t, _ in rows[:10]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r.doc_id: r for r in charmodel.judge(frame, spark.createDataFrame([(i, 1, 0) for i in range(50)], "doc_id long, quality int, toxic int")).collect()}
+    assert all(out[i].kept for i in range(60)) and not any(out[100 + i].kept for i in range(10))
+    # 64 classes have 64 single n-grams at most.
+    known, _ = charmodel.train(spark.createDataFrame([("=zh", a + b + c + a + b, 1) for a, b, c in zip(han, han[1:], han[2:])], "key string, gram string, n long"))
+    assert known[0].count() > 500
+
+
+def test_no_rows_no_labels(spark, docs, no_docs):
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert charmodel.judge(no_docs, labels).count() == 0
+    got = charmodel.judge(docs, labels.limit(0))
+    assert got.count() == docs.count() and got.where("kept").count() == docs.where("length(text) > 0").count()
+
+
+def test_held_out_labels(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    out = charmodel.judge(docs, labels.where("doc_id % 3 <> 0")).join(labels.where("doc_id % 3 = 0"), "doc_id").toPandas()
+    good, bad = out[out.quality == 1].kept.mean(), out[out.quality == 0].kept.mean()
+    print("kept of good", good, "of bad", bad)
+    assert good > 0.97 and bad < 0.4
+
+
+def test_query_is_this_model(spark, sf_dir):
+    out = queries.op8_kneser_ney(spark, sf_dir)
+    assert out.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert out.where(F.col("perplexity").isNotNull()).count() > 0
