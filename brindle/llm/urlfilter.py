@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from brindle.llm.common import staged
 
 #: A label of the domain name system has at most 63 characters; anything longer stays one word.
-LONGEST_LABEL, SHORTEST_WORD, LONGEST_WORD = 63, 2, 24
+LONGEST_LABEL, SHORTEST_WORD, LONGEST_WORD = 63, 2, 63
+LETTERS = r"[\p{L}\p{M}]+"
 
 
 def host_of(url: Column) -> Column:
@@ -49,9 +50,9 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def lexicon(html: DataFrame, column: str = "html") -> DataFrame:
-    """``word``, ``count`` over the words of a-z in all pages' text, tags left out."""
+    """``word``, ``count`` over the words (letters of any script) in all pages' text, tags left out."""
     text = F.lower(F.regexp_replace(F.coalesce(F.col(column), F.lit("")), "<[^>]*>", " "))
-    words = html.select(F.explode(F.split(text, "[^a-z]+")).alias("word"))
+    words = html.select(F.explode(F.split(text, r"[^\p{L}\p{M}]+")).alias("word"))
     return words.where(F.length("word").between(SHORTEST_WORD, LONGEST_WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -89,10 +90,10 @@ def _segment(unknown: float):
 
 
 def segment(labels: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """``label``, ``words`` for every distinct ``label``; runs of a-z are cut by Viterbi, all else stays whole."""
+    """``label``, ``words`` for every distinct ``label``; runs of letters are cut by Viterbi, all else stays whole."""
     total = lexicon.agg(F.sum("count")).first()[0] or 1
     distinct = staged(labels.select("label").where(F.col("label") != "").distinct(), "labels")
-    fit = F.col("label").rlike("^[a-z]+$") & (F.length("label") <= LONGEST_LABEL)
+    fit = F.col("label").rlike(f"^{LETTERS}$") & (F.length("label") <= LONGEST_LABEL)
     start = F.explode(F.sequence(F.lit(0), F.length("label") - SHORTEST_WORD)).alias("a")
     starts = distinct.where(fit & (F.length("label") >= SHORTEST_WORD)).select("label", start)
     stop = F.sequence(F.col("a") + SHORTEST_WORD, F.least(F.length("label"), F.col("a") + LONGEST_WORD))
@@ -105,11 +106,14 @@ def segment(labels: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 
 def tokens(urls: DataFrame, lexicon: DataFrame, structure: DataFrame) -> DataFrame:
-    """``host``, ``path``, ``token`` for every word of distinct urls; numbers are one token, words in ``structure`` none.
+    """``host``, ``path``, ``token`` for every word of distinct urls; labels are cut into runs of
+    letters and of digits first, numbers are one token, words in ``structure`` none.
 
     ``structure`` (``word``) holds those that rules name: they tell which rule fits, not what a site is like.
     """
-    parts = F.filter(F.split("host", r"[.\-_:@]+", -1), lambda s: s != "")
+    labels = F.filter(F.split(F.lower("host"), r"[.\-_:@]+", -1), lambda s: s != "")
+    runs = F.flatten(F.transform(labels, lambda s: F.regexp_extract_all(s, F.lit(rf"{LETTERS}|\p{{N}}+|[^\p{{L}}\p{{M}}\p{{N}}]+"), 0)))
+    parts = F.transform(runs, lambda s: F.when(s.rlike(r"^\p{N}+$"), "#").otherwise(s))
     labels = urls.select("host", F.explode(parts).alias("label")).distinct()
     words = labels.join(segment(labels, lexicon), "label").select("host", F.explode("words").alias("token"))
     of_host = words.groupBy("host").agg(F.collect_list(F.concat(F.lit("host:"), "token")).alias("host_tokens"))
