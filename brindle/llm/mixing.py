@@ -92,7 +92,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     gives an empty table; other columns of ``docs`` are not read.
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = staged(docs.select(F.col(id).alias("_id"), F.col(source).cast("string").alias("source"), size.alias("size")), "mix-sizes")
+    sized = staged(docs.select(F.col(id).alias("_id"), F.col(source).cast("string").alias("source"), size.alias("size"), F.xxhash64(F.col(text)).alias("_salt")), "mix-sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     aims = targets(sources.select("source", "source_size"), weights, share, most)
     counts = sources.select(F.col("source").alias("_s"), F.ceil(F.col("_rows") / LEAF_ROWS).alias("_leaves"))
@@ -101,7 +101,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(copies + F.lit(1e-12)).cast("long")
     part = F.when(F.col("size") > 0, F.greatest(copies - whole, F.lit(0.0))).otherwise(0.0)
-    spread = F.xxhash64(key, F.lit(seed))
+    spread = F.xxhash64(key, F.lit(seed), "_salt")  # ids may be null or repeat; a leaf stays small all the same
     rows = sized.join(aims, sized["source"].eqNullSafe(aims["_s"])).select(
         key.alias("_key"), "source", "size", "source_size", "target", whole.alias("_whole"), part.alias("_part"),
         (F.shiftrightunsigned(F.xxhash64(key, F.lit(seed + 1)), 11) / F.lit(float(1 << 53))).alias("_draw"),
