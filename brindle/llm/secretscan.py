@@ -12,6 +12,9 @@ The others carry something that can be verified, and only verified ones are repo
 - ``jwt``: three base64url parts, the first a JSON object with ``alg``;
 - ``card``: 13 to 19 digits right after a card keyword, with a right Luhn digit;
 - ``pem``: a private key block whose body is base64 and whose end names the same key.
+
+No two parts of a pattern that may repeat accept the same character, and what a failed match has read is not read again
+for its kind, so a text takes time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -38,9 +41,10 @@ ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 TOKEN = re.compile(r"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
-JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+JWT = re.compile(r"(eyJ[A-Za-z0-9_-]++)\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++")
+JWT_RUN = re.compile(r"[A-Za-z0-9_-]++")
 CARD = re.compile(r"(?ai:card|visa|mastercard)[\x20:#=]{1,3}(\d(?:[\x20-]?\d){12,18})(?!\d)")
-PEM = re.compile(r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----\s+([A-Za-z0-9+/=\s]+?)\s*-----END \1-----")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z]{1,32} )?PRIVATE KEY)-----([A-Za-z0-9+/=\s]*+)-----END \1-----")
 #: Keyword (in lower case) -> the kind whose pattern is tried there.
 KEYWORDS = {
     "password": "assign", "passwd": "assign", "secret": "assign", "token": "assign", "apikey": "assign", "api_key": "assign",
@@ -84,12 +88,19 @@ def _verified(kind: str, m: re.Match) -> bool:
         if kind == "jwt":
             head = json.loads(base64.urlsafe_b64decode(m[1] + "=" * (-len(m[1]) % 4)))
             return isinstance(head, dict) and "alg" in head
-        base64.b64decode(re.sub(r"\s", "", m[2]), validate=True)
-        return True
-    except ValueError:
+        body = "".join(m[2].split())
+        return body != "" and m[2][0].isspace() and len(base64.b64decode(body, validate=True)) > 0
+    except (ValueError, RecursionError):
         return False
 
 
+def _run_end(text: str, at: int) -> int:
+    """Where to go on after a JWT has failed at ``at``: at every later place of a run of its characters it fails too,
+    as what follows the run is the same."""
+    run = JWT_RUN.match(text, at)
+    return run.end() if run else at + 1
+
+
 PATTERNS = {"assign": ASSIGN, "access": ACCESS, "github": TOKEN, "npm": TOKEN, "jwt": JWT, "card": CARD, "pem": PEM}
 
 
@@ -105,27 +116,16 @@ def _automaton():
 
 
 def hex_runs(text: str) -> list[tuple[int, int]]:
-    """Whole runs of 32 or more hexadecimal digits. Such a run holds a character at a multiple of 32: only there
-    it is looked for."""
-    if text.isascii():
-        codes = np.frombuffer(text.encode("ascii"), np.uint8)
-    else:
-        codes = np.frombuffer(text.encode("latin-1", "replace"), np.uint8)  # one byte a character; no other becomes a digit
-    probes = np.flatnonzero(HEX[codes[LEAST_HEX - 1 :: LEAST_HEX]]) * LEAST_HEX + LEAST_HEX - 1
-    out: list[tuple[int, int]] = []
-    size = len(codes)
-    for p in probes.tolist():
-        if out and p < out[-1][1]:
-            continue
-        low = p
-        while low and HEX[codes[low - 1]]:
-            low -= 1
-        high = p + 1
-        while high < size and HEX[codes[high]]:
-            high += 1
-        if high - low >= LEAST_HEX:
-            out.append((low, high))
-    return out
+    """Whole runs of 32 or more hexadecimal digits. Such a run holds a character at a multiple of 32: only where one
+    of these is a digit, edges are looked for."""
+    codes = np.frombuffer(text.encode("latin-1", "replace"), np.uint8)  # one byte a character; no other becomes a digit
+    if not HEX[codes[LEAST_HEX - 1 :: LEAST_HEX]].any():
+        return []
+    digit = np.concatenate([[False], HEX[codes], [False]])
+    edge = np.flatnonzero(digit[1:] != digit[:-1])
+    low, high = edge[0::2], edge[1::2]
+    long = high - low >= LEAST_HEX
+    return list(zip(low[long].tolist(), high[long].tolist(), strict=True))
 
 
 def spans(text: str) -> list[tuple[int, int, str]]:
@@ -138,10 +138,14 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     hits = sorted((end - size + 1, kind) for end, (size, kind) in _automaton().iter(low))
     for at, kind in hits:
         # Leftmost and not overlapping per kind: a match, kept or not, uses its characters up.
-        if at >= past[kind] and (m := PATTERNS[kind].match(text, at)):
+        if at < past[kind]:
+            continue
+        if m := PATTERNS[kind].match(text, at):
             past[kind] = m.end()
             if _verified(kind, m):
                 out.append((m.start(), m.end(), kind))
+        elif kind == "jwt":
+            past[kind] = _run_end(text, at)
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
