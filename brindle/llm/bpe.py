@@ -26,6 +26,32 @@ from brindle.llm.common import replace_columns, with_fields
 REMEMBERED_PIECES = 200_000
 NONE = np.iinfo(np.int64).max
 SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: A character of private use: neither white space nor letter nor number.
+PRIVATE = "\ue000"
+
+# Fixed values, of the Unicode Character Database: letters and numbers that version 16.0 added, and the lower-case
+# forms that versions 16.0 and 17.0 added. The library knows these (and no later letter), whatever Python knows.
+LETTERS_16 = """
+1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D40-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5 113B7
+113D1 113D3 116D0-116E3 11BC0-11BE0 11BF0-11BF9 13460-143FA 16100-1611D 16130-16139 16D40-16D6C 16D70-16D79 18CFF
+1CCF0-1CCF9 1E5D0-1E5ED 1E5F0-1E5FA
+"""
+LOWER_17 = "1C89>1C8A A7CB>0264 A7CC>A7CD A7CE>A7CF A7D2>A7D3 A7D4>A7D5 A7DA>A7DB A7DC>019B 10D50-10D65>10D70 16EA0-16EB8>16EBB"
+
+
+def code_points(ranges: str) -> dict[int, int]:
+    """``A-B>C`` as each code point from A to B with its own from C on (from A without C)."""
+    out = {}
+    for part in ranges.split():
+        whole, _, to = part.partition(">")
+        first, _, last = whole.partition("-")
+        a, z = int(first, 16), int(last or first, 16)
+        out |= {c: int(to or first, 16) + c - a for c in range(a, z + 1)}
+    return out
+
+
+LOWERED = code_points(LOWER_17)
+UPPER_17 = frozenset(map(chr, LOWERED))
 
 
 def byte_characters() -> list[str]:
@@ -65,6 +91,9 @@ class WordBpe:
         made = np.full(size, -1, np.int64)
         made[to[::-1]] = np.arange(len(to))[::-1]
         self.ordered = bool(np.all(np.maximum(made[left], made[right]) < np.arange(len(to))))
+        # Letters and numbers that ``regex`` knows, but the library does not.
+        every = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
+        self.later = frozenset(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn") - set(map(chr, code_points(LETTERS_16)))
         self.known: dict[str, int] = {}
         self.flat = (np.zeros(0, np.int32), np.zeros(0, np.int64))
 
@@ -80,10 +109,19 @@ class WordBpe:
     def _plain(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # a final sigma is lowered like any other
+            if not UPPER_17.isdisjoint(text):
+                text = text.translate(LOWERED)
         text = text.lower()
         # str.split also takes 0x1C-0x1F for white space, which the pattern does not.
         return text.split() if not any(c in text for c in SEPARATORS) else regex.split(r"\s+", text.strip(" "))
 
+    def split(self, piece: str) -> list[str]:
+        """The words of a piece; characters of no known class go with punctuation."""
+        if piece.isascii() or self.later.isdisjoint(piece):
+            return self.pattern.findall(piece)
+        masked = "".join(PRIVATE if c in self.later else c for c in piece)
+        return [piece[m.start() : m.end()] for m in self.pattern.finditer(masked)]
+
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words end to end, and each word's number of ids."""
         raw = [w.encode() for w in words]
@@ -128,7 +166,7 @@ class WordBpe:
         """Merge the words of new pieces and remember each piece's ids."""
         plain = [p for p in pieces if p not in self.special]
         special = [p for p in pieces if p in self.special]
-        split = [self.pattern.findall(p) for p in plain]
+        split = [self.split(p) for p in plain]
         words = {w: i for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
         ids, sizes = self.merge(list(words)) if words else (self.flat[0], self.flat[1][:0])
         start = np.concatenate([[0], np.cumsum(sizes)])

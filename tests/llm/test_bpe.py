@@ -32,6 +32,22 @@ def test_any_text(text):
     same(text)
 
 
+def test_every_code_point():
+    """Assigned or not, whatever version of Unicode the installed libraries know."""
+    points = [chr(c) for c in (*range(0xD800), *range(0xE000, 0x110000))]
+    for i in range(0, len(points), 8192):
+        texts = [f"a{c}b 1{c}. {c}" for c in points[i : i + 8192]]
+        want = [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+        got = OURS.encode(texts).to_pylist()
+        assert [t for t, x, y in zip(texts, want, got, strict=True) if x != y] == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=40))
+def test_any_character(text):
+    same(text)
+
+
 def test_merges_one_at_a_time_agree():
     words = ["aaaa", "banana", "mississippi", "zzzzzzz", "thethethe"]
     fast = OURS.merge(words)
