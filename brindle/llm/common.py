@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that a numpy kernel takes at a time: its 8-byte arrays then stay near the CPU.
@@ -15,9 +17,14 @@ CHUNK_BYTES = 1 << 18
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (as in tests) a folder of our own."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset in local mode (as in tests) a folder of our own.
+
+    On a cluster it must be set: no executor would see what another wrote to a folder of its own machine.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="brindle-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -31,6 +38,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, *without: str) -> Column:
+    """The columns of ``df`` but these as one struct, so that no name among them meets one of an operator's own."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in without]
+    return F.struct(*kept or [F.lit(None).cast("int").alias("_")])
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
 

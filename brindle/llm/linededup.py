@@ -14,7 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import staged
+from brindle.llm.common import packed, staged
 
 BLANK = " \t\n\x0b\f\r"
 
@@ -72,9 +72,18 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep:
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row of ``docs`` with the kept lines as ``text``, and ``n_lines`` (before) and ``n_dropped``.
 
-    A text that loses nothing stays as it is; one that loses all lines becomes empty; a null text becomes empty.
+    A text that loses nothing stays as it is; one that loses all lines becomes empty; a null text becomes empty. Input
+    columns named ``n_lines`` or ``n_dropped`` are replaced; all others stay, whatever their names.
     """
+    own = [F.col("_row")[c].alias(c) for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
+    return _dropped(docs, bitmaps, id, text).select(*own, F.col("_kept").alias(text), "n_lines", "n_dropped")
+
+
+def _dropped(docs: DataFrame, bitmaps: DataFrame, id: str, text: str) -> DataFrame:
+    """``_row`` (all columns but the text), ``_kept``, ``n_lines``, ``n_dropped``."""
     marks = bitmaps.select(F.col(id).alias("_id"), F.col("mark").alias("_mark"), F.col("n_dropped").alias("_n"), F.col("dropped").alias("_runs"))
+    docs = docs.select(packed(docs, text).alias("_row"), F.col(id).alias("_own"), F.col(text).alias("_text"))
+    id, text = "_own", "_text"
     lines = lines_of(F.col(text))
     size = F.size(lines)
     # The kept runs lie between the dropped ones.
@@ -83,11 +92,11 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id: str = "doc_id", text:
     parts = F.transform(F.sequence(F.lit(0), F.size("_runs")), lambda i: F.slice(lines, begin(i) + 1, stop(i) - begin(i)))
     kept = F.when(F.col("_runs").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(F.flatten(parts), "\n"))
     joined = docs.join(marks, docs[id].eqNullSafe(marks["_id"]) & (text_mark(docs[text]) == marks["_mark"]), "left")
-    own = [c for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
-    return joined.select(*own, kept.alias(text), size.cast("long").alias("n_lines"), F.coalesce(F.col("_n"), F.lit(0)).alias("n_dropped"))
+    return joined.select("_row", kept.alias("_kept"), size.cast("long").alias("n_lines"), F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def dedup_lines(docs: DataFrame, **how) -> DataFrame:
     """``docs`` without the lines that ``keep_bitmaps`` drops; the columns stay as they are."""
-    names = {k: how[k] for k in ("id", "text") if k in how}
-    return apply_bitmaps(docs, keep_bitmaps(docs, **how), **names).select(*docs.columns)
+    id, text = how.get("id", "doc_id"), how.get("text", "text")
+    out = _dropped(docs, keep_bitmaps(docs, **how), id, text)
+    return out.select(*[(F.col("_kept") if c == text else F.col("_row")[c]).alias(c) for c in docs.columns])

@@ -10,12 +10,14 @@ source's words miss its target by less than one document.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import staged
+from brindle.llm.common import packed, staged
 
 #: Weights by a source's place in the order of sources, repeating.
 WEIGHTS = (3, 1, 2)
@@ -24,15 +26,27 @@ LEAF_ROWS, FAN_IN = 2000, 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def numbered(df: DataFrame, order: Column) -> DataFrame:
+    """``df`` with ``_rank``, from 0: a range-partitioned sort, and the rows in the partitions before one's own."""
+    place = F.monotonically_increasing_id()  # the partition and, in its last 33 bits, the row
+    own = staged(df.orderBy(order).withColumn("_place", place), "ordered")
+    part = F.shiftright("_place", 33)
+    parts = own.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")  # a row for each partition
+    parts = parts.select("_part", before.alias("_before"))
+    placed = own.join(F.broadcast(parts), part == F.col("_part"))
+    return placed.withColumn("_rank", F.col("_before") + F.col("_place").bitwiseAND((1 << 33) - 1)).drop("_place", "_part", "_before")
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """Add ``target`` to one row per source with ``source`` and ``source_size``.
 
     Sources in the order of their code points, null last, weigh ``weights`` in turn and share ``share`` of all sizes.
     A target stops at ``most`` times its source's size and what is cut is shared again by weight among those that
     have not stopped, until none is above: as many passes as sources stop in turn, each one sum over the sources.
-    A source of size 0 has target 0. Sources are put in order in one task: a row for each source, not for each document.
+    A source of size 0 has target 0. There may be any number of sources: they are put in order over many tasks.
     """
-    ranked = sources.withColumn("_rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    ranked = numbered(sources, F.col("source").asc_nulls_last())
     ranked = staged(ranked.withColumn("_weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))), "mix-sources")
     cap = F.col("source_size") * F.lit(float(most))
     total = share * (ranked.agg(F.sum("source_size")).first()[0] or 0)
@@ -70,11 +84,11 @@ def pivotal(sizes: np.ndarray, parts: np.ndarray, draws: np.ndarray) -> tuple[np
     return np.array(out), held
 
 
-ROUNDED = "_key string, source string, size long, source_size long, target double, _whole long, _part double, _draw double, _leaf long, _open boolean"
+ROUNDED = "_key string, _salt long, source string, size long, source_size long, target double, _whole long, _part double, _draw double, _leaf long, _open boolean"
 
 
 def _round(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values(["size", "_draw", "_key"], kind="stable")
+    group = group.sort_values(["size", "_draw", "_key", "_salt"], kind="stable")
     parts, held = pivotal(group["size"].to_numpy(), group["_part"].to_numpy(), group["_draw"].to_numpy())
     group["_part"] = parts
     group["_open"] = False
@@ -89,21 +103,26 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     ``taken`` is ``copies * size`` and ``copies`` at most ``most`` rounded up. Null and empty texts have size 0 and are
     given the whole part of their copies. A null source is a source of its own, a null id an id like any other.
     Repeated rows are rounded each for itself, but which of them gets a copy more is not told apart. An empty table
-    gives an empty table; other columns of ``docs`` are not read.
+    gives an empty table; other columns of ``docs`` are not read. Whole texts are counted, however long.
     """
+    return _mixed(docs, weights, share, most, seed, id, text, source).drop("_salt")
+
+
+def _mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 0, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """What ``mix`` returns, with a hash of the text as ``_salt``."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     sized = staged(docs.select(F.col(id).alias("_id"), F.col(source).cast("string").alias("source"), size.alias("size"), F.xxhash64(F.col(text)).alias("_salt")), "mix-sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     aims = targets(sources.select("source", "source_size"), weights, share, most)
     counts = sources.select(F.col("source").alias("_s"), F.ceil(F.col("_rows") / LEAF_ROWS).alias("_leaves"))
     aims = staged(aims.join(counts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumnRenamed("source", "_s"), "mix-targets")
-    key = F.coalesce(F.col("_id").cast("string"), F.lit("null"))
+    key = F.col("_id").cast("string")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(copies + F.lit(1e-12)).cast("long")
     part = F.when(F.col("size") > 0, F.greatest(copies - whole, F.lit(0.0))).otherwise(0.0)
     spread = F.xxhash64(key, F.lit(seed), "_salt")  # ids may be null or repeat; a leaf stays small all the same
     rows = sized.join(aims, sized["source"].eqNullSafe(aims["_s"])).select(
-        key.alias("_key"), "source", "size", "source_size", "target", whole.alias("_whole"), part.alias("_part"),
+        key.alias("_key"), "_salt", "source", "size", "source_size", "target", whole.alias("_whole"), part.alias("_part"),
         (F.shiftrightunsigned(F.xxhash64(key, F.lit(seed + 1)), 11) / F.lit(float(1 << 53))).alias("_draw"),
         F.pmod(spread, F.col("_leaves")).alias("_leaf"), F.lit(True).alias("_open"), F.col("_leaves"),
     )
@@ -119,24 +138,24 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     done = decided.unionByName(last).withColumn("copies", F.col("_whole") + F.col("_part").cast("long"))
     kind = docs.schema[id].dataType
     return done.select(
-        F.when(F.col("_key") != "null", F.col("_key")).cast(kind).alias(id), "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
+        F.col("_key").cast(kind).alias(id), "_salt", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
     )
 
 
 def apply(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken.
+    """The mix itself: the rows of ``docs``, each as often as it is taken; columns may have any names.
 
-    Rows that agree in id, source and size share out their copies, the most to the least hash of the text.
+    Rows that agree in id, source and text share out their copies.
     """
     id, text, source = (how.get(n, d) for n, d in (("id", "doc_id"), ("text", "text"), ("source", "source")))
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    same = ["_i", "_s", "_n"]
-    taken = staged(mix(docs, **how).select(F.col(id).alias("_i"), F.col("source").alias("_s"), F.col("size").alias("_n"), "copies"), "mix-taken")
-    ours = docs.withColumns({"_di": F.col(id), "_ds": F.col(source).cast("string"), "_dn": size})
-    on = ours["_di"].eqNullSafe(taken["_i"]) & ours["_ds"].eqNullSafe(taken["_s"]) & (ours["_dn"] == taken["_n"])
+    same = ["_i", "_s", "_t"]
+    taken = staged(_mixed(docs, **how).select(F.col(id).alias("_i"), F.col("source").alias("_s"), F.col("_salt").alias("_t"), "copies"), "mix-taken")
+    ours = docs.select(packed(docs).alias("_row"), F.col(id).alias("_i"), F.col(source).cast("string").alias("_s"), F.xxhash64(F.col(text)).alias("_t"))
     if not taken.groupBy(*same).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").isEmpty():
         taken = taken.withColumn("_k", F.row_number().over(Window.partitionBy(*same).orderBy(F.desc("copies"))))
-        ours = ours.withColumn("_dk", F.row_number().over(Window.partitionBy("_di", "_ds", "_dn").orderBy(F.xxhash64(text))))
-        on = ours["_di"].eqNullSafe(taken["_i"]) & ours["_ds"].eqNullSafe(taken["_s"]) & (ours["_dn"] == taken["_n"]) & (ours["_dk"] == taken["_k"])
-    joined = ours.join(taken.where("copies > 0"), on)
-    return joined.select(*[ours[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).drop("_copy")
+        ours = ours.withColumn("_k", F.row_number().over(Window.partitionBy(*same).orderBy("_t")))
+        same = [*same, "_k"]
+    taken = taken.where("copies > 0").select(*[F.col(c).alias(f"_taken{c}") for c in same], "copies")
+    on = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_taken{c}")) for c in same])
+    joined = ours.join(taken, on).select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return joined.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.llm import bpe, linededup, minhash, mixing, qualityrules
-from brindle.llm.common import staged
+from brindle.llm.common import packed, staged
 from brindle.llm.queries import tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the classifier keep; the classifier is fitted on the labelled ones among them."""
     model = qualityrules.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    judged = qualityrules.judge(docs.withColumn("_all", F.struct(*docs.columns)).select("text", "_all"), model)
-    return judged.where("kept").select("_all.*")
+    judged = qualityrules.judge(docs.select("text", packed(docs, "text").alias("_all")), model)
+    return judged.where("kept").select(*["text" if c == "text" else F.col("_all")[c].alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,6 +52,16 @@ def test_columns_null_ids_repeats_and_empty(spark, docs, no_docs):
     assert linededup.keep_bitmaps(df.where("doc_id < 3"), min_docs=3).count() == 0
 
 
+def test_columns_of_any_name(spark):
+    rows = [(i, "same line\nown%d" % i, "_id", "_runs", 7) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, _runs string, n_dropped int")
+    out = linededup.dedup_lines(df)
+    assert out.columns == df.columns and out.dtypes == df.dtypes
+    assert sorted(map(tuple, out.collect())) == [(i, "own%d" % i, "_id", "_runs", 7) for i in range(12)]
+    told = linededup.apply_bitmaps(df, linededup.keep_bitmaps(df))
+    assert told.columns == ["doc_id", "_id", "_runs", "text", "n_lines", "n_dropped"] and {r.n_dropped for r in told.collect()} == {1}
+
+
 def test_runs_are_compressed(spark):
     df = spark.createDataFrame([(i, "a\nb\nc\nown%d\na" % i) for i in range(4)], "doc_id long, text string")
     row = linededup.keep_bitmaps(df, min_docs=4).where("doc_id = 0").first()

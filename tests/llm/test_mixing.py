@@ -75,6 +75,28 @@ def test_applied_mix(spark, docs, no_docs):
     assert mixing.mix(no_docs).count() == 0 and mixing.apply(no_docs).count() == 0
 
 
+def test_null_is_not_a_word(spark):
+    rows = [(None, "a b c", "x"), ("null", "d e f g", "x"), ("1", "h", None), ("2", "i j", "null")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    assert sorted((r.doc_id or "", r.size) for r in mixing.mix(df).collect()) == [("", 3), ("1", 1), ("2", 2), ("null", 4)]
+    copies = {r.doc_id: r.copies for r in mixing.mix(df).collect()}
+    assert {i: sum(r.doc_id == i for r in mixing.apply(df).collect()) for i in copies} == copies
+
+
+def test_columns_of_any_name(spark, docs):
+    df = docs.select("doc_id", "text", "source", *[F.lit(c).alias(c) for c in ("copies", "_copy", "_dn", "_i", "_row", "_taken_i", "_k", "a.b")])
+    out = mixing.apply(df)
+    assert out.columns == df.columns and out.count() == mixing.apply(docs).count()
+    assert [tuple(r) for r in out.select("copies", "_copy", "_dn", "_i", "_row", "`a.b`").distinct().collect()] == [("copies", "_copy", "_dn", "_i", "_row", "a.b")]
+
+
+def test_sources_are_ranked_over_partitions(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("source")).union(spark.createDataFrame([(None,)], "source string"))
+    got = [r.source for r in mixing.numbered(df.repartition(7), F.col("source").asc_nulls_last()).orderBy("_rank").collect()]
+    assert got == [*sorted(map(str, range(1000))), None]
+    assert mixing.numbered(df, F.col("source").asc_nulls_last()).agg(F.max("_rank"), F.count_distinct("_rank")).first() == (1000, 1001)
+
+
 def test_repeated_rows_and_null_ids(spark, docs):
     df = docs.where("doc_id < 30").union(docs.where("doc_id < 10")).union(docs.where("doc_id = 3").withColumn("doc_id", F.lit(None).cast("long")))
     total = mixing.mix(df).agg(F.sum("copies")).first()[0]
