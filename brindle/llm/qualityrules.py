@@ -1,8 +1,8 @@
 """Quality rules: counted features with fixed limits, and a logistic regression over hashed n-grams.
 
-The regression reads hashed words and hashed 4-byte n-grams, each as a share of its document. It is fitted on a
-bounded sample of labelled rows (``Training.rows``), calibrated by Platt's method on held-out rows, and then scores
-every document in Arrow batches against a fixed probability. The model is two arrays of ``2**BITS`` numbers, 2 MB,
+The regression reads hashed words, pairs of words and four characters in a row, each as a share of its document. It is
+fitted on a bounded sample of labelled rows (``Training.rows``, ``Training.chars``), calibrated by Platt's method on
+held-out rows, and then scores every document in Arrow batches against a fixed probability. The model is two arrays of ``2**BITS`` numbers, 2 MB,
 whatever the input. Nothing but the labelled sample leaves its task.
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,9 +32,10 @@ FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 @dataclass(frozen=True)
 class Training:
-    """How the regression is fitted; ``rows`` bounds the labelled sample."""
+    """How the regression is fitted; ``rows`` and ``chars`` (of all their texts) bound the labelled sample."""
 
     rows: int = 3000
+    chars: int = 32_000_000
     epochs: int = 12
     rate: float = 1.0
     held_out: int = 5
@@ -90,25 +91,27 @@ class Batch:
             "n_repeat_words": np.bincount(self.doc[inside], minlength=len(self.texts)),
         }
 
-    def word_slots(self) -> np.ndarray:
-        return (self.hash >> k.U(64 - BITS)).astype(np.int64)
-
-    def gram_slots(self) -> np.ndarray:
-        """One for each byte but the last three of the buffer."""
-        b = self.buf.astype(np.uint32)
-        four = b[:-3] | b[1:-2] << np.uint32(8) | b[2:-1] << np.uint32(16) | b[3:] << np.uint32(24)
-        return (four * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
-
-    def gram_range(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.start, np.maximum(self.end - 3, self.start)
+    def slots(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of words, pairs of words and four characters in a row: slots, and each document's range of them."""
+        words, first, last = self.hash, self.first[:-1], self.first[1:]
+        pairs = k.mix(words[:-1] * k.U(k.BASE) + words[1:])
+        points = np.frombuffer(self.buf.tobytes().decode().encode("utf-32-le"), np.uint32)
+        grams = points[:-3].astype(k.U)
+        for i in range(1, 4):
+            grams *= k.U(k.BASE)
+            grams += points[i : len(points) - 3 + i]
+        before = np.concatenate([[0], np.cumsum(STARTS_CHARACTER[self.buf])])
+        start, end = before[self.start], before[self.end]
+        slot = lambda h: (h >> k.U(64 - BITS)).astype(np.int64)
+        return [(slot(words), first, last), (slot(pairs), first, np.maximum(last - 1, first)), (slot(k.mix(grams)), start, np.maximum(end - 3, start))]
 
     def raw(self, model: Model) -> np.ndarray:
         """Scores before calibration."""
-        words = _sums(model.words[self.word_slots()], self.first[:-1], self.first[1:]) / np.maximum(np.diff(self.first), 1)
-        a, z = self.gram_range()
-        if len(self.buf) < 4:
-            return words + model.bias
-        return words + _sums(model.grams[self.gram_slots()], a, z) / np.maximum(z - a, 1) + model.bias
+        score = np.full(len(self.texts), model.bias)
+        for weights, (slots, a, z) in zip((model.words, model.words, model.grams), self.slots(), strict=True):
+            if len(slots):
+                score += _sums(weights[slots], a, z) / np.maximum(z - a, 1)
+        return score
 
 
 def repeated_lines(text: bytes) -> int:
@@ -121,26 +124,28 @@ def _slots(batch: pa.RecordBatch) -> pa.RecordBatch:
     """For training: each document's slots (words first, n-grams behind them) and their shares."""
     slots, shares = [], []
     for text in utf8(batch.column("text")):
-        b = Batch([text])
-        a, z = b.gram_range()
-        for part, shift in ((b.word_slots(), 0), (b.gram_slots()[a[0] : z[0]] if len(b.buf) > 3 else np.zeros(0, np.int64), 1 << BITS)):
-            at, n = np.unique(part, return_counts=True)
+        for (part, a, z), shift in zip(Batch([text]).slots(), (0, 0, 1 << BITS), strict=True):
+            at, n = np.unique(part[a[0] : z[0]], return_counts=True)
             slots.append((at + shift).astype(np.int32))
-            shares.append((n / max(len(part), 1)).astype(np.float32))
-    join = lambda xs: pa.array([np.concatenate(xs[i : i + 2]).tobytes() for i in range(0, len(xs), 2)], pa.binary())
+            shares.append((n / max(z[0] - a[0], 1)).astype(np.float32))
+    join = lambda xs: pa.array([np.concatenate(xs[i : i + 3]).tobytes() for i in range(0, len(xs), 3)], pa.binary())
     return pa.RecordBatch.from_arrays([batch.column("y").cast(pa.float64()), batch.column("order"), join(slots), join(shares)], names=["y", "order", "slots", "shares"])
 
 
 def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
-    """Fit and calibrate on at most ``how.rows`` labelled rows, those of the smallest hashed ids.
+    """Fit and calibrate on at most ``how.rows`` labelled rows of at most ``how.chars`` characters, those of the smallest
+    hashed ids; that sample alone goes to the driver.
 
-    Null ids and labels are left out and an id's labels count as their least; with fewer than two classes among the
-    sample, there is no model.
+    Null ids and labels are left out, an id's labels count as their least and of its texts one is read (the least by
+    hash); with fewer than two classes among the sample, there is no model.
     """
     order = F.xxhash64(F.col(id))
     known = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).groupBy(id).agg(F.min(label).alias("y")).withColumn("order", order)
     sample = known.orderBy("order", id).limit(how.rows)
     rows = docs.select(F.col(id), F.col(text).alias("text")).join(F.broadcast(sample), id)
+    rows = rows.groupBy("order", id, "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    so_far = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(Window.orderBy("order", id))  # of how.rows rows at most
+    rows = rows.withColumn("so_far", so_far).where(F.col("so_far") <= how.chars)
     got = map_batches(rows.select("text", F.col("y").cast("double").alias("y"), "order"), _slots, "y double, order long, slots binary, shares binary").toArrow().to_pandas()
     got = got.sort_values(["order", "slots"], kind="stable")
     y = (got["y"].to_numpy() > 0).astype(np.float64)

@@ -48,6 +48,32 @@ def test_training_is_bounded_and_repeatable(spark, sf_dir):
     assert qualityrules.train(docs, labels.limit(0)) is None
 
 
+def test_sample_is_bounded_whatever_repeats(spark, sf_dir, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(qualityrules, "fit", lambda at, share, y, how: fitted.append(len(y)))
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    known = labels.groupBy("quality").agg(F.min("doc_id").alias("doc_id"))
+    many = docs.join(known, "doc_id").select("doc_id", "text")
+    many = many.union(many.withColumn("text", F.concat("text", F.lit(" x")))).union(many)
+    qualityrules.train(many, known, qualityrules.Training(rows=2))
+    qualityrules.train(docs, labels, qualityrules.Training(chars=40_000))
+    assert fitted[0] == 2 and 0 < fitted[1] < 60
+
+
+def test_scores_by_brute_force(spark):
+    rng = np.random.default_rng(3)
+    model = qualityrules.Model(rng.random(1 << qualityrules.BITS).astype(np.float32), rng.random(1 << qualityrules.BITS).astype(np.float32), 0.25, 1.0, 0.0)
+    texts = ["", "a", "ab cd", "日本語 の", "one two one two", "é" * 3, "abc", "x y z é"]
+    together = qualityrules.Batch([t.encode() for t in texts]).raw(model)
+    for text, score in zip(texts, together, strict=True):
+        one = qualityrules.Batch([text.encode()])
+        want = 0.25
+        for weights, (slots, a, z), n in zip((model.words, model.words, model.grams), one.slots(), (len(text.split()), max(len(text.split()) - 1, 0), max(len(text) - 3, 0)), strict=True):
+            assert z[0] - a[0] == n
+            want += float(weights[slots[a[0] : z[0]]].astype(float).sum()) / max(n, 1)
+        assert abs(score - want) < 1e-6
+
+
 def test_quality_on_empty_and_clashing_tables(spark, no_docs, docs):
     assert qualityrules.judge(no_docs, None).count() == 0
     assert qualityrules.judge(docs.withColumn("kept", F.lit("x")).withColumn("n_words", F.lit("y")), None).schema["kept"].dataType.simpleString() == "boolean"
