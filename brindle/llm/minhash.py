@@ -3,41 +3,49 @@
 A document's set of shingles gets ``COMPONENTS`` minimum hashes. The first ``CHUNKED`` keep 16 bits each and are split
 into ``CHUNKS`` chunks: two signatures that differ in at most ``2 * CHUNKS - 1`` of them have, by pigeonhole, a chunk
 with at most one error, so they agree in one of the keys that leave a single component of a chunk out. All
-components keep one bit more in a 64-bit sketch; documents that meet in a key with close sketches get a longer one of
-``LONG`` bits. At similarity 0.8 a component differs with chance 0.2 and a bit with 0.1: more than 19 of 32, 22 of
+components keep one bit more in a 64-bit sketch; sets that share a key with any other get a longer one of ``LONG``
+bits. At similarity 0.8 a component differs with chance 0.2 and a bit with 0.1: more than 19 of 32, 22 of
 64 or 148 of 1024 differ in fewer than three pairs in a million together. What passes is confirmed on the full sets.
 
-Rows never pair up within a key. Equal sets are one class. In a key, every class is compared with up to four centers
-(least and greatest ones, combined before the shuffle and joined back, so a hot key is split); confirmed links make
-components. Then classes of one key that are still in different components are compared, where enough of both sets
-is shared with anyone at all: a pair has no more in common than the shingles of either that a second candidate holds, which
-rules out the crowd around a hot text without looking at its pairs' sets.
+Equal sets are one class, and no join makes pairs of the classes of a key:
+
+- stars: a key has up to four centers, and a class is compared with the few centers of its keys that are closest to
+  it. A center meets slices of ``STAR_ROWS`` of its classes, which may be any number; links make components;
+- tiles: the classes of a key that are still in different components are dealt into blocks, and every two blocks meet in
+  a tile. There sketches tell which classes have a partner left (a pair belongs to the first key that both share);
+  only those send their sets to a second tile, which returns links of a spanning forest. Pairs stay within a tile.
+
+So a hot key is many tasks, and what is shuffled grows with a key's classes times its blocks, never with its pairs.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm import textkernel as k
-from brindle.llm.common import map_batches, slices, staged, utf8
+from brindle.llm.common import map_batches, packed, slices, staged, utf8
 from brindle.llm.components import connected_components
 
 COMPONENTS, CHUNKED, CHUNKS = 64, 32, 10
 SKETCH_BITS = 22
 LONG, LONG_BITS = 1024, 148
+#: Centers that a class is compared with, and classes of a center to a slice.
+TRIED, STAR_ROWS = 2, 256
+#: Classes of a block, and shingles of all its sets.
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
 _rng = np.random.default_rng(991)
 FLIPS = _rng.integers(0, 2**64, COMPONENTS, dtype=k.U)
 FACTORS = _rng.integers(0, 2**64, COMPONENTS, dtype=k.U) | k.U(1)
 TAGS = _rng.integers(0, 2**64, CHUNKED, dtype=k.U)
 LONG_FLIPS = _rng.integers(0, 2**64, LONG, dtype=k.U)
 LONG_FACTORS = _rng.integers(0, 2**64, LONG, dtype=k.U) | k.U(1)
-WORDS = [f"w{i}" for i in range(LONG // 64)]
 CHUNK_OF = np.arange(CHUNKED) * CHUNKS // CHUNKED
+CHUNK_START = np.searchsorted(CHUNK_OF, np.arange(CHUNKS))
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -79,13 +87,13 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def long_sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """For sets that are not empty: one bit of ``LONG`` minimum hashes, ``(LONG // 64, sets)``."""
+    """For sets that are not empty: one bit of ``LONG`` minimum hashes, ``(sets, LONG // 64)``."""
     flat = np.concatenate(sets)
     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    out = np.zeros((LONG // 64, len(sets)), k.U)
+    out = np.zeros((len(sets), LONG // 64), k.U)
     for j in range(LONG):
         least = k.mix(np.minimum.reduceat((flat ^ LONG_FLIPS[j]) * LONG_FACTORS[j], at))
-        out[j // 64] |= (least & k.U(1)) << k.U(j % 64)
+        out[:, j // 64] |= (least & k.U(1)) << k.U(j % 64)
     return out
 
 
@@ -116,159 +124,250 @@ def _signature_batch(n: int):
                 sums[1, at] = [k.mix(s ^ k.U(k.BASE)).sum(dtype=k.U) for s in full]
                 for row, to in zip(p, at.tolist(), strict=True):
                     parts[to] = row.tobytes()
-        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size), _signed(sums[0]), _signed(sums[1]), _signed(sketches), pa.array(parts, pa.binary())], names=["id", "n", "s1", "s2", "sketch", "parts"])
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), pa.array(size), _signed(sums[0]), _signed(sums[1]), _signed(sketches), pa.array(parts, pa.binary())], names=["id", "mark", "n", "s1", "s2", "sketch", "parts"])
 
     return run
 
 
+def _parts(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, CHUNKED)
+
+
 def _key_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), np.uint16).reshape(-1, CHUNKED)
-    repeat = np.repeat(np.arange(batch.num_rows), CHUNKED)
-    return pa.RecordBatch.from_arrays([_signed(keys_of(parts).ravel()), batch.column("rep").take(pa.array(repeat)), batch.column("sketch").take(pa.array(repeat))], names=["key", "rep", "sketch"])
+    repeat = pa.array(np.repeat(np.arange(batch.num_rows), CHUNKED))
+    names = ["rep", "mark", "sketch"]
+    return pa.RecordBatch.from_arrays([_signed(keys_of(_parts(batch.column("parts"))).ravel()), *[batch.column(c).take(repeat) for c in names]], names=["key", *names])
 
 
 def _set_batch(n: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, kept, sizes, sets, words = utf8(batch.column("text")), [], [], [], []
+        texts, kept, sets, wide = utf8(batch.column("text")), [], [], []
         for i, j in slices([len(t) for t in texts]):
             full = [(i + at, s) for at, s in enumerate(shingle_sets(texts[i:j], n)) if len(s)]
             if full:
                 kept += [at for at, _ in full]
-                sizes += [len(s) for _, s in full]
-                words.append(long_sketches([s for _, s in full]))
+                wide += [w.tobytes() for w in long_sketches([s for _, s in full])]
                 sets += [s.tobytes() for _, s in full]
-        words = np.concatenate(words, axis=1) if words else np.zeros((LONG // 64, 0), k.U)
-        columns = [batch.column("id").take(pa.array(kept, pa.int64())), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), *[_signed(np.ascontiguousarray(w)) for w in words]]
-        return pa.RecordBatch.from_arrays(columns, names=["id", "size", "shingles", *WORDS])
+        kept = pa.array(kept, pa.int64())
+        columns = [batch.column("rep").take(kept), batch.column("mark").take(kept), pa.array([len(s) // 8 for s in sets], pa.int64()), pa.array(sets, pa.binary()), pa.array(wide, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["rep", "mark", "size", "shingles", "wide"])
 
     return run
 
 
-def _link_batch(percent: int):
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = np.zeros(batch.num_rows, bool)
-        for i, (x, y) in enumerate(zip(batch.column("left"), batch.column("right"), strict=True)):
-            x, y = np.frombuffer(x.as_buffer(), k.U), np.frombuffer(y.as_buffer(), k.U)
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                continue
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            keep[i] = 100 * common >= percent * (len(both) - common)
-        return batch.select(["a", "b"]).filter(pa.array(keep))
+def _tiles(batches: Iterator[pa.RecordBatch], tile: list[str]) -> Iterator[pa.Table]:
+    """The rows of each tile, of batches that are sorted by tile."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = list(zip(*[batch.column(c).to_pylist() for c in tile], strict=True))
+        cuts = [0, *[i for i in range(1, len(names)) if names[i] != names[i - 1]], len(names)]
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            if held and names[a] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, z - a))
+            last = names[a]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def by_tile(df: DataFrame, tile: list[str], fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``fn`` of the rows of each tile, a tile in memory at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _tiles(batches, tile):
+            yield from fn(table).to_batches()
+
+    return df.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(run, schema)
+
+
+def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(x, k.U) for x in column.to_pylist()]
 
-    return run
 
+def linked(sets: list[np.ndarray], one: int, others: np.ndarray, percent: int) -> np.ndarray:
+    """Those of ``others`` whose set is as similar to that of ``one`` as asked; sets are sorted and not empty."""
+    own, out = sets[one], []
+    for i, j in slices([len(sets[x]) for x in others]):
+        part = others[i:j]
+        sizes = np.array([len(sets[x]) for x in part])
+        flat = np.concatenate([sets[x] for x in part])
+        at = np.searchsorted(own, flat)
+        at[at == len(own)] = 0
+        common = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+        out.append(part[100 * common >= percent * (len(own) + sizes - common)])
+    return np.concatenate(out) if out else others
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of ``pairs`` (``a``, ``b``) those whose full sets are as similar as asked. ``sets``: ``id``, ``shingles``."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-    return staged(map_batches(pairs.join(left, "a").join(right, "b"), _link_batch(percent), pairs.schema), "confirmed").distinct()
 
+def _star(percent: int):
+    """A slice of a center's classes: ``a``, ``b`` of those linked with it."""
 
-def shared_sizes(sets: DataFrame) -> DataFrame:
-    """``id``, ``shared``: how many of a set's shingles another id's set holds too. ``sets``: ``id``, ``shingles``."""
-    kind = sets.schema["id"].dataType.simpleString()
+    def run(table: pa.Table) -> pa.Table:
+        center = table.column("center").to_numpy()
+        sets, one = _sets(table.column("shingles")), int(np.flatnonzero(center)[0])
+        hit = linked(sets, one, np.flatnonzero(~center), percent)
+        rep = table.column("rep").combine_chunks()
+        return pa.table({"a": rep.take(pa.array(hit)), "b": rep.take(pa.array(np.full(len(hit), one)))})
 
-    def explode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        each = [np.frombuffer(b, np.int64) for b in batch.column("shingles").to_pylist()]
-        ids = batch.column("id").take(pa.array(np.repeat(np.arange(len(each)), [len(x) for x in each])))
-        return pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(each))], names=["id", "shingle"])
+    return run
+
+
+def candidates(table: pa.Table, percent: int, sketch_bits: int, long_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of a tile that may be similar and whose first shared key is the tile's."""
+    own, low, high = table.column("own").to_numpy(), table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    sketch, size = table.column("sketch").to_numpy().view(k.U), table.column("size").to_numpy()
+    wide = np.frombuffer(b"".join(table.column("wide").to_pylist()), k.U).reshape(len(sketch), -1)
+    parts = _parts(table.column("parts"))
+    which = int(np.flatnonzero(keys_of(parts[:1])[0].view(np.int64) == table.column("key")[0].as_py())[0])
+    component = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+    left = np.flatnonzero(own == low)
+    right = left if low == high else np.flatnonzero(own == high)
+    found = []
+    for i in range(0, len(left), 128):
+        x = left[i : i + 128]
+        near = np.bitwise_count(sketch[x][:, None] ^ sketch[right][None, :]) <= sketch_bits
+        near &= component[x][:, None] != component[right][None, :]
+        if low == high:
+            near &= x[:, None] < right[None, :]
+        a, b = np.nonzero(near)
+        a, b = x[a], right[b]
+        few = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
+        a, b = a[few], b[few]
+        for j in range(0, len(a), 1 << 16):
+            c, d = a[j : j + (1 << 16)], b[j : j + (1 << 16)]
+            differ = parts[c] != parts[d]
+            errors = np.add.reduceat(differ, CHUNK_START, axis=1, dtype=np.int64)
+            agree = errors[:, CHUNK_OF] == differ
+            first = agree.argmax(axis=1) == which
+            c, d = c[first], d[first]
+            close = np.bitwise_count(wide[c] ^ wide[d]).sum(axis=1, dtype=np.int64) <= long_bits
+            found.append((c[close], d[close]))
+    return tuple(np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(2))
+
+
+def _with_partner(percent: int, sketch_bits: int, long_bits: int):
+    """Of a tile, the rows that have a candidate."""
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = candidates(table, percent, sketch_bits, long_bits)
+        return table.take(pa.array(np.union1d(a, b).astype(np.int64)))
+
+    return run
 
-    rows = map_batches(sets.select("id", "shingles"), explode, f"id {kind}, shingle long")
-    held = rows.groupBy("shingle").agg(F.min("id").alias("x"), F.max("id").alias("y")).where(F.col("x") != F.col("y")).select("shingle")
-    return rows.join(held, "shingle").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
 
+def _links(percent: int, sketch_bits: int, long_bits: int):
+    """Of a tile with sets: ``a``, ``b`` of links that join its components; a pair that is joined already is left out."""
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = candidates(table, percent, sketch_bits, long_bits)
+        sets, root = _sets(table.column("shingles")), np.arange(table.num_rows)
+        order = np.argsort(a, kind="stable")
+        a, b, left, right = a[order], b[order], [], []
+        for i in np.unique(a).tolist():
+            others = b[np.searchsorted(a, i) : np.searchsorted(a, i, side="right")]
+            for x in linked(sets, i, others[root[others] != root[i]], percent).tolist():
+                if root[x] != root[i]:
+                    root[root == root[x]] = root[i]
+                    left.append(i)
+                    right.append(x)
+        rep = table.column("rep").combine_chunks()
+        return pa.table({"a": rep.take(pa.array(left, pa.int64())), "b": rep.take(pa.array(right, pa.int64()))})
 
-def _near(x: str, y: str, words: list[str], most: int) -> Column:
-    """Whether two sketches, columns ``words`` with these endings, differ in at most ``most`` bits."""
-    return reduce(lambda a, b: a + b, [F.bit_count(F.col(w + x).bitwiseXOR(F.col(w + y))) for w in words]) <= most
+    return run
 
 
-def _left_semi(x: DataFrame, y: DataFrame, condition: Column) -> DataFrame:
-    """Rows of ``x`` for which some row of ``y`` with the same ``key`` meets the condition; no pair is made."""
-    return x.join(y.withColumnRenamed("key", "key2"), (F.col("key") == F.col("key2")) & condition, "left_semi")
+def star_links(shared: DataFrame, sets: DataFrame, percent: int, sketch_bits: int) -> DataFrame:
+    """``a``, ``b``: classes linked with one of the ``TRIED`` closest centers of their keys."""
+    kind = shared.schema["rep"].dataType.simpleString()
+    one, drawn = F.struct("rep", "mark", "sketch"), F.xxhash64("rep", "mark")
+    centers = shared.groupBy("key").agg(F.array_distinct(F.array(F.min(one), F.max(one), F.min_by(one, drawn), F.max_by(one, drawn))).alias("centers"))
+    centers = centers.select(F.col("key").alias("key2"), F.explode("centers").alias("c")).select("key2", F.col("c.rep").alias("crep"), F.col("c.mark").alias("cmark"), F.col("c.sketch").alias("csketch"))
+    bits = F.bit_count(F.col("sketch").bitwiseXOR(F.col("csketch")))
+    met = shared.join(centers, (F.col("key") == F.col("key2")) & (F.col("rep") != F.col("crep")) & (bits <= sketch_bits))
+    # At most four centers a key: a class has a bounded number of them.
+    closest = F.slice(F.sort_array(F.collect_set(F.struct(bits.alias("bits"), "crep", "cmark"))), 1, TRIED)
+    stars = met.groupBy("rep", "mark").agg(closest.alias("c")).select("rep", "mark", F.explode("c").alias("c")).select("rep", "mark", "c.crep", "c.cmark")
+    stars = staged(stars, "stars")
+    slices = stars.groupBy("crep", "cmark").agg(F.ceil(F.count(F.lit(1)) / STAR_ROWS).alias("slices"))
+    stars = stars.join(slices, ["crep", "cmark"]).withColumn("slice", F.pmod(drawn, F.col("slices")))
+    tile = ["crep", "cmark", "slice"]
+    centers = stars.select(*tile).distinct().select(*tile, F.col("crep").alias("rep"), F.col("cmark").alias("mark"), F.lit(True).alias("center"))
+    rows = stars.select(*tile, "rep", "mark", F.lit(False).alias("center")).union(centers)
+    return by_tile(rows.join(sets.select("rep", "mark", "shingles"), ["rep", "mark"]), tile, _star(percent), f"a {kind}, b {kind}")
+
+
+def tile_links(shared: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, sketch_bits: int, long_bits: int) -> DataFrame:
+    """``a``, ``b``: links between classes of one key whose components (``found``) differ so far."""
+    kind = shared.schema["rep"].dataType.simpleString()
+    placed = shared.join(found, shared["rep"] == found["node"], "left").select("key", "rep", "mark", F.coalesce("component", "rep").alias("component"))
+    info = sets.select("rep", "mark", "size", "wide").join(classes.select("rep", "mark", "sketch", "parts"), ["rep", "mark"])
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(F.col("x") != F.col("y")).select("key")
+    placed = staged(placed.join(mixed, "key").join(info, ["rep", "mark"]), "mixed-keys")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    dealt = placed.join(placed.groupBy("key").agg(blocks.alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("rep", "mark"), F.col("blocks")).cast("int"))
+    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "mark", "component", "size", "sketch", "parts", "wide")
+    tile = ["key", "low", "high"]
+    active = staged(by_tile(tiles, tile, _with_partner(percent, sketch_bits, long_bits), tiles.schema), "tiles")
+    return by_tile(active.join(sets.select("rep", "mark", "shingles"), ["rep", "mark"]), tile, _links(percent, sketch_bits, long_bits), f"a {kind}, b {kind}")
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text", sketch_bits: int = SKETCH_BITS, long_bits: int = LONG_BITS) -> DataFrame:
     """One row per row of ``docs``: ``id``, ``n_shingles``, ``component_id``, ``kept``.
 
     A document's set holds the distinct runs of ``n`` words, A-Z lower-cased; with fewer words all of them as one; null
-    and empty texts have an empty set and link with nothing. Links need ``100 * common >= percent * united``.
-    ``component_id`` is the smallest id reachable, ``kept`` tells whether that is the row's own. Rows of one id are one
-    node, linked to whatever any of their texts is linked to. Rows without an id stay unlinked: their component is
-    null and they are kept. An empty table gives an empty table.
+    and empty texts have an empty set and link with nothing. Links need ``100 * common >= percent * united``, ties
+    included. ``component_id`` is the smallest id reachable, ``kept`` tells whether that is the row's own. Rows of one id
+    are one node, linked to whatever any of their texts is linked to. Rows without an id stay unlinked: their component
+    is null and they are kept. Whole texts are read; a very long one has a set in proportion, which alone may fill a
+    tile. An empty table gives an empty table. Signatures and sketches are made for a ``percent`` of 80 or more;
+    ``sketch_bits`` of 64 and ``long_bits`` of 1024 leave only the signatures' own guarantee.
     """
     kind = docs.schema[id].dataType.simpleString()
-    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    rows = staged(map_batches(texts, _signature_batch(n), f"id {kind}, n long, s1 long, s2 long, sketch long, parts binary"), "signatures")
+    texts = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    rows = staged(map_batches(texts, _signature_batch(n), f"id {kind}, mark long, n long, s1 long, s2 long, sketch long, parts binary"), "signatures")
     named = rows.where((F.col("n") > 0) & F.col("id").isNotNull())
     same = ["s1", "s2", "n"]
-    classes = staged(named.groupBy(*same).agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"), F.first("parts").alias("parts")), "classes")
-
-    keys = map_batches(classes.select("rep", "sketch", "parts"), _key_batch, f"key long, rep {kind}, sketch long")
-    least = keys.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where(F.col("center") != F.col("last")).select("key")
-    shared = staged(keys.join(least, "key"), "shared-keys")
-    named_as = lambda df, end: df.select("key", *[F.col(c).alias(c + end) for c in df.columns if c != "key"])
-    other = shared.select("key", "rep", "sketch")
-    meets = (F.col("rep1") != F.col("rep2")) & _near("1", "2", ["sketch"], SKETCH_BITS)
-    close = _left_semi(named_as(other, "1"), named_as(other, "2"), meets)
-    ids = close.select(F.col("rep1").alias("id")).distinct()
-    # A repeated row counts once from here on.
-    once = texts.withColumn("mark", F.xxhash64("text")).join(ids, "id").dropDuplicates(["id", "mark"]).select("id", "text")
-    sets = staged(map_batches(once, _set_batch(n), f"id {kind}, size long, shingles binary, " + ", ".join(f"{w} long" for w in WORDS)), "shingle-sets")
-    sketches = sets.select(F.col("id").alias("_id"), "size", *WORDS)
-
-    drawn, one = F.xxhash64("rep"), F.struct("rep", "sketch")
-    centers = shared.groupBy("key").agg(F.array_distinct(F.array(F.min(one), F.max(one), F.min_by(one, drawn), F.max_by(one, drawn))).alias("centers"))
-    centers = centers.select(F.col("key").alias("key2"), F.explode("centers").alias("c")).select("key2", F.col("c.rep").alias("rep2"), F.col("c.sketch").alias("sketch2"))
-    stars = named_as(other, "1").join(centers, (F.col("key") == F.col("key2")) & meets)
-    stars = stars.select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
-    for end in ("a", "b"):
-        stars = stars.join(sketches.select(F.col("_id").alias(end), *[F.col(w).alias(w + end) for w in WORDS]), end)
-    stars = staged(stars.where(_near("a", "b", WORDS, LONG_BITS)).select("a", "b").distinct(), "star-pairs")
-    links = confirmed(stars, sets, percent)
+    classes = named.groupBy(*same).agg(F.min(F.struct("id", "mark")).alias("one"), F.first("sketch").alias("sketch"), F.first("parts").alias("parts"))
+    classes = staged(classes.select(*same, F.col("one.id").alias("rep"), F.col("one.mark").alias("mark"), "sketch", "parts"), "classes")
+
+    keys = map_batches(classes.select("rep", "mark", "sketch", "parts"), _key_batch, f"key long, rep {kind}, mark long, sketch long")
+    held = keys.groupBy("key").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where(F.col("x") != F.col("y")).select("key")
+    shared = staged(keys.join(held, "key"), "shared-keys")
+    wanted = shared.select(F.col("rep").alias("id"), "mark").distinct()
+    once = texts.join(wanted, ["id", "mark"]).dropDuplicates(["id", "mark"]).select(F.col("id").alias("rep"), "mark", "text")
+    sets = staged(map_batches(once, _set_batch(n), f"rep {kind}, mark long, size long, shingles binary, wide binary"), "shingle-sets")
 
     # An id with several texts joins their classes.
     member = named.join(classes.select(*same, "rep"), same).select("id", "rep")
     several = member.groupBy("id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where(F.col("x") != F.col("y")).select("id")
     own = member.join(several, "id").where(F.col("id") != F.col("rep")).select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    links = staged(links.union(own), "links")
+    links = staged(star_links(shared, sets, percent, sketch_bits).union(own), "links")
     found = connected_components(links)
-
-    # Classes that share a key and whose components still differ; what was compared before is left out.
-    placed = shared.join(found, shared["rep"] == found["node"], "left").select("key", "rep", "sketch", F.coalesce("component", "rep").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(F.col("x") != F.col("y")).select("key")
-    placed = staged(placed.join(mixed, "key").join(sketches, F.col("rep") == F.col("_id")).drop("_id"), "mixed-keys")
-    apart = (F.col("component1") != F.col("component2")) & _near("1", "2", ["sketch"], SKETCH_BITS) & _near("1", "2", WORDS, LONG_BITS)
-    left = _left_semi(named_as(placed, "1"), named_as(placed, "2"), apart).select(F.col("rep1").alias("id")).distinct()
-    sizes = staged(shared_sizes(sets.join(left, "id", "left_semi")), "shared-sizes")
-    placed = placed.join(sizes.select(F.col("id").alias("rep"), "shared"), "rep")
-    enough = F.least("shared1", "shared2") * (100 + percent) >= percent * (F.col("size1") + F.col("size2"))
-    x, y = named_as(placed, "1"), named_as(placed, "2").withColumnRenamed("key", "key2")
-    rest = x.join(y, (F.col("key") == F.col("key2")) & (F.col("rep1") < F.col("rep2")) & enough & apart)
-    rest = rest.select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    rest = staged(rest, "rest-pairs")
-    if not rest.isEmpty():
-        found = connected_components(links.union(confirmed(rest, sets, percent)))
+    more = staged(tile_links(shared, found, classes, sets, percent, sketch_bits, long_bits), "tile-links")
+    if not more.isEmpty():
+        found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     component = classes.join(found, classes["rep"] == found["node"], "left").select(*same, F.coalesce("component", "rep").alias("component"))
-    linked = rows.where(F.col("id").isNotNull()).join(component, same, "left").select("id", "n", F.coalesce("component", "id").alias("component"))
-    out = linked.union(rows.where(F.col("id").isNull()).select("id", "n", F.lit(None).cast(kind)))
+    linked_rows = rows.where(F.col("id").isNotNull()).join(component, same, "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+    out = linked_rows.union(rows.where(F.col("id").isNull()).select("id", "n", F.lit(None).cast(kind)))
     return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
 def dedup(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group: that of the smallest id; of rows with one id, the least by text's hash.
+    """``docs`` with one row of each group: that of the smallest id; of rows with one id, the least by its text's hash,
+    then by all its columns written out.
 
-    Rows without an id stay.
+    Rows without an id stay. Columns may have any names and types.
     """
-    judged = near_duplicates(docs, n, percent, id, text).where("kept").select(F.col(id).alias("_id")).distinct()
-    kept = docs.join(judged, docs[id] == judged["_id"], "left_semi")
-    repeated = docs.where(F.col(id).isNotNull()).groupBy(id).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    judged = near_duplicates(docs, n, percent, id, text).where("kept").select(F.col(id).alias("_kept_id")).distinct()
+    rows = docs.select(packed(docs).alias("_row"), F.col(id).alias("_own_id"), F.xxhash64(F.col(text)).alias("_mark"))
+    kept = rows.join(judged, F.col("_own_id") == F.col("_kept_id"), "left_semi")
+    repeated = rows.where(F.col("_own_id").isNotNull()).groupBy("_own_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     if not repeated.isEmpty():
-        marks = F.struct(F.xxhash64(*docs.columns), *[F.col(c) for c in docs.columns])
-        once = kept.groupBy(id).agg(F.min_by(F.struct(*docs.columns), marks).alias("_row"))
-        kept = once.select("_row.*").select(*docs.columns)
-    return kept.unionByName(docs.where(F.col(id).isNull()))
+        kept = kept.groupBy("_own_id").agg(F.min_by("_row", F.struct("_mark", F.to_json("_row"))).alias("_row"))
+    out = kept.select("_row").union(rows.where(F.col("_own_id").isNull()).select("_row"))
+    return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from brindle.llm import components, minhash
 
 
@@ -46,6 +49,46 @@ def test_brute_force(spark, docs):
     check(spark, docs, 5)
 
 
+def test_small_blocks_and_slices(spark, docs, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(minhash, "STAR_ROWS", 2)
+    monkeypatch.setattr(minhash, "TRIED", 1)
+    check(spark, docs, 4)
+
+
+def crowd(spark, size=60):
+    """Copies of one text that are half alike, chains of close ones among them."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(size):
+        copy = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 1, 2, 3])):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_a_crowd_of_half_alike_copies(spark, monkeypatch):
+    df = crowd(spark)
+    check(spark, df, 4)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 7)
+    check(spark, df, 4, 85)
+
+
+def test_sketches_can_be_turned_off(spark):
+    df = crowd(spark, 30)
+    rows = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, 4, 80, sketch_bits=64, long_bits=1024).collect()}
+    assert rows == {i: c for i, (_, c) in brute([(r.doc_id, r.text) for r in df.collect()], 4, 80).items()}
+
+
+def test_columns_of_any_name_and_type(spark):
+    rows = [(1, "a b c d e f", {"x": 1}), (1, "a b c d e f", {"x": 2}), (2, "a b c d e f", {}), (None, "q", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row map<string,int>").withColumn("_kept_id", F.lit(7)).withColumn("mark", F.lit("m"))
+    out = minhash.dedup(df)
+    assert out.dtypes == df.dtypes and sorted((r.doc_id or 0, r.mark) for r in out.collect()) == [(0, "m"), (1, "m")]
+
+
 def test_null_ids_ties_and_empty(spark, docs, no_docs):
     extra = spark.createDataFrame([(None, "p q r s t u"), (None, None), (7001, "p q r s t u"), (7000, "P Q R S T U")], "doc_id long, text string")
     check(spark, docs.select("doc_id", "text").where("doc_id < 40").union(extra), 4)
@@ -89,8 +132,8 @@ def test_signature_distance_of_similar_sets():
         keys = minhash.keys_of(parts)
         assert set(keys[0]) & set(keys[1])
         assert int(sketch[0] ^ sketch[1]).bit_count() <= minhash.SKETCH_BITS
-        long = minhash.long_sketches([x, y])
-        assert sum(int(w[0] ^ w[1]).bit_count() for w in long) <= minhash.LONG_BITS
+        a, b = minhash.long_sketches([x, y])
+        assert sum(int(w).bit_count() for w in a ^ b) <= minhash.LONG_BITS
 
 
 def test_every_distance_up_to_the_threshold_shares_a_key():
