@@ -1,90 +1,200 @@
-"""Quality by language-model perplexity: interpolated modified Kneser-Ney over character classes.
-
-Characters fold to ``CLASSES`` classes and a model has ``ORDER``-grams of them, so a language's model has at most
-``CLASSES ** ORDER`` entries however large the corpus is. All trusted text of a language is counted: batches count in
-their task, counts are summed in shards of (language, n-gram), and continuation counts, discounts and
-interpolation are joins and sums of those shards. Every document is then scored whole by its language's
-probabilities, and thresholds are quantiles, per language, of the perplexities of trusted documents.
+"""Quality by language-model perplexity: interpolated modified Kneser-Ney over characters, at any size of the model.
+
+N-grams are strings of ``ORDER`` characters as they stand, so every script keeps its distinctions and a model grows
+with the corpus. A task packs the documents that it reads into chunks of one language. A chunk sends each n-gram that
+it holds once, with how often its trusted documents hold it; counts, continuation counts, discounts and interpolation are
+joins and sums of shards of (language, n-gram). The n-grams that any chunk holds meet the model in joins, order by
+order, and their logarithms go back to the chunks, which add them up for each document. Chunks lie in buckets, so that
+texts never move: what a chunk is told comes to its bucket. Nothing is gathered on the driver.
 """
 
 from __future__ import annotations
 
+import secrets
+import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from brindle.llm.common import shared_dir, slices, staged
+
+ORDER = 4
+#: What stands before a text: a code point that Unicode assigns to no character.
+EDGE = "\uffff"
+#: Below the single characters all code points are alike.
+POINTS = 0x110000
+#: Characters of a chunk, of the parts of a long text, and of what a kernel takes at a time.
+CHUNK, PART, SECTION = 16 << 20, 1 << 20, 1 << 20
+#: One trusted document in so many is not counted: these set the limit.
+HELD_OUT = 2
+#: Held-out documents of a language that weigh as much as all languages together.
+DRAWN = 100
+
+
+def name_of(lang: Column) -> Column:
+    """A language's name that is never null."""
+    return F.coalesce(F.concat(F.lit("="), lang), F.lit("-"))
+
+
+def held_out(id: Column) -> Column:
+    return F.pmod(F.xxhash64(id), F.lit(HELD_OUT)) == 0
+
+
+def bucketed(df: DataFrame, name: str, column: str) -> tuple[DataFrame, str]:
+    """``df`` in the shared folder, in as many buckets of ``column`` as a shuffle has partitions, and its table's name.
+
+    A task writes a file for each bucket that it has rows of; joins on ``column`` then leave these rows where they are.
+    """
+    spark, table = df.sparkSession, f"brindle_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", f"{shared_dir(spark)}/{name}-{table}").option("compression", "zstd").bucketBy(buckets, column).saveAsTable(table)
+    return spark.table(table), table
+
+
+def _zip(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def _unzip(b: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(b)
+
 
-from brindle.llm.common import staged
-
-CLASSES, ORDER, BITS = 64, 4, 6
-EDGE, SPACE, LINE, DIGIT, UPPER, FIRST_LETTER, FIRST_MARK, OTHER_LETTERS, OTHER = 0, 1, 2, 3, 4, 5, 31, 55, 63
-MARKS = ".,!?;:'\"-|#$%&*()/_=+<>@"
-#: N-grams that go to the tasks at once; languages beyond it are scored in further passes.
-SENT_AT_ONCE = 4_000_000
-FOLDED = 0x3000
-
-
-@lru_cache(maxsize=1)
-def folding() -> np.ndarray:
-    """The class of each code point below ``FOLDED``; all others are ``OTHER``."""
-    to = np.full(FOLDED + 1, OTHER, np.uint8)
-    for c in range(FOLDED):
-        s = chr(c)
-        if "a" <= s <= "z":
-            to[c] = FIRST_LETTER + c - 97
-        elif s in MARKS:
-            to[c] = FIRST_MARK + MARKS.index(s)
-        elif s == "\n":
-            to[c] = LINE
-        elif s.isspace():
-            to[c] = SPACE
-        elif s.isdigit():
-            to[c] = DIGIT
-        elif s.isupper():
-            to[c] = UPPER
-        elif s.isalpha():
-            to[c] = OTHER_LETTERS + c % (OTHER - OTHER_LETTERS)
-    return to
-
-
-def classes(text: str) -> np.ndarray:
-    """A text's classes with ``ORDER - 1`` edges before it."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = np.zeros(len(points) + ORDER - 1, np.int64)
-    out[ORDER - 1 :] = folding()[np.minimum(points, FOLDED)]
-    return out
-
-
-def grams(c: np.ndarray, n: int = ORDER) -> np.ndarray:
-    """Codes of all n-grams that end at a character of the text."""
-    m = len(c) - ORDER + 1
-    code = np.zeros(m, np.int64)
-    for i in range(ORDER - n, ORDER):
-        code = code << BITS | c[i : i + m]
-    return code
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(kind: pa.DataType):
+    """A task's documents by language, in chunks; a text longer than ``PART`` in several parts, each after its context."""
+    types = [pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(kind), pa.list_(pa.int32()), pa.binary()]
+
+    def row(name: str, held: list) -> pa.RecordBatch:
+        uids, ids, parts = zip(*held, strict=True)
+        values = [secrets.randbits(62), name, uids, ids, [len(p) for p in parts], _zip("".join(parts).encode())]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, types, strict=True)], names=["chunk", "name", "uids", "ids", "sizes", "raw"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list] = {}
+        size: dict[str, int] = {}
+        for batch in batches:
+            for uid, id, text, name in zip(*[batch.column(c).to_pylist() for c in ("uid", "id", "text", "name")], strict=True):
+                text = text or ""
+                for at in range(0, max(len(text), 1), PART):
+                    part = (text[at - ORDER + 1 : at] if at else EDGE * (ORDER - 1)) + text[at : at + PART]
+                    waiting.setdefault(name, []).append((uid, id, part))
+                    size[name] = size.get(name, 0) + len(part)
+                    if sum(size.values()) >= 2 * CHUNK or size[name] >= CHUNK:
+                        most = max(size, key=size.get)
+                        yield row(most, waiting.pop(most))
+                        size.pop(most)
+        for name, held in waiting.items():
+            yield row(name, held)
+
+    return run
+
+
+class Block:
+    """Parts of texts in a row with at most 65536 different characters, and their distinct n-grams in order."""
+
+    def __init__(self, parts: list[str], alphabet: np.ndarray):
+        self.parts, self.alphabet = parts, alphabet
+        self.code = np.zeros(POINTS, np.uint64)
+        self.code[alphabet] = np.arange(len(alphabet), dtype=np.uint64)
+        self.grams = np.unique(np.concatenate([np.unique(names) for _, names, _ in self.sections()]))
+
+    def sections(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The first part of a section, its n-grams (the ``ORDER`` codes at 16 bits each), and the part of each."""
+        for i, j in slices([len(p) for p in self.parts], SECTION):
+            code = self.code[points("".join(self.parts[i:j]))]
+            name = code[: max(len(code) - ORDER + 1, 0)].copy()
+            for n in range(1, ORDER):
+                name <<= np.uint64(16)
+                name |= code[n : len(code) - ORDER + 1 + n]
+            sizes = np.array([len(p) - ORDER + 1 for p in self.parts[i:j]])
+            part = np.repeat(np.arange(j - i), sizes)
+            yield i, name[np.arange(len(part)) + part * (ORDER - 1)], part
+
+    def strings(self) -> list[str]:
+        shifts = np.arange(ORDER - 1, -1, -1, dtype=np.uint64) * np.uint64(16)
+        at = (self.grams[:, None] >> shifts) & np.uint64(0xFFFF)
+        text = self.alphabet[at.astype(np.int64)].astype(np.uint32).tobytes().decode("utf-32-le")
+        return [text[i : i + ORDER] for i in range(0, len(text), ORDER)]
+
+
+def points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def blocks_of(sizes: list[int], raw: bytes) -> list[Block]:
+    """One for a chunk, but for one with more characters than 16 bits can tell apart."""
+    text, at, parts = _unzip(raw).decode(), 0, []
+    for n in sizes:
+        parts.append(text[at : at + n])
+        at += n
+
+    def cut(parts: list[str]) -> list[Block]:
+        seen = np.zeros(POINTS, bool)
+        for i, j in slices([len(p) for p in parts], SECTION):
+            seen[points("".join(parts[i:j]))] = True
+        alphabet = np.flatnonzero(seen)
+        if len(alphabet) <= 1 << 16:
+            return [Block(parts, alphabet)]
+        if len(parts) > 1:
+            return [*cut(parts[: len(parts) // 2]), *cut(parts[len(parts) // 2 :])]
+        raise AssertionError("a part has no more than 65536 characters of its own")
+
+    return cut(parts)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One at a time: a row holds a chunk."""
     for batch in batches:
-        langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-        for lang in sorted(set(langs), key=str):  # one table of counts at a time: 64 MB
-            total = np.zeros(CLASSES**ORDER, np.int32)
-            for other, text in zip(langs, texts, strict=True):
-                if other == lang and text:
-                    for i in range(0, len(text), 1 << 20):  # long texts in parts that overlap
-                        np.add.at(total, grams(classes(text[max(0, i - ORDER + 1) : i + (1 << 20)]))[min(i, ORDER - 1) :], 1)
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(total[at].astype(np.int64))], names=["lang", "gram", "n"])
-
-
-def discounts(counts: DataFrame, lang: str = "lang") -> DataFrame:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1)
+
+
+def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        chunk, name, sizes, raw, trusted = (row.column(c)[0].as_py() for c in ("chunk", "name", "sizes", "raw", "trusted"))
+        good = np.zeros(len(sizes), bool)
+        good[trusted or []] = True
+        at = first = 0
+        for block in blocks_of(sizes, raw):
+            n = np.zeros(len(block.grams), np.int64)
+            for i, names, part in block.sections():
+                some, times = np.unique(names[good[first + i + part]], return_counts=True)
+                n[np.searchsorted(block.grams, some)] += times
+            m = len(n)
+            columns = [pa.array([name] * m, pa.string()), pa.array(block.strings(), pa.string()), pa.array(np.full(m, chunk)), pa.array(np.arange(at, at + m, dtype=np.int32)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "gram", "chunk", "at", "n"])
+            at, first = at + m, first + len(block.parts)
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        sizes, raw = (row.column(c)[0].as_py() for c in ("sizes", "raw"))
+        got = row.column("told")[0].values
+        total = np.full(len(sizes), np.nan)
+        at = first = 0
+        for block in blocks_of(sizes, raw) if got is not None else []:
+            log_p = np.full(len(block.grams), np.nan)
+            place = got.field("at").to_numpy() - at
+            here = (place >= 0) & (place < len(log_p))
+            log_p[place[here]] = got.field("log_p").to_numpy()[here]
+            for i, names, part in block.sections():
+                sums = np.bincount(part, log_p[np.searchsorted(block.grams, names)])
+                total[first + i : first + i + len(sums)] = sums
+            at, first = at + len(log_p), first + len(block.parts)
+        n = np.array(sizes) - ORDER + 1
+        total[(n == 0) | np.isnan(total)] = np.nan
+        columns = [row.column("uids")[0].values, row.column("ids")[0].values, pa.array([row.column("name")[0].as_py()] * len(total), pa.string())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(total, mask=np.isnan(total)), pa.array(n, pa.int64())], names=["uid", "id", "name", "log_p", "n"])
+
+
+def discounts(counts: DataFrame) -> DataFrame:
     """Per language the three discounts of an order's counts, from how many n-grams occur once to four times."""
     times = lambda k: F.sum((F.col("n") == k).cast("double"))
-    t = counts.groupBy(lang).agg(*[times(i).alias(f"t{i}") for i in (1, 2, 3, 4)])
+    t = counts.groupBy("name").agg(*[times(i).alias(f"t{i}") for i in (1, 2, 3, 4)])
     y = F.when(F.col("t1") + 2 * F.col("t2") > 0, F.col("t1") / (F.col("t1") + 2 * F.col("t2"))).otherwise(0.5)
 
     def d(k: int) -> Column:
@@ -92,147 +202,102 @@ def discounts(counts: DataFrame, lang: str = "lang") -> DataFrame:
         value = k - (k + 1) * y * F.col(f"t{k + 1}") / F.col(f"t{k}")
         return F.when(known, F.greatest(F.lit(0.05 * k), F.least(value, F.lit(0.95 * k)))).otherwise(0.5 * k).alias(f"d{k}")
 
-    return t.select(lang, d(1), d(2), d(3))
+    return t.select("name", d(1), d(2), d(3))
 
 
-def train(trusted: DataFrame) -> DataFrame:
-    """The model of ``trusted`` (``lang``, ``text``): rows ``(lang, order, kind, gram, value)``.
-
-    ``kind`` ``p`` is an n-gram's interpolated probability, ``g`` what a context leaves to the next lower order.
-    """
-    counted = trusted.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+def train(counted: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """From ``name``, ``gram``, ``n``: of each order from 1 the probabilities ``name``, ``gram``, ``p``, and what a
+    context leaves to the next lower order, ``name``, ``context``, ``g``."""
     counts = {ORDER: staged(counted, "ngrams")}
-    for k in range(ORDER - 1, 0, -1):  # in how many contexts of one more class an n-gram is seen
-        shorter = F.col("gram").bitwiseAND((1 << BITS * k) - 1)
-        counts[k] = counts[k + 1].groupBy("lang", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-    lower = None
-    rows = None
-    for k in range(1, ORDER + 1):
-        context = F.shiftright("gram", BITS)
-        table = _join(counts[k], discounts(counts[k]), ["lang"])
+    shorter = F.expr("substring(gram, 2)")
+    for n in range(ORDER - 1, 0, -1):  # in how many contexts of one more character an n-gram is seen
+        counts[n] = staged(counts[n + 1].groupBy("name", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "ngrams")
+    known, left = [], []
+    for n in range(1, ORDER + 1):
+        table = counts[n].join(F.broadcast(discounts(counts[n])), "name")
         cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        table = table.select("lang", "gram", context.alias("context"), "n", cut.alias("cut"))
-        left = table.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("cut").alias("cuts"))
-        left = left.withColumn("g", F.col("cuts") / F.col("total"))
-        seen = _join(table, left, ["lang", "context"])
-        own = (F.col("n") - F.col("cut")) / F.col("total")
-        if lower is None:
-            p = seen.select("lang", "gram", (own + F.col("g") / CLASSES).alias("p"))
+        table = table.select("name", "gram", F.substring("gram", 1, n - 1).alias("context"), "n", cut.alias("cut"))
+        of = staged(table.groupBy("name", "context").agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("g")), "contexts")
+        seen = table.join(of, ["name", "context"]).withColumn("own", (F.col("n") - F.col("cut")) / F.col("total"))
+        if known:
+            below = known[-1].select("name", F.col("gram").alias("short"), F.col("p").alias("below"))
+            seen = seen.withColumn("short", shorter).join(below, ["name", "short"])
         else:
-            shorter = F.col("gram").bitwiseAND((1 << BITS * (k - 1)) - 1)
-            p = _join(seen.withColumn("short", shorter), lower.select("lang", F.col("gram").alias("short"), F.col("p").alias("below")), ["lang", "short"])
-            p = p.select("lang", "gram", (own + F.col("g") * F.col("below")).alias("p"))
-        lower = staged(p, "probabilities")
-        part = lower.select("lang", F.lit(k).alias("order"), F.lit("p").alias("kind"), "gram", F.col("p").alias("value"))
-        part = part.union(left.select("lang", F.lit(k), F.lit("g"), "context", "g"))
-        rows = part if rows is None else rows.union(part)
-    return staged(rows, "language-model")
-
-
-def _join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join in which null languages are equal."""
-    right = right.select(*[F.col(c).alias(f"_{c}") if c in on else F.col(c) for c in right.columns])
-    same = [left[c].eqNullSafe(right[f"_{c}"]) for c in on]
-    return left.join(right, same).drop(*[f"_{c}" for c in on])
-
-
-def dense(order: np.ndarray, kind: np.ndarray, gram: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Log probabilities of all ``CLASSES ** ORDER`` n-grams of one language, backing off where one is unseen."""
-    p = np.full(CLASSES, 1 / CLASSES, np.float32)
-    for k in range(1, ORDER + 1):
-        gamma = np.ones(CLASSES ** (k - 1), np.float32)
-        at = (order == k) & (kind == "g")
-        gamma[gram[at]] = value[at]
-        # An n-gram's shorter one has the same last classes: it repeats over the first class.
-        p = np.tile(p, CLASSES**k // len(p))
-        p.reshape(-1, CLASSES)[:] *= gamma[:, None]
-        at = (order == k) & (kind == "p")
-        p[gram[at]] = value[at]
-    return np.log(p, out=p)
-
-
-def perplexity(text: str, log_p: np.ndarray) -> float:
-    total = 0.0
-    for i in range(0, len(text), 1 << 20):
-        g = grams(classes(text[max(0, i - ORDER + 1) : i + (1 << 20)]))[min(i, ORDER - 1) :]
-        total += float(log_p[g].sum(dtype=np.float64))
-    return float(np.exp(-total / len(text)))
-
-
-def score(docs: DataFrame, model: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``id``, ``lang``, ``perplexity`` of every row whose language has a model; null for a text without characters.
-
-    The model goes to the tasks ``SENT_AT_ONCE`` n-grams at a time, languages whole, in as many passes as that takes.
-    """
-    sizes = model.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()  # a row for each language
-    passes: list[list] = []
-    room = 0
-    for lang_, n in sizes:
-        if not passes or n > room:
-            passes.append([])
-            room = SENT_AT_ONCE
-        passes[-1].append(lang_)
-        room -= n
-    out = None
-    schema = f"{id} {docs.schema[id].dataType.simpleString()}, lang string, perplexity double"
-    for some in passes:
-        here, named = F.lit(False), [s for s in some if s is not None]
-        if named:  # `null IN ()` would be false, not null
-            here = F.coalesce(F.col("lang").isin(named), F.lit(False))
-        if None in some:
-            here = here | F.col("lang").isNull()
-        table = {}
-        got = model.where(here).select("lang", F.col("order").cast("byte"), (F.col("kind") == "p").alias("is_p"), F.col("gram").cast("int"), F.col("value").cast("float")).toArrow()
-        for key in some:
-            rows = pc.is_null(got["lang"]) if key is None else pc.equal(got["lang"], key)
-            part = got.filter(pc.fill_null(rows, False))
-            table[key] = tuple(part[c].to_numpy() for c in ("order", "is_p", "gram", "value"))
-        part = docs.select(F.col(id), F.col(lang).alias("lang"), F.col(text).alias("text")).where(here).mapInArrow(_scorer(table, id), schema)
-        out = part if out is None else out.union(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
-
-
-def _scorer(table: dict, id: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready: dict = {}
-        for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-            values: list = [None] * len(texts)
-            for lang in sorted(set(langs), key=str):
-                if lang not in ready:
-                    if len(ready) >= 2:  # 64 MB each
-                        ready.pop(next(iter(ready)))
-                    order, is_p, gram, value = table[lang]
-                    ready[lang] = dense(order, np.where(is_p, "p", "g"), gram, value)
-                log_p = ready[lang]
-                for i, (other, t) in enumerate(zip(langs, texts, strict=True)):
-                    if other == lang and t:
-                        values[i] = perplexity(t, log_p)
-            yield pa.RecordBatch.from_arrays([batch.column(id), batch.column("lang"), pa.array(values, pa.float64())], names=[id, "lang", "perplexity"])
+            seen = seen.withColumn("below", F.lit(1.0 / POINTS))
+        known.append(staged(seen.select("name", "gram", (F.col("own") + F.col("g") * F.col("below")).alias("p")), "probabilities"))
+        left.append(of.select("name", "context", "g"))
+    return known, left
 
-    return run
 
+def look_up(wanted: DataFrame, known: list[DataFrame], left: list[DataFrame]) -> DataFrame:
+    """``name``, ``gram``, ``p`` of the n-grams ``wanted`` (distinct ``name``, ``gram``) whose language has a model.
 
-def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: float = 1.25, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    Only those that an order has not seen go on to the next lower one.
+    """
+    wanted = wanted.join(F.broadcast(left[0].select("name").distinct()), "name", "left_semi")
+    told = []
+    for n in range(ORDER, 0, -1):
+        found = wanted.join(known[n - 1], ["name", "gram"], "left").withColumn("context", F.substring("gram", 1, n - 1))
+        told.append(staged(found.join(left[n - 1], ["name", "context"], "left").select("name", "gram", "p", F.coalesce("g", F.lit(1.0)).alias("g")), "looked-up"))
+        wanted = told[-1].where("p IS NULL").select("name", F.expr("substring(gram, 2)").alias("gram")).distinct()
+    below = told.pop().select("name", "gram", F.coalesce("p", F.col("g") / POINTS).alias("p"))
+    while told:
+        short = below.select("name", F.col("gram").alias("short"), F.col("p").alias("below"))
+        mine = told.pop().withColumn("short", F.when(F.col("p").isNull(), F.expr("substring(gram, 2)")))
+        below = mine.join(short, ["name", "short"], "left").select("name", "gram", F.coalesce("p", F.col("g") * F.col("below")).alias("p"))
+    return below
+
+
+def thresholds(trusted: DataFrame, quantile: float) -> DataFrame:
+    """``name``, ``threshold`` from ``name``, ``perplexity``, ``held`` of trusted documents.
+
+    A language's limit is the quantile of those held out (of all where none is), in logarithms. With few of them that
+    says little, so its distance to the language's median is drawn, as strongly as ``DRAWN`` documents would, to that
+    of all languages; each distance is widened by one part in the root of the number of documents behind it.
+    """
+    some = trusted.groupBy("name").agg(F.max("held").alias("some"))  # here and below: a row for each language
+    held = trusted.join(F.broadcast(some), "name").where(F.col("held") | ~F.col("some"))
+    own = held.groupBy("name").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(F.log("perplexity"), q, 100_000).alias(c) for c, q in (("middle", 0.5), ("limit", quantile))])
+    own = staged(own, "language-limits")
+    above, n = held.join(F.broadcast(own), "name").agg(F.percentile_approx(F.log("perplexity") - F.col("middle"), quantile, 100_000), F.count(F.lit(1))).first()
+    widened = F.lit(above * (1 + n**-0.5) if n else 0.0)
+    alone = (F.col("limit") - F.col("middle")) * (1 + F.pow("n", F.lit(-0.5)))
+    share = F.col("n") / (F.col("n") + DRAWN)
+    return own.select("name", F.exp(F.col("middle") + share * alone + (1 - share) * widened).alias("threshold"))
+
+
+def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per row of ``docs``: ``id``, ``lang``, ``perplexity``, ``threshold``, ``kept``.
 
-    Trusted are the documents whose labels all say quality 1 and none says toxic; all of them are counted. A document
-    is kept if its perplexity is at most ``slack`` times its language's ``quantile`` among trusted documents. A text
+    Trusted are the documents whose labels all say quality 1 and none says toxic. All of them are counted but one in
+    ``HELD_OUT``, by hashed id: those set the limit, the ``quantile`` of their language (see ``thresholds``; all trusted
+    ones do both where a language has no others). A document is kept if its perplexity is at most the limit, ties included. A text
     that is null or empty has no perplexity and is not kept; a document of a language without trusted text is kept,
-    without perplexity. A null language is a language of its own. Repeated rows are judged each; an empty table gives
-    an empty table; without labels everything is kept.
+    without perplexity. A null language is a language of its own. Whole texts are read, very long ones in several parts.
+    Repeated rows are judged each; an empty table gives an empty table; without labels everything is kept.
     """
-    good = labels.where(F.col(id).isNotNull()).groupBy(id).agg(F.min("quality").alias("_q"), F.max(F.coalesce("toxic", F.lit(0))).alias("_t")).where("_q = 1 AND _t = 0").select(F.col(id))
-    rows = docs.select(F.col(id), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    # Trusted ids grow with the corpus: at any size they meet the texts in a shuffle.
-    model = train(rows.join(good.hint("merge"), id, "left_semi"))
-    scored = staged(score(rows, model, id, "text", "lang"), "perplexities")
-    limits = scored.where(F.col("perplexity").isNotNull()).join(good, id, "left_semi").groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 100_000) * slack).alias("threshold"))
-    known = limits.select(F.col("lang").alias("_l"), "threshold")
-    told = scored.join(known, scored["lang"].eqNullSafe(known["_l"]), "left")
-    kept = F.when(F.col("perplexity").isNull(), False).otherwise(F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
-    told = told.select(F.col(id), "lang", "perplexity", "threshold", kept.alias("kept"))
-    models = model.select(F.col("lang").alias("_l")).distinct()
-    sized = rows.select(F.col(id), "lang", F.coalesce(F.length("text") > 0, F.lit(False)).alias("kept"))
-    rest = sized.join(models, sized["lang"].eqNullSafe(models["_l"]), "left_anti")
-    return told.union(rest.select(F.col(id), "lang", F.lit(None).cast("double"), F.lit(None).cast("double"), "kept"))
+    good = labels.where(F.col(id).isNotNull()).groupBy(id).agg(F.min("quality").alias("_q"), F.max(F.coalesce("toxic", F.lit(0))).alias("_t")).where("_q = 1 AND _t = 0").select(F.col(id).alias("id"))
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id).alias("id"), F.col(text).alias("text"), name_of(F.col(lang)).alias("name"))
+    kind = docs.schema[id].dataType.simpleString()
+    id_type = to_arrow_type(docs.schema[id].dataType)
+    packed = rows.mapInArrow(_pack(id_type), f"chunk long, name string, uids array<long>, ids array<{kind}>, sizes array<int>, raw binary")
+    chunks, table = bucketed(packed, "chunks", "chunk")
+    places = chunks.select("chunk", "name", F.posexplode("ids").alias("place", "id")).where("id IS NOT NULL")
+    places = places.join(good, "id", "left_semi").withColumn("held", held_out(F.col("id")))
+    counted = places.groupBy("name").agg(F.min("held").alias("none"))  # a row for each language
+    places = places.join(F.broadcast(counted), "name").where(~F.col("held") | F.col("none"))
+    trusted = places.groupBy("chunk").agg(F.collect_list("place").alias("trusted"))
+    sent = chunks.select("chunk", "name", "sizes", "raw").join(trusted, "chunk", "left").mapInArrow(_send, "name string, gram string, chunk long, at int, n long")
+    sent = staged(sent, "chunk-ngrams")
+    known, left = train(sent.where("n > 0").groupBy("name", "gram").agg(F.sum("n").alias("n")))
+    p = look_up(sent.select("name", "gram").distinct(), known, left)
+    told = sent.select("name", "gram", "chunk", "at").join(p, ["name", "gram"]).select("chunk", "at", F.log("p").cast("float").alias("log_p"))
+    told = told.groupBy("chunk").agg(F.collect_list(F.struct("at", "log_p")).alias("told"))
+    added = chunks.join(told, "chunk", "left").mapInArrow(_add_up, f"uid long, id {kind}, name string, log_p double, n long")
+    whole = added.groupBy("uid", "id", "name").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
+    scored = staged(whole.select("id", "name", "n", F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n"))).alias("perplexity")), "perplexities")
+    docs.sparkSession.sql(f"DROP TABLE {table}")
+    limits = thresholds(scored.where("perplexity IS NOT NULL").join(good, "id", "left_semi").select("name", "perplexity", held_out(F.col("id")).alias("held")), quantile)
+    kept = (F.col("n") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
+    of = F.when(F.col("name") != "-", F.expr("substring(name, 2)"))
+    return scored.join(F.broadcast(limits), "name", "left").select(F.col("id").alias(id), of.alias("lang"), "perplexity", "threshold", kept.alias("kept"))

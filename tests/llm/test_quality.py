@@ -1,13 +1,12 @@
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from brindle.llm import kneserney, qualityrules
+from brindle.llm import qualityrules
 
 
 def features(text):
@@ -77,87 +76,3 @@ def test_scores_by_brute_force(spark):
 def test_quality_on_empty_and_clashing_tables(spark, no_docs, docs):
     assert qualityrules.judge(no_docs, None).count() == 0
     assert qualityrules.judge(docs.withColumn("kept", F.lit("x")).withColumn("n_words", F.lit("y")), None).schema["kept"].dataType.simpleString() == "boolean"
-
-
-def kneser_ney(texts):
-    """Plain modified Kneser-Ney, straight from the formulas."""
-    K, C = kneserney.ORDER, kneserney.CLASSES
-    counts = [None] * (K + 1)
-    counts[K] = Counter(tuple(c[i - K : i]) for t in texts if t for c in [kneserney.classes(t).tolist()] for i in range(K, len(c) + 1))
-    for k in range(K - 1, 0, -1):
-        counts[k] = Counter(g[1:] for g in counts[k + 1])
-
-    def discounts(c):
-        t = Counter(c.values())
-        y = t[1] / (t[1] + 2 * t[2]) if t[1] + 2 * t[2] else 0.5
-        return [min(max(k - (k + 1) * y * t[k + 1] / t[k], 0.05 * k), 0.95 * k) if t[k] and t[k + 1] else 0.5 * k for k in (1, 2, 3)]
-
-    tables = []
-    for k in range(1, K + 1):
-        d = discounts(counts[k])
-        total, left = Counter(), Counter()
-        for g, n in counts[k].items():
-            total[g[:-1]] += n
-            left[g[:-1]] += d[min(n, 3) - 1]
-        tables.append((counts[k], d, total, left))
-
-    def p(g):
-        if not g:
-            return 1 / C
-        c, d, total, left = tables[len(g) - 1]
-        if not total[g[:-1]]:
-            return p(g[1:])
-        own = c[g] - d[min(c[g], 3) - 1] if c[g] else 0
-        return own / total[g[:-1]] + left[g[:-1]] / total[g[:-1]] * p(g[1:])
-
-    return p
-
-
-def test_perplexity_by_brute_force(spark, docs):
-    rows = docs.where("doc_id < 60").collect()
-    trusted = [r.doc_id for r in rows if r.doc_id % 2 == 0 and r.doc_id % 3 != 1]
-    labels = spark.createDataFrame([(i, 1, 0) for i in trusted] + [(1, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
-    out = {r.doc_id: r for r in kneserney.judge(docs.where("doc_id < 60"), labels).collect()}
-    assert len(out) == len(rows)
-    models = {}
-    for r in rows:
-        got = out[r.doc_id]
-        if r.lang == "fr":  # no trusted text
-            assert got.perplexity is None and got.kept == bool(r.text)
-            continue
-        if r.lang not in models:
-            models[r.lang] = kneser_ney([x.text for x in rows if x.lang == r.lang and x.doc_id in trusted])
-        c = kneserney.classes(r.text).tolist()
-        bits = [math.log(models[r.lang](tuple(c[i - kneserney.ORDER : i]))) for i in range(kneserney.ORDER, len(c) + 1)]
-        assert abs(got.perplexity / math.exp(-sum(bits) / len(bits)) - 1) < 1e-4
-        assert got.kept == (got.perplexity <= got.threshold)
-
-
-def test_probabilities_sum_to_one(spark, docs):
-    model = kneserney.train(docs.select("lang", "text")).where("lang = 'en'").toPandas()
-    log_p = kneserney.dense(*(model[c].to_numpy() for c in ("order", "kind", "gram", "value")))
-    sums = np.exp(log_p.astype(float)).reshape(-1, kneserney.CLASSES).sum(axis=1)
-    assert np.abs(sums - 1).max() < 1e-4
-
-
-def test_kneser_ney_separates_held_out_labels(spark):
-    d = "/root/testdata/sf0.01"
-    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
-    out = kneserney.judge(docs, labels.where("doc_id % 3 <> 0")).join(labels.where("doc_id % 3 = 0"), "doc_id").toPandas()
-    assert out[out.quality == 1].kept.mean() > 0.97
-    assert out[out.quality == 0].kept.mean() < 0.4
-
-
-def test_kneser_ney_without_rows(spark, docs, no_docs):
-    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
-    assert kneserney.judge(no_docs, labels).count() == 0
-    got = kneserney.judge(docs, labels.limit(0))
-    assert got.count() == docs.count() and got.where("kept").count() == docs.where("length(text) > 0").count()
-    assert kneserney.score(docs.limit(3), kneserney.train(docs.select("lang", "text").limit(0))).count() == 0
-
-
-def test_long_text_is_scored_in_parts(monkeypatch):
-    text = "ab cd. " * 400_000
-    log_p = np.log(np.random.default_rng(0).random(kneserney.CLASSES**kneserney.ORDER) + 0.01).astype(np.float32)
-    whole = math.exp(-float(log_p[kneserney.grams(kneserney.classes(text))].sum(dtype=np.float64)) / len(text))
-    assert abs(kneserney.perplexity(text, log_p) / whole - 1) < 1e-9
