@@ -4,8 +4,12 @@ Rules name a host and a path prefix; the longest that fits decides. For the othe
 by a unigram Viterbi search over a lexicon of the pages' own text, and a multinomial naive Bayes model, trained on the
 urls that the rules decide, scores the words of host and path.
 
+What a rule is written in says which rule fits, not what a site is like: words that rules name, a host's last label and
+as many first parts of a path as the longest rule path has (where the page's language stands) are no features.
+
 The lexicon and the model stay tables. A label's possible words meet the lexicon in a join and only the label's own
-lattice is gathered for the search; words meet their weights in another. Work is on distinct urls and labels.
+lattice is gathered for the search; words meet their weights in another. Work is on distinct urls and labels. Tables that
+grow with the pages always meet by sort and merge, whatever the size of their files, so that a hot host is split.
 """
 
 from __future__ import annotations
@@ -20,8 +24,8 @@ from pyspark.sql import functions as F
 
 from brindle.llm.common import staged
 
-#: A label of the domain name system has at most 63 characters; anything longer stays one word.
-LONGEST_LABEL, SHORTEST_WORD, LONGEST_WORD = 63, 2, 63
+#: Words of one character are no words of the lexicon.
+SHORTEST_WORD = 2
 LETTERS = r"[\p{L}\p{M}]+"
 
 
@@ -46,14 +50,14 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     tried = urls.select("host", "path", F.explode(tails).alias("rule_host")).join(rules, "rule_host").where(F.col("path").startswith(F.col("rule_path")))
     rule = F.concat("rule_host", "rule_path")
     best = tried.groupBy("host", "path").agg(F.max(F.struct(F.length(rule).alias("size"), rule.alias("rule"), "verdict")).alias("best"))
-    return urls.join(best, ["host", "path"], "left").select(*urls.columns, F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruled"))
+    return urls.join(best.hint("merge"), ["host", "path"], "left").select(*urls.columns, F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruled"))
 
 
 def lexicon(html: DataFrame, column: str = "html") -> DataFrame:
     """``word``, ``count`` over the words (letters of any script) in all pages' text, tags left out."""
     text = F.lower(F.regexp_replace(F.coalesce(F.col(column), F.lit("")), "<[^>]*>", " "))
     words = html.select(F.explode(F.split(text, r"[^\p{L}\p{M}]+")).alias("word"))
-    return words.where(F.length("word").between(SHORTEST_WORD, LONGEST_WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return words.where(F.length("word") >= SHORTEST_WORD).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def best_cut(label: str, edges: dict[tuple[int, int], float], unknown: float) -> list[str]:
@@ -90,71 +94,86 @@ def _segment(unknown: float):
 
 
 def segment(labels: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """``label``, ``words`` for every distinct ``label``; runs of letters are cut by Viterbi, all else stays whole."""
+    """``label``, ``words`` for every distinct ``label``; runs of letters are cut by Viterbi, all else stays whole.
+
+    Only those stretches of a label are looked up that are as long as some word with the same first characters.
+    """
     total = lexicon.agg(F.sum("count")).first()[0] or 1
     distinct = staged(labels.select("label").where(F.col("label") != "").distinct(), "labels")
-    fit = F.col("label").rlike(f"^{LETTERS}$") & (F.length("label") <= LONGEST_LABEL)
+    fit = F.col("label").rlike(f"^{LETTERS}$")
+    head = lambda c, a: F.substring(c, a, F.lit(SHORTEST_WORD))
+    sizes = lexicon.groupBy(head("word", F.lit(1)).alias("head")).agg(F.collect_set(F.length("word")).alias("sizes"))
     start = F.explode(F.sequence(F.lit(0), F.length("label") - SHORTEST_WORD)).alias("a")
-    starts = distinct.where(fit & (F.length("label") >= SHORTEST_WORD)).select("label", start)
-    stop = F.sequence(F.col("a") + SHORTEST_WORD, F.least(F.length("label"), F.col("a") + LONGEST_WORD))
-    lattice = starts.select("label", "a", F.explode(stop).alias("z")).withColumn("word", F.substring("label", F.col("a") + 1, F.col("z") - F.col("a")))
-    known = lattice.join(lexicon, "word").select("label", F.struct("a", "z", F.log(F.col("count") / float(total)).alias("p")).alias("edge"))
+    starts = distinct.where(fit & (F.length("label") >= SHORTEST_WORD)).select("label", start).withColumn("head", head("label", F.col("a") + 1))
+    ends = starts.join(sizes.hint("merge"), "head").select("label", "a", F.explode(F.transform("sizes", lambda n: F.col("a") + n)).alias("z")).where(F.col("z") <= F.length("label"))
+    lattice = ends.withColumn("word", F.substring("label", F.col("a") + 1, F.col("z") - F.col("a")))
+    known = lattice.join(lexicon.hint("merge"), "word").select("label", F.struct("a", "z", F.log(F.col("count") / float(total)).alias("p")).alias("edge"))
     edges = known.groupBy("label").agg(F.collect_list("edge").alias("edges"))
     # A character that no word covers costs more than any word.
-    cut = distinct.where(fit).join(edges, "label", "left").mapInArrow(_segment(-math.log(total) - math.log(10.0)), "label string, words array<string>")
+    cut = distinct.where(fit).join(edges.hint("merge"), "label", "left").mapInArrow(_segment(-math.log(total) - math.log(10.0)), "label string, words array<string>")
     return cut.union(distinct.where(~fit).select("label", F.array("label")))
 
 
-def tokens(urls: DataFrame, lexicon: DataFrame, structure: DataFrame) -> DataFrame:
+def tokens(urls: DataFrame, lexicon: DataFrame, structure: DataFrame, depth: int = 0) -> DataFrame:
     """``host``, ``path``, ``token`` for every word of distinct urls; labels are cut into runs of
     letters and of digits first, numbers are one token, words in ``structure`` none.
 
-    ``structure`` (``word``) holds those that rules name: they tell which rule fits, not what a site is like.
+    ``structure`` (``word``) holds those that rules name; the host's last label and the first ``depth`` parts of the
+    path are left out too.
     """
-    labels = F.filter(F.split(F.lower("host"), r"[.\-_:@]+", -1), lambda s: s != "")
+    labels = F.filter(F.split(F.lower(F.regexp_replace("host", r"\.?[^.]*$", "")), r"[.\-_:@]+", -1), lambda s: s != "")
     runs = F.flatten(F.transform(labels, lambda s: F.regexp_extract_all(s, F.lit(rf"{LETTERS}|\p{{N}}+|[^\p{{L}}\p{{M}}\p{{N}}]+"), 0)))
     parts = F.transform(runs, lambda s: F.when(s.rlike(r"^\p{N}+$"), "#").otherwise(s))
     labels = urls.select("host", F.explode(parts).alias("label")).distinct()
-    words = labels.join(segment(labels, lexicon), "label").select("host", F.explode("words").alias("token"))
+    words = labels.join(segment(labels, lexicon).hint("merge"), "label").select("host", F.explode("words").alias("token"))
     of_host = words.groupBy("host").agg(F.collect_list(F.concat(F.lit("host:"), "token")).alias("host_tokens"))
-    of_path = F.transform(F.filter(F.split(F.lower("path"), r"[^\p{L}\p{N}]+", -1), lambda s: s != ""), lambda s: F.concat(F.lit("path:"), F.when(s.rlike(r"^\d+$"), "#").otherwise(s)))
-    both = urls.join(of_host, "host", "left").select("host", "path", F.explode(F.concat(F.coalesce("host_tokens", F.array()), of_path)).alias("token"))
+    deep = F.regexp_replace(F.lower("path"), f"^(/[^/]*){{0,{depth}}}", "")
+    of_path = F.transform(F.filter(F.split(deep, r"[^\p{L}\p{N}]+", -1), lambda s: s != ""), lambda s: F.concat(F.lit("path:"), F.when(s.rlike(r"^\d+$"), "#").otherwise(s)))
+    both = urls.join(of_host.hint("merge"), "host", "left").select("host", "path", F.explode(F.concat(F.coalesce("host_tokens", F.array()), of_path)).alias("token"))
     named = structure.select(F.explode(F.array(F.concat(F.lit("host:"), "word"), F.concat(F.lit("path:"), "word"))).alias("token"))
     return both.join(named, "token", "left_anti")
 
 
-def bayes_weights(tokens: DataFrame, classes: DataFrame) -> tuple[DataFrame, float, float]:
-    """Log odds of block against allow: ``token``, ``weight``; that of a token never seen; the prior's.
+def bayes_weights(tokens: DataFrame, classes: DataFrame) -> tuple[DataFrame, float]:
+    """Log odds of block against allow: ``token``, ``weight``; the prior's.
 
     ``classes``: ``host``, ``path``, ``ruled``, ``n`` (pages). Counts get one added.
     """
     is_block = F.col("ruled") == "block"
     prior = classes.agg(F.sum(F.when(is_block, F.col("n"))), F.sum(F.when(~is_block, F.col("n")))).first()
     blocked, allowed = (float(x or 0) for x in prior)
-    counts = staged(tokens.join(classes, ["host", "path"]).groupBy("token").agg(F.sum(F.when(is_block, F.col("n")).otherwise(0)).alias("b"), F.sum(F.when(~is_block, F.col("n")).otherwise(0)).alias("a")), "token-counts")
+    counts = tokens.join(classes.hint("merge"), ["host", "path"]).groupBy("token").agg(F.sum(F.when(is_block, F.col("n")).otherwise(0)).alias("b"), F.sum(F.when(~is_block, F.col("n")).otherwise(0)).alias("a"))
+    counts = staged(counts, "token-counts")
     b, a, size = (float(x or 0) for x in counts.agg(F.sum("b"), F.sum("a"), F.count(F.lit(1))).first())
-    scale = math.log((a + size + 1) / (b + size + 1))
+    scale = math.log((a + size) / (b + size)) if size else 0.0
     weights = counts.select("token", (F.log((F.col("b") + 1.0) / (F.col("a") + 1.0)) + scale).alias("weight"))
-    return weights, scale, math.log((blocked + 1) / (allowed + 1))
+    return weights, math.log((blocked + 1) / (allowed + 1))
+
+
+def bayes_scores(urls: DataFrame, tokens: DataFrame, weights: DataFrame, prior: float) -> DataFrame:
+    """``urls`` (distinct ``host``, ``path``) with ``score``, the log odds of block; words never counted say nothing."""
+    sums = tokens.join(weights.hint("merge"), "token").groupBy("host", "path").agg(F.sum("weight").alias("sum"))
+    return urls.join(sums.hint("merge"), ["host", "path"], "left").select("host", "path", F.round(F.coalesce("sum", F.lit(0.0)) + prior, 9).alias("score"))
 
 
 def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per row of ``pages``: ``id``, ``host``, ``path``, ``rule``, ``verdict``, ``score``.
 
-    The rule's verdict holds where one fits; elsewhere a url is blocked if its log odds (``score``) are above 0. A null
-    url or one without ``://`` has an empty host and path and only the prior. Without rules that fit any page all others are allowed. Repeated
-    rows repeat; an empty table gives an empty table; columns beside these are not read.
+    The rule's verdict holds where one fits; elsewhere a url is blocked if its log odds (``score``) are above 0, not at 0.
+    A null url or one without ``://`` has an empty host and path and only the prior. Without rules that fit any page all
+    others are allowed. Hosts, paths and pages are read whole, however long. Repeated rows repeat; an empty table gives
+    an empty table; columns beside these are not read.
     """
     rows = pages.select(F.col(id), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     urls = staged(match_rules(rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")), rules), "urls")
     words = staged(lexicon(pages.select(html), html), "lexicon")
     named = rules.select(F.explode(F.split(F.lower(F.concat_ws("/", "rule_host", "rule_path")), r"[^\p{L}\p{N}]+")).alias("word")).where("word <> ''").distinct()
-    found = staged(tokens(urls.select("host", "path"), words, named), "url-tokens")
+    depth = rules.agg(F.max(F.size(F.filter(F.split("rule_path", "/", -1), lambda s: s != "")))).first()[0] or 0
+    found = staged(tokens(urls.select("host", "path"), words, named, depth), "url-tokens")
     ruled = urls.where(F.col("ruled").isNotNull())
-    weights, unseen, prior = bayes_weights(found, ruled.select("host", "path", "ruled", "n"))
-    free = urls.where(F.col("ruled").isNull()).select("host", "path")
-    scored = found.join(free, ["host", "path"]).join(weights, "token", "left").groupBy("host", "path").agg(F.sum(F.coalesce("weight", F.lit(unseen))).alias("sum"))
     trained = not ruled.isEmpty()
-    score = F.round(F.coalesce("sum", F.lit(0.0)) + prior, 9)
-    told = urls.join(scored, ["host", "path"], "left").select("host", "path", "rule", F.coalesce("ruled", F.when(F.lit(trained) & (score > 0), "block").otherwise("allow")).alias("verdict"), F.when(F.col("ruled").isNull(), score).alias("score"))
-    return rows.join(told, ["host", "path"]).select(F.col(id), "host", "path", "rule", "verdict", "score")
+    weights, prior = bayes_weights(found, ruled.select("host", "path", "ruled", "n"))
+    scored = bayes_scores(urls.where(F.col("ruled").isNull()).select("host", "path"), found, weights, prior)
+    verdict = F.coalesce("ruled", F.when(F.lit(trained) & (F.col("score") > 0), "block").otherwise("allow"))
+    told = urls.join(scored.hint("merge"), ["host", "path"], "left").select("host", "path", "rule", verdict.alias("verdict"), "score")
+    return rows.join(told.hint("merge"), ["host", "path"]).select(F.col(id), "host", "path", "rule", "verdict", "score")
