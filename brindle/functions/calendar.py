@@ -29,7 +29,10 @@ def _fixed(year: Column, month: int, day: int) -> Column:
 
 
 def holiday_rules(year: Column) -> list[tuple[str, Column]]:
-    """Name and date of each holiday of a year; a fixed day moves to the nearest workday."""
+    """Name and date of each holiday of a year; a fixed day moves to the nearest workday.
+
+    The names and the first date of Juneteenth are fixed values.
+    """
     return [
         ("New Years Day", _fixed(year, 1, 1)),
         ("Birthday of Martin Luther King, Jr.", _nth(year, 1, "MO", 3)),

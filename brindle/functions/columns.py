@@ -132,6 +132,12 @@ SQL_FUNCTIONS = {
     "clean_string": ("c STRING", "STRING", "nullif(trim(lower(c)), '')"),
     "safe_divide": ("n DOUBLE, d DOUBLE", "DOUBLE", "CASE WHEN d IS NULL OR d = 0 THEN NULL ELSE n / d END"),
     "iso_day_of_week": ("d DATE", "INT", "weekday(d) + 1"),
+    "in_dev_window": ("c TIMESTAMP_NTZ, target STRING, days INT, as_of DATE", "BOOLEAN", "target <> 'dev' OR c >= CAST(date_sub(as_of, days) AS TIMESTAMP_NTZ)"),
+    "loaded_at": ("c TIMESTAMP_NTZ, now TIMESTAMP_NTZ", "TIMESTAMP_NTZ", "coalesce(c, now)"),
+    "day_of_quarter": ("d DATE", "INT", "datediff(d, trunc(d, 'quarter')) + 1"),
+    "is_weekend": ("d DATE", "BOOLEAN", "weekday(d) >= 5"),
+    "quoted_name": ("s STRING", "STRING", "concat('`', replace(s, '`', '``'), '`')"),
+    "short_message": ("s STRING", "STRING", "coalesce(substring_index(nullif(s, ''), ',', 1), 'No message')"),
 }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions.columns import all_matches, at, first_match, hours_between, seconds_between, short_message, test_name, without_escapes
@@ -13,6 +13,17 @@ from brindle.operators.loads import compare
 
 HOURS = 25.0
 
+# Parts of a test runner's log lines: a decimal number, how long a run took, its counts.
+DECIMAL = r"\d+(?:\.\d+)?"
+TOOK = rf"(?:\d+ hours? )?(?:\d+ minutes? and )?{DECIMAL} seconds?"
+ENDED = rf"Finished running [^\n]*?tests? in {TOOK}(?: \({DECIMAL}s\))?\."
+TOTALS = r"Done\.(?: [A-Z-]+=\d+)+"
+NOTABLE = r"(?:Failure|Warning) in test \w+"
+RESULTS = r"Got \d+ results?"
+# What stands for a line that a log does not have.
+NO_SUMMARY = "<NO SUMMARY LOG FOUND/>"
+NO_STATUS = "<NO STATUS LOG FOUND/>"
+
 
 def _result(failures: DataFrame, name: str) -> DataFrame:
     return failures.select(F.lit(name).alias("check"), F.col("failures").cast("long").alias("failures"), (F.col("failures") == 0).alias("passed"))
@@ -36,6 +47,18 @@ def not_empty(df: DataFrame, name: str = "not_empty") -> DataFrame:
     return _result(df.agg(F.count(F.lit(1)).alias("n")).select(F.when(F.col("n") == 0, 1).otherwise(0).alias("failures")), name)
 
 
+def row_checks(df: DataFrame, failing: dict[str, Column], not_empty: str | None = None) -> DataFrame:
+    """A row per named condition, its failures the rows that meet it, and one for an empty table: all from one pass."""
+    counts = [F.count(F.when(condition, 1)).alias(f"c{i}") for i, condition in enumerate(failing.values())]
+    names = list(failing)
+    if not_empty:
+        counts.append(F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("long").alias(f"c{len(names)}"))
+        names.append(not_empty)
+    one = df.agg(*counts)
+    rows = one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(f"c{i}").alias("failures")) for i, n in enumerate(names)])))
+    return rows.withColumn("passed", F.col("failures") == 0)
+
+
 def no_rows(failing: DataFrame, name: str) -> DataFrame:
     """A custom test: every row of ``failing`` is a failure."""
     return _result(failing.agg(F.count(F.lit(1)).alias("failures")), name)
@@ -109,13 +132,13 @@ def test_report(results: DataFrame) -> DataFrame:
 def mine_test_logs(logs: DataFrame, text: str = "log") -> DataFrame:
     """Every log's ``summary``, ``status``, ``notable`` (failures and warnings with their counts) and ``n_failures``."""
     clean = without_escapes(F.col(text))
-    notable = all_matches(clean, r"((?:Failure|Warning) in test \w+)")
-    counted = all_matches(clean, r"((?:Failure|Warning) in test \w+[\s\S]*?Got \d+ results)")
-    short = F.transform(counted, lambda s: F.concat(F.regexp_extract(s, r"((?:Failure|Warning) in test \w+)", 1), F.lit(" "), F.regexp_extract(s, r"(Got \d+ results)$", 1)))
+    notable = all_matches(clean, f"({NOTABLE})")
+    counted = all_matches(clean, rf"({NOTABLE}[\s\S]*?{RESULTS})")
+    short = F.transform(counted, lambda s: F.concat(F.regexp_extract(s, NOTABLE, 0), F.lit(" "), F.regexp_extract(s, f"{RESULTS}$", 0)))
     return logs.withColumns(
         {
-            "summary": first_match(clean, r"(Finished running \d+ tests in \d+ hours \d+ minutes and \d+.\d+ seconds \(\d+.\d+\w\).)", "<NO SUMMARY LOG FOUND/>"),
-            "status": first_match(clean, r"(Done\. PASS=\d+ WARN=\d+ ERROR=\d+ SKIP=\d+ TOTAL=\d+)", "<NO STATUS LOG FOUND/>"),
+            "summary": first_match(clean, ENDED, NO_SUMMARY, 0),
+            "status": first_match(clean, TOTALS, NO_STATUS, 0),
             "notable": notable,
             "counts": short,
             "n_failures": F.size(F.filter(notable, lambda s: s.startswith("Failure"))).cast("long"),

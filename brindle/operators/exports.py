@@ -37,11 +37,12 @@ def with_file(frames: DataFrame | list[DataFrame], columns: str | list[str], pat
 def export_groups(rows: DataFrame, path: str, sep: str = ",", salt: int = 1) -> None:
     """A folder ``_file=…`` for each file of ``with_file``; the group's columns stay in it.
 
-    A group is dealt to ``salt`` tasks and has as many parts at most, so that a group that holds much of all rows
-    does not wait for one task.
+    A group's rows come together but for one that is large, which adaptive execution splits at its partition size. With
+    ``salt`` over 1 every group is dealt to as many tasks by a hash of its rows, which a task that is run again repeats.
     """
-    deal = [F.col("_file")] + ([F.floor(F.rand(0) * salt)] if salt > 1 else [])
-    rows.repartition(*deal).write.mode("overwrite").option("header", True).option("sep", sep).option("emptyValue", "").partitionBy("_file").csv(path)
+    salted = F.pmod(F.xxhash64(*rows.columns), F.lit(salt))
+    dealt = rows.repartition("_file", salted) if salt > 1 else rows.hint("rebalance", "_file")
+    dealt.write.mode("overwrite").option("header", True).option("sep", sep).option("emptyValue", "").partitionBy("_file").csv(path)
 
 
 def manifest(rows: DataFrame) -> DataFrame:

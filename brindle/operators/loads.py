@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,14 +23,18 @@ def numbered(df: DataFrame, partition: list[str], order_by: list[Column], name:
 
 
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
-    return target.unionByName(batch)
+    """Both by name: a column that one side lacks is null there, types widen to hold both."""
+    return target.unionByName(batch, allowMissingColumns=True)
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:
-    """``target`` with the batch's latest row for each of its keys; batch rows with a null key are left out."""
+    """``target`` with the batch's latest row for each of its keys; batch rows with a null key are left out.
+
+    A column that only the batch has comes last, null in the rows that stay; one that the batch lacks is null in its rows.
+    """
     known = batch.where(F.coalesce(*[F.col(k).isNull() for k in keys]) == F.lit(False)) if len(keys) == 1 else batch.dropna(subset=keys)
     new = latest_per_key(known, keys, order_by)
-    return target.join(new.select(*keys), keys, "left_anti").select(*target.columns).unionByName(new)
+    return target.join(new.select(*keys), keys, "left_anti").select(*target.columns).unionByName(new, allowMissingColumns=True)
 
 
 def incremental(df: DataFrame, cursor: str, last) -> DataFrame:
@@ -56,9 +61,15 @@ def snapshot(history: DataFrame, key: str, updated_at: str, tie: str | None = No
 
 
 def snapshot_merge(versions: DataFrame, batch: DataFrame, key: str, updated_at: str, tie: str | None = None) -> DataFrame:
-    """The snapshot after a batch: known versions and new ones, intervals made again; repeated versions count once."""
+    """The snapshot after a batch; repeated versions count once.
+
+    Intervals are made again for the keys of the batch alone, all others keep theirs.
+    """
     own = [c for c in versions.columns if c not in ("valid_from", "valid_to", "is_current")]
-    return snapshot(versions.select(*own).unionByName(batch.select(*own)).distinct(), key, updated_at, tie)
+    keys = batch.select(F.col(key).alias("_key")).distinct()
+    of_batch = F.col(key).eqNullSafe(F.col("_key"))
+    touched = versions.join(keys, of_batch, "left_semi").select(*own).unionByName(batch.select(*own)).distinct()
+    return versions.join(keys, of_batch, "left_anti").unionByName(snapshot(touched, key, updated_at, tie))
 
 
 def compare(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -69,7 +80,11 @@ def compare(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def write_replaced(df: DataFrame, path: str) -> None:
-    """Put ``df`` in place of what ``path`` holds, even if ``df`` reads it: written beside it, then moved."""
+    """Put ``df`` in place of what ``path`` holds, even if ``df`` reads it.
+
+    It is written beside ``path``; then the old content is renamed, the new one takes its name, and the old one goes. A
+    crash at any point leaves one of both whole, the old one as ``{path}.replaced-…`` if between the two renames.
+    """
     spark = df.sparkSession
     beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     df.write.parquet(beside)
@@ -79,14 +94,32 @@ def write_replaced(df: DataFrame, path: str) -> None:
 def _move(spark: SparkSession, beside: str, path: str) -> None:
     jvm = spark.sparkContext._jvm
     old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.replaced-{uuid.uuid4().hex}")
     fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
+    there = fs.exists(old)
+    if there and not fs.rename(old, aside):
+        raise OSError(f"cannot move {path} aside")
     if not fs.rename(new, old):
+        if there:
+            fs.rename(aside, old)
         raise OSError(f"cannot move {beside} to {path}")
+    if there:
+        fs.delete(aside, True)
+
+
+def read_evolved(spark: SparkSession, path: str) -> DataFrame:
+    """A table whose files came with different columns: all of them, null where a file has none."""
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def write_appended(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """Append files. Columns that are there already take the type that they have, new ones come along (``read_evolved``)."""
+    try:
+        stored = read_evolved(df.sparkSession, path).schema
+    except AnalysisException:  # nothing there yet
+        stored = df.schema
+    kinds = {f.name: f.dataType for f in stored}
+    df.select(*[F.col(f"`{c}`").cast(kinds.get(c, df.schema[c].dataType)).alias(c) for c in df.columns]).write.mode("append").parquet(path)
 
 
 def write_run(df: DataFrame, path: str, run_column: str) -> None:
@@ -95,10 +128,10 @@ def write_run(df: DataFrame, path: str, run_column: str) -> None:
 
 
 def load(resources: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    """Replace a folder's tables by the resources of the same names; where each lies."""
+    """Replace a folder's tables by the resources of the same names, each in one move; where each lies."""
     out = {name: f"{folder}/{name}" for name in resources}
     for name, df in resources.items():
-        df.write.mode("overwrite").parquet(out[name])
+        write_replaced(df, out[name])
     return out
 
 

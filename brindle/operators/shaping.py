@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,31 @@ def maintenance_candidates(stats: DataFrame, schemas: list[str]) -> DataFrame:
     return dead.withColumn("command", maintenance_command(F.col("schemaname"), F.col("relname"))).orderBy(F.desc("n_dead"), "schemaname", "relname")
 
 
+def table_health(spark: SparkSession, tables: list[str], small: int = 64 << 20) -> DataFrame:
+    """Per table of the catalog: ``schemaname``, ``relname``, ``n_files``, ``n_small`` (files below ``small`` bytes),
+    ``n_rows``, ``n_known`` (rows by its statistics, null without any).
+
+    Files are counted from each row's file of origin, so nothing but metadata columns is read.
+    """
+    out = None
+    for name in tables:  # a list of names, not data
+        schema, _, table = name.rpartition(".")
+        told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        known = re.search(r"(\d+) rows", told.get("Statistics") or "")
+        files = spark.table(name).groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+        one = files.agg(F.count(F.lit(1)).alias("n_files"), F.count(F.when(F.col("size") < small, 1)).alias("n_small"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+        one = one.select(F.lit(schema or "default").alias("schemaname"), F.lit(table).alias("relname"), "*", F.lit(int(known[1]) if known else None).cast("long").alias("n_known"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+def unhealthy(health: DataFrame, most_small: int = 1) -> DataFrame:
+    """Tables of ``table_health`` with more than ``most_small`` small files or stale statistics, most small files first."""
+    stale = ~F.col("n_rows").eqNullSafe(F.col("n_known"))
+    found = health.withColumn("stale", stale).where((F.col("n_small") > most_small) | stale)
+    return found.withColumn("command", maintenance_command(F.col("schemaname"), F.col("relname"))).orderBy(F.desc("n_small"), "schemaname", "relname")
+
+
 def compact(df: DataFrame, path: str, files: int) -> None:
     """Write a table again as ``files`` files of about equal size, to a new folder."""
     df.repartition(files).write.mode("overwrite").parquet(path)

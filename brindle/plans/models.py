@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from brindle.functions.calendar import date_spine, dim_date, holidays
 from brindle.functions.columns import audit_columns, clean_string
 from brindle.operators import checks, exports, loads, shaping
 from brindle.operators.filters import in_values, limit_data_in_dev
-from brindle.sources.scans import read_sql, sample_records
+from brindle.sources.scans import sample_records
 
 #: State and territory codes of the customer dimension's filter.
 US_STATES = [
@@ -51,26 +50,15 @@ def etl(spark: SparkSession, source_name: str) -> tuple[DataFrame, str]:
     return records, f"Pipeline complete for '{source_name}': {shaping.load_summary(records).first()['summary']}"
 
 
-@dataclass(frozen=True)
-class Report:
-    """A named query with its header mapping and file pattern."""
-
-    name: str
-    sql: str
-    mapping: dict[str, str] | None = None
-    db_type: str = "spark"
-    connection: str | None = None
-    pattern: str | None = None
-    group_by: tuple[str, ...] = ()
-
-
-def run_report(spark: SparkSession, report: Report, folder: str, as_of: datetime | None = None) -> None:
-    """Query, rename, export: one file, or one per group."""
-    rows = exports.rename_columns(read_sql(spark, report.sql, report.db_type, report.connection), report.mapping)
-    if report.group_by:
-        exports.export_groups(exports.with_file(rows, list(report.group_by), report.pattern, as_of=as_of), f"{folder}/{report.name}")
+def run_report(rows: DataFrame, folder: str, headers: dict[str, str] | None = None, files: str | None = None, by: tuple[str, ...] = (), as_of: datetime | None = None) -> str:
+    """Rename and export the rows of any query to ``folder``: one file, or one for each value of ``by``, named by
+    the template ``files``. Where they lie."""
+    named = exports.rename_columns(rows, headers)
+    if by:
+        exports.export_groups(exports.with_file(named, list(by), files, as_of=as_of), folder)
     else:
-        exports.export_one(rows, f"{folder}/{report.name}")
+        exports.export_one(named, folder)
+    return folder
 
 
 class StepFailed(RuntimeError):

@@ -130,13 +130,16 @@ CHECKS_SQL = "SELECT \"check\", failures::BIGINT AS failures, failures = 0 AS pa
 @query(CHECKS_SQL)
 def data_quality(spark, sf_dir):
     orders, customer, lineitem = (source(spark, sf_dir, t) for t in ("orders", "customer", "lineitem"))
+    row_by_row = {
+        "not_null_o_orderkey": F.col("o_orderkey").isNull(),
+        "not_null_o_custkey": F.col("o_custkey").isNull(),
+        "positive_amount": F.col("o_totalprice") <= 0,
+        "accepted_values_o_orderpriority": ~F.col("o_orderpriority").isin(PRIORITIES),
+    }
     return checks.report(
+        checks.row_checks(orders, row_by_row, "orders_not_empty"),
         checks.unique(orders, "o_orderkey"),
         checks.unique(orders, "o_custkey"),
-        checks.not_null(orders, ["o_orderkey", "o_custkey"]),
-        checks.not_empty(orders, "orders_not_empty"),
-        checks.no_rows(orders.where("o_totalprice <= 0"), "positive_amount"),
-        checks.accepted_values(orders, "o_orderpriority", PRIORITIES),
         checks.relationships(orders, "o_custkey", customer, "c_custkey"),
         checks.relationships(lineitem, "l_orderkey", orders, "o_orderkey"),
         checks.column_count(orders, 6, "orders_columns"),

@@ -52,18 +52,28 @@ def read_seed(spark: SparkSession, path: str, schema: StructType | str) -> DataF
     return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
 
 
-def read_sql(spark: SparkSession, sql: str, db_type: str, connection: str | None = None) -> DataFrame:
-    """Rows of a query: on a database over JDBC, or with ``db_type="spark"`` on the session's own views."""
-    if db_type == "spark":
-        return spark.sql(sql)
-    if db_type not in DIALECTS:
-        raise ValueError(f"Unsupported db_type: {db_type}")
-    return spark.read.format("jdbc").option("url", connection or DIALECTS[db_type]).option("query", sql).load()
-
-
-def resource(make: Callable[[SparkSession], DataFrame]) -> Callable[[SparkSession], DataFrame]:
-    """A function of the session that stands for a table; a plain pass-through that names the role."""
-    return make
+def jdbc_url(warehouse: str, rest: str = "") -> str:
+    """The URL of a warehouse that JDBC scans know; ``ValueError`` for any other."""
+    if warehouse not in DIALECTS:
+        raise ValueError(f"no JDBC scan for {warehouse!r}, only for {', '.join(sorted(DIALECTS))}")
+    return DIALECTS[warehouse] + rest
+
+
+def read_jdbc(spark: SparkSession, sql: str, url: str, **options) -> DataFrame:
+    """Rows of a query that a database runs; ``options`` may name how to cut it (``partitionColumn`` and bounds)."""
+    return spark.read.format("jdbc").options(url=url, query=sql, **options).load()
+
+
+def make_resources(spark: SparkSession, makers: dict[str, Callable[[SparkSession], DataFrame]]) -> dict[str, DataFrame]:
+    """Tables that functions of the session make, by name, as ``loads.load`` takes them.
+
+    A maker's columns must have names of their own: a load writes all of them.
+    """
+    made = {name: make(spark) for name, make in makers.items()}
+    for name, df in made.items():
+        if len({c.lower() for c in df.columns}) < len(df.columns):
+            raise ValueError(f"resource {name} repeats a column: {df.columns}")
+    return made
 
 
 def sample_records(spark: SparkSession, source_name: str, n: int = 3) -> DataFrame:

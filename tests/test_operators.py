@@ -111,6 +111,51 @@ def test_writes_are_idempotent(spark, tmp_path):
     assert spark.read.parquet(path).count() == 8
 
 
+def test_schema_evolution(spark, tmp_path):
+    path = str(tmp_path / "t")
+    loads.write_appended(spark.createDataFrame([(1, "a")], "id long, x string"), path)
+    loads.write_appended(spark.createDataFrame([(2, 5)], "id int, y int"), path)
+    assert sorted(map(tuple, loads.read_evolved(spark, path).select("id", "x", "y").collect())) == [(1, "a", None), (2, None, 5)]
+    a, b = spark.createDataFrame([(1, "a"), (2, "b")], "id int, x string"), spark.createDataFrame([(2, 7)], "id long, y int")
+    assert sorted(map(tuple, loads.append(a, b).collect()), key=str) == [(1, "a", None), (2, "b", None), (2, None, 7)]
+    assert sorted(map(tuple, loads.upsert(a, b, ["id"], [F.col("y")]).collect())) == [(1, "a", None), (2, None, 7)]
+
+
+def test_a_failed_move_keeps_the_old_content(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    loads.write_replaced(spark.range(3), path)
+    with pytest.raises(Exception):
+        loads.write_replaced(spark.range(3).select(F.raise_error(F.lit("no"))), path)
+    assert spark.read.parquet(path).count() == 3
+    loads.write_replaced(spark.range(4), path)
+    assert spark.read.parquet(path).count() == 4 and [p.name for p in tmp_path.iterdir() if "replaced" in p.name] == []
+
+
+def test_snapshot_merge_touches_the_keys_of_the_batch(spark):
+    history = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1)], "k string, t long")
+    first = loads.snapshot(history, "k", "t").withColumn("valid_to", F.when(F.col("k") == "b", 99).otherwise(F.col("valid_to")))
+    batch = spark.createDataFrame([("a", 3), ("a", 2), (None, 5), ("c", 1)], "k string, t long")
+    got = {(r.k, r.t): (r.valid_to, r.is_current) for r in loads.snapshot_merge(first, batch, "k", "t").collect()}
+    assert got == {("a", 1): (2, False), ("a", 2): (3, False), ("a", 3): (None, True), ("b", 1): (99, True), (None, 1): (5, False), (None, 5): (None, True), ("c", 1): (None, True)}
+
+
+def test_resources_that_are_made(spark):
+    made = scans.make_resources(spark, {"n": lambda s: s.range(3)})
+    assert made["n"].count() == 3
+    with pytest.raises(ValueError, match="repeats"):
+        scans.make_resources(spark, {"n": lambda s: s.range(3).select("id", F.col("id").alias("ID"))})
+
+
+def test_table_health(spark):
+    spark.range(50).repartition(5).write.mode("overwrite").saveAsTable("default.many_files")
+    health = shaping.table_health(spark, ["default.many_files"])
+    assert tuple(health.select("n_files", "n_small", "n_rows", "n_known").first()) == (5, 5, 50, None)
+    shaping.analyze(spark, "default.many_files")
+    assert shaping.table_health(spark, ["default.many_files"]).first().n_known == 50
+    assert shaping.unhealthy(health, most_small=5).first().command == "ANALYZE TABLE `default`.`many_files` COMPUTE STATISTICS;"
+    assert shaping.unhealthy(shaping.table_health(spark, ["default.many_files"]), most_small=5).count() == 0
+
+
 def test_materializations(spark):
     df = spark.range(3)
     assert loads.materialize_view(df, "some_view").count() == 3
@@ -214,9 +259,10 @@ def test_new_files_and_cursor(spark, tmp_path):
 
 def test_registered_tables_and_sql(spark, sf_dir):
     assert scans.register_tables(spark, sf_dir, "shop", ["nation", "region"]) == ["landed_shop__nation", "landed_shop__region"]
-    assert scans.read_sql(spark, "SELECT count(*) AS n FROM landed_shop__nation", "spark").first().n == 25
-    with pytest.raises(ValueError, match="Unsupported"):
-        scans.read_sql(spark, "SELECT 1", "oracle")
+    assert spark.sql("SELECT count(*) AS n FROM landed_shop__nation").first().n == 25
+    assert scans.jdbc_url("redshift", "host/db") == "jdbc:redshift://host/db"
+    with pytest.raises(ValueError, match="oracle"):
+        scans.jdbc_url("oracle")
     scans.import_as(scans.source(spark, sf_dir, "region"), "r")
     assert spark.table("r").count() == 5
 
@@ -229,9 +275,10 @@ def test_etl_and_summary(spark):
 
 def test_report_job(spark, sf_dir, tmp_path):
     scans.import_as(scans.source(spark, sf_dir, "customer"), "c")
-    report = models.Report("segments", "SELECT c_name, c_mktsegment FROM c", {"c_name": "name"}, group_by=("c_mktsegment",), pattern="{c_mktsegment}")
-    models.run_report(spark, report, str(tmp_path), datetime(2024, 1, 1))
-    assert exports.written_manifest(spark, str(tmp_path / "segments")).agg(F.sum("rows")).first()[0] == 150
+    rows = spark.sql("SELECT c_name, c_mktsegment FROM c")
+    by_segment = models.run_report(rows, str(tmp_path / "segments"), {"c_name": "name"}, "{c_mktsegment}", ("c_mktsegment",), datetime(2024, 1, 1))
+    assert exports.written_manifest(spark, by_segment).agg(F.sum("rows")).first()[0] == 150
+    assert spark.read.option("header", True).csv(models.run_report(rows, str(tmp_path / "all"))).count() == 150
 
 
 def test_full_job(spark, sf_dir, tmp_path):

@@ -4,6 +4,7 @@ import pytest
 from oracle import assert_same
 
 import __spark_entry__ as entry
+from brindle.plans import roundtrips  # noqa: F401  registers its queries
 from brindle.plans.queries import ORACLES, QUERIES
 
 
