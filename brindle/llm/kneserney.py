@@ -11,7 +11,6 @@ texts never move: what a chunk is told comes to its bucket. Nothing is gathered
 from __future__ import annotations
 
 import secrets
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from brindle.llm.common import shared_dir, slices, staged
+from brindle.llm.common import bucketed, slices, staged
 
 ORDER = 4
 #: What stands before a text: a code point that Unicode assigns to no character.
@@ -45,17 +44,6 @@ def held_out(id: Column) -> Column:
     return F.pmod(F.xxhash64(id), F.lit(HELD_OUT)) == 0
 
 
-def bucketed(df: DataFrame, name: str, column: str) -> tuple[DataFrame, str]:
-    """``df`` in the shared folder, in as many buckets of ``column`` as a shuffle has partitions, and its table's name.
-
-    A task writes a file for each bucket that it has rows of; joins on ``column`` then leave these rows where they are.
-    """
-    spark, table = df.sparkSession, f"brindle_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").option("path", f"{shared_dir(spark)}/{name}-{table}").option("compression", "zstd").bucketBy(buckets, column).saveAsTable(table)
-    return spark.table(table), table
-
-
 def _zip(raw: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(raw)
 

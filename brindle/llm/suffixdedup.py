@@ -4,13 +4,17 @@ A window of ``length`` bytes names one of its positions, that of its least q-gra
 places (about one byte in 16 is such an anchor). Anchors fall into buckets by their q-gram. A bucket is refined by the
 buckets of offsets around it: first by the whole stretch of windows that share the anchor, then, only where
 stretches of one bucket differ, window by window, each window's bucket being made of those of its q-grams at later
-offsets (``B20 -> B40 -> B50``, every name reused for the next). Texts travel as compressed chunks:
+offsets (``B20 -> B40 -> B50``, every name reused for the next). A bucket's pointer is the smallest document in it. Texts
+lie in compressed chunks, which lie in buckets of files, so that what a chunk is told comes to its text:
 
 1. each chunk sends the hashes of its anchors, a few bytes each, and learns which stand in a second document;
-2. each chunk sends the stretches around those, a stretch once however often the chunk holds it, and learns
-   which bytes to remove.
+2. each chunk sends a row for each different stretch around those, with its smallest document, and learns which
+   stretches a smaller document has, and in which q-gram buckets stretches differ;
+3. of the latter, the chunk of a stretch's smallest document sends a row for each different window and learns
+   which windows a smaller document has.
 
-A string that a third of all documents share is thus sent once by each chunk. Nothing is gathered on the driver.
+Rows of 2 and 3 meet in sums and joins by hash, minima before the shuffle. So a string that a third of all documents
+share is sent once by each chunk, whatever stands around it. Nothing is gathered on the driver.
 """
 
 from __future__ import annotations
@@ -23,18 +27,20 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from brindle.llm import textkernel as k
-from brindle.llm.common import staged
+from brindle.llm.common import bucketed, staged
 
 Q = 20
-CHUNK = 2 << 20
+CHUNK = 8 << 20
 BLOCK = 1 << 18
 #: Bytes of text to a range of hashes, at least; there are also at least four times as many ranges as shuffle partitions.
 RANGE_BYTES = 32 << 20
 NO_ID = np.iinfo(np.int64).max
-SENT = "range long, chunk long, z binary, doc binary, start binary, wide binary, bytes binary"
-SPANS = "chunk long, spans binary"
+#: ``live`` has a chunk's stretches in one row of its own; the other rows have one stretch each.
+STRETCHES = "chunk long, z long, h long, at int, doc long, live binary"
+NAMES = "chunk long, name long, at int, doc long"
 
 
 def _zip(a: np.ndarray | bytes) -> bytes:
@@ -65,26 +71,29 @@ def unpack_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(_from_planes(b, k.U), dtype=k.U)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out() -> pa.RecordBatch:
-        raw = b"".join(texts)
-        sizes = np.array([len(t) for t in texts], np.int64)
-        row = [secrets.randbits(62), len(raw), _zip(np.array(ids, np.int64)), _zip(np.array(missing, bool)), _zip(sizes), _zip(raw)]
-        return pa.RecordBatch.from_pylist([dict(zip(("chunk", "n_bytes", "ids", "missing", "sizes", "raw"), row, strict=True))])
-
-    ids, missing, texts, total = [], [], [], 0
-    for batch in batches:
-        for id, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
-            t = text.as_py()
-            ids.append(NO_ID if id is None else id)
-            missing.append(id is None)
-            texts.append(b"" if t is None else t.encode())
-            total += len(texts[-1])
-            if total >= CHUNK:
-                yield out()
-                ids, missing, texts, total = [], [], [], 0
-    if ids:
-        yield out()
+def _chunks(limit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            raw = b"".join(texts)
+            sizes = np.array([len(t) for t in texts], np.int64)
+            row = [secrets.randbits(62), len(raw), _zip(np.array(ids, np.int64)), _zip(np.array(missing, bool)), _zip(sizes), _zip(raw)]
+            return pa.RecordBatch.from_pylist([dict(zip(("chunk", "n_bytes", "ids", "missing", "sizes", "raw"), row, strict=True))])
+
+        ids, missing, texts, total = [], [], [], 0
+        for batch in batches:
+            for id, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
+                t = text.as_py()
+                ids.append(NO_ID if id is None else id)
+                missing.append(id is None)
+                texts.append(b"" if t is None else t.encode())
+                total += len(texts[-1])
+                if total >= limit:
+                    yield out()
+                    ids, missing, texts, total = [], [], [], 0
+        if ids:
+            yield out()
+
+    return run
 
 
 class Chunk:
@@ -191,48 +200,41 @@ def _repeated(table: pa.Table) -> pa.Table:
     return pa.table({"range": table.column("range"), "chunk": table.column("chunk"), "bits": pa.array(bits, pa.binary())}).filter(pa.array([any(b) for b in bits]))
 
 
-def _pieces(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The bytes of many stretches end to end."""
-    before = np.cumsum(size) - size
-    return buf[np.repeat(start - before, size) + np.arange(int(size.sum()))]
+def _places(row: dict, z: np.ndarray, ids: np.ndarray, ranges: int, drop: int) -> np.ndarray:
+    """Which anchors stand in a second document, by what the chunk is told in ``repeated``."""
+    short, _ = _short(z, ids, drop)
+    order, part, cut, end = _by_range(short, ranges)
+    bits = {b["range"]: b["bits"] for b in row["repeated"] or []}
+    live = np.zeros(len(short), bool)
+    for a, e in zip(cut, end, strict=True):
+        if (b := bits.get(int(part[a]))) is not None:
+            live[order[a:e]] = np.unpackbits(np.frombuffer(b, np.uint8), count=e - a)
+    return live[np.searchsorted(short, z >> k.U(drop))]
 
 
 def _send_stretches(length: int, ranges: int, drop: int):
+    schema = pa.schema([("chunk", pa.int64()), ("z", pa.int64()), ("h", pa.int64()), ("at", pa.int32()), ("doc", pa.int64()), ("live", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 c = _stored(row, length)
                 z, doc, start, count, _ = c.runs()
                 ids = c.ids[doc]
-                short, _ = _short(z, ids, drop)
-                order, part, cut, end = _by_range(short, ranges)
-                bits = {b["range"]: b["bits"] for b in row["repeated"] or []}
-                live = np.zeros(len(short), bool)
-                for a, e in zip(cut, end, strict=True):
-                    if (b := bits.get(int(part[a]))) is not None:
-                        live[order[a:e]] = np.unpackbits(np.frombuffer(b, np.uint8), count=e - a)
-                alive = live[np.searchsorted(short, z >> k.U(drop))]
+                alive = _places(row, z, ids, ranges, drop)
                 z, ids, start, count = z[alive], ids[alive], start[alive], count[alive]
                 if not len(z):
                     continue
-                size = count + length - 1
-                # A stretch that a smaller document of this chunk holds too is settled here.
-                h = _hashes(c.buf, start, size)
-                same = np.lexsort((ids, h, z))
-                new = np.concatenate([[True], (z[same][1:] != z[same][:-1]) | (h[same][1:] != h[same][:-1])])
-                least = ids[same][np.flatnonzero(new)][np.cumsum(new) - 1]
-                settled = ids[same] > least
-                gone, kept = same[settled], same[~settled]
-                rows = []
-                if len(gone):
-                    spans = _merge(start[gone], start[gone] + size[gone])
-                    rows.append({"range": int(row["chunk"] % ranges), "chunk": row["chunk"], "z": None, "doc": None, "start": None, "wide": None, "bytes": _zip(spans)})
-                o, part, cut, end = _by_range(z[kept], ranges)
-                kept = kept[o]
-                for a, e in zip(cut, end, strict=True):
-                    i = kept[a:e]
-                    rows.append({"range": int(part[a]), "chunk": row["chunk"], "z": pack_sorted(z[i]), "doc": _planes(ids[i]), "start": _planes(start[i].astype(np.int64)), "wide": _planes(count[i].astype(np.uint8)), "bytes": _zip(_pieces(c.buf, start[i], size[i]))})
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("range", pa.int64()), ("chunk", pa.int64()), *[(n, pa.binary()) for n in ("z", "doc", "start", "wide", "bytes")]]))
+                h = _hashes(c.buf, start, count + length - 1)
+                order = np.lexsort((start, ids, h, z))
+                z, h, ids = z[order], h[order], ids[order]
+                new = np.concatenate([[True], (z[1:] != z[:-1]) | (h[1:] != h[:-1])])
+                first = np.flatnonzero(new)
+                live = b"".join([np.int64(len(z)).tobytes(), start[order].astype(np.int64).tobytes(), count[order].astype(np.uint8).tobytes(), np.packbits(new).tobytes()])
+                n = len(first)
+                columns = [np.full(n, row["chunk"]), z[first].view(np.int64), h[first].view(np.int64), np.arange(n, dtype=np.int32), ids[first]]
+                yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in columns], pa.nulls(n, pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_pylist([{"chunk": row["chunk"], "live": _zip(live)}], schema=schema)
 
     return run
 
@@ -248,15 +250,6 @@ def _hashes(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-def _merge(start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Sorted spans without overlaps, ``(n, 2)``."""
-    order = np.argsort(start, kind="stable")
-    start, end = start[order], np.maximum.accumulate(end[order])
-    new = np.concatenate([[True], start[1:] > end[:-1]])
-    first = np.flatnonzero(new)
-    return np.stack([start[first], end[np.concatenate([first[1:] - 1, [len(end) - 1]])]], axis=1).astype(np.int64)
-
-
 def window_buckets(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """Bucket names of the windows that start at ``at``: a q-gram's, refined by those at later offsets; the last two
     q-grams overlap where ``Q`` does not divide ``length``."""
@@ -268,69 +261,73 @@ def window_buckets(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return name
 
 
-def _settle(length: int):
-    def run(table: pa.Table) -> pa.Table:
-        chunks, spans, sent = [], [], []
-        for row in table.to_pylist():
-            if row["z"] is None:
-                chunks.append(row["chunk"])
-                spans.append(row["bytes"])
-            else:
-                sent.append(row)
-        if sent:
-            z = [unpack_sorted(r["z"]) for r in sent]
-            chunk = np.repeat(np.array([r["chunk"] for r in sent], np.int64), [len(x) for x in z])
-            z = np.concatenate(z)
-            doc, start, count = (np.concatenate([_from_planes(r[n], t) for r in sent]) for n, t in (("doc", np.int64), ("start", np.int64), ("wide", np.uint8)))
-            count = count.astype(np.int64)
-            buf = np.frombuffer(b"".join(_unzip(r["bytes"]) for r in sent), np.uint8)
-            size = count + length - 1
-            at = np.cumsum(size) - size
-            h = _hashes(buf, at, size)
-            # The bucket refined by whole stretches.
-            order = np.lexsort((doc, h, z))
-            z, doc, start, count, chunk, size, at, h = (x[order] for x in (z, doc, start, count, chunk, size, at, h))
-            bucket = np.concatenate([[True], z[1:] != z[:-1]])
-            stretch = bucket | np.concatenate([[True], h[1:] != h[:-1]])
-            first = np.flatnonzero(stretch)
-            which = np.cumsum(stretch) - 1
-            least = doc[first]
-            full = doc > least[which]
-            # Where a bucket has several stretches: window by window, one of each stretch.
-            of = (np.cumsum(bucket) - 1)[first]
-            several = np.flatnonzero(np.bincount(of)[of] > 1)
-            found = [(chunk[full], start[full], start[full] + size[full])]
-            if len(several):
-                f = first[several]
-                n = count[f]
-                number = np.repeat(np.arange(len(f)), n)
-                shift = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                names = _names(buf, at[f][number] + shift, length)
-                key = of[several][number]
-                o = np.lexsort((names, key))
-                new = np.concatenate([[True], (key[o][1:] != key[o][:-1]) | (names[o][1:] != names[o][:-1])])
-                smallest = np.minimum.reduceat(least[several][number][o], np.flatnonzero(new))[np.cumsum(new) - 1]
-                hit = np.zeros(len(o), bool)
-                hit[o] = smallest < least[several][number][o]
-                # All rows of the stretch in its smallest document lose these windows.
-                before = np.cumsum(n) - n
-                place = np.full(len(first), -1)
-                place[several] = np.arange(len(several))
-                mine = np.flatnonzero(~full & (place[which] >= 0))
-                m = count[mine]
-                row = np.repeat(mine, m)
-                move = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
-                lost = hit[before[place[which[row]]] + move]
-                row, move = row[lost], move[lost]
-                found.append((chunk[row], start[row] + move, start[row] + move + length))
-            c, a, e = (np.concatenate([x[i] for x in found]) for i in range(3))
-            o = np.lexsort((a, c))
-            c, a, e = c[o], a[o], e[o]
-            cut = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, np.int64)
-            for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(c)][: len(cut)], strict=True):
-                chunks.append(int(c[i]))
-                spans.append(_zip(_merge(a[i:j], e[i:j])))
-        return pa.table({"chunk": pa.array(chunks, pa.int64()), "spans": pa.array(spans, pa.binary())})
+class Live:
+    """A chunk's stretches around repeated anchors, by equal stretch and document."""
+
+    def __init__(self, chunk: Chunk, live: bytes, told: list | None):
+        raw = _unzip(live)
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        self.chunk = chunk
+        self.start = np.frombuffer(raw, np.int64, n, 8)
+        self.count = np.frombuffer(raw, np.uint8, n, 8 + 8 * n).astype(np.int64)
+        new = np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 + 9 * n), count=n).astype(bool)
+        self.first, self.of = np.flatnonzero(new), np.cumsum(new) - 1
+        self.ids = chunk.ids[np.searchsorted(chunk.ends, self.start, side="right")]
+        self.least = self.ids[self.first]
+        at = np.array([t["at"] for t in told or []], np.int64)
+        gone = np.array([t["gone"] for t in told or []], bool)
+        self.gone, self.differ = np.zeros(len(self.first), bool), np.zeros(len(self.first), bool)
+        self.gone[at[gone]] = True
+        self.differ[at[~gone]] = True
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the stretches whose windows are told apart: each window's stretch, its offset and its bucket's name."""
+        which = np.flatnonzero(self.differ)
+        n = self.count[self.first[which]]
+        stretch = np.repeat(which, n)
+        offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        return stretch, offset, _names(self.chunk.buf, self.start[self.first[stretch]] + offset, self.chunk.length)
+
+    def smallest(self, stretch: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct names in order, the smallest document of each in this chunk, and each window's place among them."""
+        names, place = np.unique(name, return_inverse=True)
+        doc = np.full(len(names), NO_ID)
+        np.minimum.at(doc, place, self.least[stretch])
+        return names, doc, place
+
+    def removed(self, lost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of what goes; ``lost`` are the places of names that a smaller document elsewhere has."""
+        length = self.chunk.length
+        whole = self.gone[self.of] | (self.ids > self.least[self.of])
+        start, end = [self.start[whole]], [self.start[whole] + self.count[whole] + length - 1]
+        stretch, offset, name = self.windows()
+        if len(name):
+            names, doc, place = self.smallest(stretch, name)
+            hit = np.zeros(len(names), bool)
+            hit[lost] = True
+            hit = hit[place] | (self.least[stretch] > doc[place])
+            # All places of the stretch in its smallest document lose these windows.
+            n = np.bincount(stretch, minlength=len(self.first))
+            before = np.cumsum(n) - n
+            mine = np.flatnonzero(~whole & self.differ[self.of])
+            row = np.repeat(mine, self.count[mine])
+            move = np.arange(len(row)) - np.repeat(np.cumsum(self.count[mine]) - self.count[mine], self.count[mine])
+            at = hit[before[self.of[row]] + move]
+            start.append(self.start[row[at]] + move[at])
+            end.append(start[-1] + length)
+        return np.concatenate(start), np.concatenate(end)
+
+
+def _send_names(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                live = Live(_stored(row, length), row["live"], row["told"])
+                stretch, _, name = live.windows()
+                names, doc, _ = live.smallest(stretch, name)
+                n = len(names)
+                columns = [np.full(n, row["chunk"]), names.view(np.int64), np.arange(n, dtype=np.int32), doc]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["chunk", "name", "at", "doc"])
 
     return run
 
@@ -356,10 +353,10 @@ def _apply(length: int):
                 c = _stored(row, length)
                 missing = _unzip(row["missing"], bool)
                 mark = np.zeros(len(c.buf) + 1, np.int32)
-                for b in row["spans"] or []:
-                    s = _unzip(b, np.int64).reshape(-1, 2)
-                    np.add.at(mark, s[:, 0], 1)
-                    np.add.at(mark, s[:, 1], -1)
+                if row["live"] is not None:
+                    start, end = Live(c, row["live"], row["told"]).removed(np.array(row["lost"] or [], np.int64))
+                    np.add.at(mark, start, 1)
+                    np.add.at(mark, end, -1)
                 gone = np.cumsum(mark[:-1]) > 0
                 edge = gone.copy()
                 edge[1:] &= ~gone[:-1]
@@ -380,22 +377,37 @@ def remove_repeats(docs: DataFrame, length: int = 50, id: str = "doc_id", text:
     """One row per row of ``docs``: ``id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (bytes).
 
     A byte goes if a string of ``length`` bytes (``Q`` to 255) covers it that also starts in a document with a smaller
-    id; strings are judged on the input and never cross documents. Ids are whole numbers; a row without an id counts as larger than
-    any other, and rows of equal id do not remove from each other. Null and empty texts have no bytes. An empty table
-    gives an empty table; other columns are not read.
+    id; strings are judged on the input and never cross documents. Ids are whole numbers (others raise ``TypeError``); a
+    row without an id counts as larger than any other, and rows of equal id do not remove from each other. Null and
+    empty texts have no bytes; whole texts are read, and one longer than a chunk is a chunk. An empty table gives an empty
+    table; other columns are not read.
     """
     spark = docs.sparkSession
+    if not isinstance(docs.schema[id].dataType, IntegralType):
+        raise TypeError(f"ids must be whole numbers, {id} is {docs.schema[id].dataType.simpleString()}")
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    chunks = staged(texts.mapInArrow(_chunks, "chunk long, n_bytes long, ids binary, missing binary, sizes binary, raw binary"), "chunks")
+    chunks, table = bucketed(texts.mapInArrow(_chunks(CHUNK), "chunk long, n_bytes long, ids binary, missing binary, sizes binary, raw binary"), "chunks", "chunk")
+    text_of = chunks.select("chunk", "ids", "sizes", "raw")
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
     drop = max(0, 64 - max(40, int(total).bit_length() + 12))
 
-    hashes = chunks.select("chunk", "ids", "sizes", "raw").mapInArrow(_send_hashes(length, ranges, drop), "range long, chunk long, hashes binary, shared binary")
+    hashes = text_of.mapInArrow(_send_hashes(length, ranges, drop), "range long, chunk long, hashes binary, shared binary")
     repeated = staged(hashes.groupBy("range").applyInArrow(_repeated, "range long, chunk long, bits binary"), "repeated-hashes")
-    told = repeated.groupBy("chunk").agg(F.collect_list(F.struct("range", "bits")).alias("repeated"))
-    stretches = chunks.select("chunk", "ids", "sizes", "raw").join(told, "chunk").mapInArrow(_send_stretches(length, ranges, drop), SENT)
-    spans = staged(stretches.groupBy("range").applyInArrow(_settle(length), SPANS), "removed-spans")
-    gathered = spans.groupBy("chunk").agg(F.collect_list("spans").alias("spans"))
-    out = chunks.join(gathered, "chunk", "left").mapInArrow(_apply(length), "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    repeated = repeated.groupBy("chunk").agg(F.collect_list(F.struct("range", "bits")).alias("repeated"))
+    sent = staged(text_of.join(repeated.hint("merge"), "chunk").mapInArrow(_send_stretches(length, ranges, drop), STRETCHES), "stretches")
+    live = sent.where("live IS NOT NULL").select("chunk", "live")
+    stretches = sent.where("live IS NULL").select("chunk", "z", "h", "at", "doc")
+
+    least = staged(stretches.groupBy("z", "h").agg(F.min("doc").alias("least")), "stretch-pointers")
+    differ = least.groupBy("z").agg(F.min("h").alias("x"), F.max("h").alias("y")).where("x <> y").select("z")
+    least = least.join(differ.withColumn("differ", F.lit(True)).hint("merge"), "z", "left")
+    told = stretches.join(least.hint("merge"), ["z", "h"]).where("least < doc OR differ").select("chunk", "at", (F.col("least") < F.col("doc")).alias("gone"))
+    told = live.join(told.groupBy("chunk").agg(F.collect_list(F.struct("at", "gone")).alias("told")).hint("merge"), "chunk", "left")
+    told = staged(told, "told-stretches")
+
+    names = staged(text_of.join(told.hint("merge"), "chunk").mapInArrow(_send_names(length), NAMES), "windows")
+    pointers = names.groupBy("name").agg(F.min("doc").alias("least"))
+    lost = names.join(pointers.hint("merge"), "name").where("least < doc").groupBy("chunk").agg(F.collect_list("at").alias("lost"))
+    out = chunks.join(told.join(lost.hint("merge"), "chunk", "left").hint("merge"), "chunk", "left").mapInArrow(_apply(length), "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(F.col("id").alias(id), "n_bytes", "n_removed", "n_spans", "kept")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from brindle.llm import suffixdedup
@@ -36,12 +37,33 @@ def test_brute_force(docs):
     check(docs.select("doc_id", "text"))
 
 
-def test_small_chunks_and_blocks(docs, monkeypatch):
+def test_small_chunks(docs, monkeypatch):
     monkeypatch.setattr(suffixdedup, "CHUNK", 700)
-    monkeypatch.setattr(suffixdedup, "BLOCK", 150)
     check(docs.select("doc_id", "text"), 40)
 
 
+def test_blocks_do_not_show(texts, monkeypatch):
+    raw = [(t or "").encode() for t in texts]
+    z = suffixdedup._zip
+    chunk = suffixdedup.Chunk(z(np.arange(len(raw))), z(np.array([len(t) for t in raw])), z(b"".join(raw)), 50)
+    windows = lambda runs: {(int(h), int(s) + i, int(at)) for h, _, s, n, at in zip(*runs, strict=True) for i in range(int(n))}
+    whole = windows(chunk.runs())
+    monkeypatch.setattr(suffixdedup, "BLOCK", 150)
+    assert windows(chunk.runs()) == whole and len(whole) == sum(max(len(t) - 49, 0) for t in raw)
+
+
+def test_a_passage_in_many_surroundings(spark):
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    passage = words(30)
+    check(spark.createDataFrame([(i, words(rng.randint(0, 9)) + passage[rng.randint(0, 3) :] + words(9)) for i in range(60)], "doc_id long, text string").repartition(6))
+
+
+def test_ids_that_are_no_numbers(spark):
+    with pytest.raises(TypeError):
+        suffixdedup.remove_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_random_strings_over_few_letters(spark, seed):
     rng = random.Random(seed)
