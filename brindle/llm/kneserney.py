@@ -28,7 +28,7 @@ EDGE = "\uffff"
 #: Below the single characters all code points are alike.
 POINTS = 0x110000
 #: Characters of a chunk, of the parts of a long text, and of what a kernel takes at a time.
-CHUNK, PART, SECTION = 16 << 20, 1 << 20, 1 << 20
+CHUNK, PART, SECTION = 8 << 20, 1 << 20, 1 << 20
 #: One trusted document in so many is not counted: these set the limit.
 HELD_OUT = 2
 #: Held-out documents of a language that weigh as much as all languages together.
