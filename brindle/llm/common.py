@@ -2,38 +2,24 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brindle.sources.scratch import scratch_folder
+
 #: Bytes of text that a numpy kernel takes at a time: its 8-byte arrays then stay near the CPU.
 CHUNK_BYTES = 1 << 18
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset in local mode (as in tests) a folder of our own.
-
-    On a cluster it must be set: no executor would see what another wrote to a folder of its own machine.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="brindle-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again: lineage ends there, and a lost executor
     costs only the tasks that it ran."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -45,7 +31,7 @@ def bucketed(df: DataFrame, name: str, column: str) -> tuple[DataFrame, str]:
     """
     spark, table = df.sparkSession, f"brindle_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").option("path", f"{shared_dir(spark)}/{name}-{table}").option("compression", "zstd").bucketBy(buckets, column).saveAsTable(table)
+    df.write.format("parquet").option("path", scratch_folder(spark, name)).option("compression", "zstd").bucketBy(buckets, column).saveAsTable(table)
     return spark.table(table), table
 
 

@@ -20,6 +20,8 @@ from brindle.llm.components import connected_components
 
 BLOCK = 2048
 SIDE = 512
+#: Pairs that are computed again at a time; always a pair by itself, so that a tile's other pairs do not change its sum.
+AGAIN = 1 << 16
 
 
 def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -47,12 +49,10 @@ def tile_links(x: np.ndarray, y: np.ndarray, threshold: float):
             p, q = np.nonzero(about + slack >= threshold)
             if not len(p):
                 continue
-            if len(p) * 20 > about.size:
-                cosine = ((x[a] @ y[b].T) / np.outer(nx[a], ny[b]))[p, q]
-            else:
-                cosine = np.einsum("ij,ij->i", x[i + p], y[j + q]) / (nx[i + p] * ny[j + q])
-            hit = cosine >= threshold
-            yield i + p[hit], j + q[hit]
+            for n in range(0, len(p), AGAIN):
+                c, d = i + p[n : n + AGAIN], j + q[n : n + AGAIN]
+                hit = np.einsum("ij,ij->i", x[c], y[d]) / (nx[c] * ny[d]) >= threshold
+                yield c[hit], d[hit]
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -101,7 +101,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id: str = "vec_id"
     """One row per row of ``vectors``: ``id``, ``n_links``, ``component_id``, ``kept``.
 
     Vectors of one label (not null) and one length link if their cosine in double precision is at least
-    ``threshold``. Vectors that are null, empty, zero or hold null or non-finite components, and rows without an id,
+    ``threshold``, ties included. Vectors are read whole, however long. Vectors that are null, empty, zero or hold null or non-finite components, and rows without an id,
     link with nothing: no links, their own id as component, kept. Rows are vectors: a repeated row links to its copy.
     An empty table gives an empty table; other columns are not read.
     """

@@ -150,6 +150,78 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What rules alone decide of every page's url."""
+    url = F.col("url")
+    pages = table(spark, sf_dir, "pages").select("page_id", urlfilter.host_of(url).alias("host"), urlfilter.path_of(url).alias("path"))
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, verdict string")
+    ruled = urlfilter.match_rules(pages.select("host", "path").distinct(), rules)
+    return pages.join(ruled, ["host", "path"]).select("page_id", "host", "path", "rule", "ruled")
+
+
+URL_RULES_SQL = (
+    """
+WITH p AS (SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+             coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(h, f, v) AS (VALUES """
+    + ", ".join(str(r) for r in URL_RULES)
+    + """),
+m AS (SELECT page_id, arg_max({'rule': h || f, 'ruled': v}, (length(h || f), h || f)) AS best FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, f) GROUP BY page_id)
+SELECT p.page_id, host, path, best.rule AS rule, best.ruled AS ruled FROM p LEFT JOIN m ON m.page_id = p.page_id
+"""
+)
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target of every source."""
+    size = F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0))
+    return mixing.targets(table(spark, sf_dir, "documents").groupBy("source").agg(F.sum(size).cast("long").alias("source_size")))
+
+
+MIX_TARGETS_SQL = """
+WITH s AS (SELECT source, sum(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0))::BIGINT AS source_size FROM documents GROUP BY source),
+w AS (SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap FROM s),
+k AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+       / sum(weight) OVER (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+l AS (SELECT coalesce(arg_min(level, (cap / weight, source)) FILTER (WHERE level * weight <= cap), max(cap / weight)) AS level FROM k)
+SELECT source, source_size, least(weight * l.level, cap) AS target FROM w, l
+"""
+
+
+def quality_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counted features of every document and what the base rules say."""
+    judged = qualityrules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), None)
+    return judged.select("doc_id", *qualityrules.FEATURES, "base_failed")
+
+
+QUALITY_FEATURES_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
+t AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g),
+r AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, i + unnest(range(0, 3)) AS j FROM t WHERE n >= 2) GROUP BY doc_id),
+f AS (SELECT d.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS n_dup_lines,
+        coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN r ON r.doc_id = d.doc_id)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f
+"""
+
+
+def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many spans of the base kinds every document has."""
+    found = secretscan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[of(kind).alias(f"n_{kind}") for kind in secretscan.KINDS[:3]])
+
+
+SECRET_WORDS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word) for word in ("password", "passwd", "secret", "token", "api_?key"))
+SECRET_COUNTS_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, len(list_filter(regexp_extract_all(text, '({SECRET_WORDS})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda x: length(x) >= 8)) AS n_assign,
+  len(list_filter(regexp_extract_all(text, 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 16)) AS n_access,
+  len(list_filter(regexp_extract_all(text, '[0-9a-f]+'), lambda x: length(x) >= 32)) AS n_hex FROM d
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_bpe": op2_bpe,
@@ -161,6 +233,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,
+    "url_rules": url_rules,
+    "mix_targets": mix_targets,
+    "quality_features": quality_features,
+    "secret_counts": secret_counts,
 }
 
 ORACLES: dict[str, str] = {
@@ -168,4 +244,8 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
     "op6_suffix_dedup": OP6_SQL,
     "op7_embeddings": OP7_SQL,
+    "url_rules": URL_RULES_SQL,
+    "mix_targets": MIX_TARGETS_SQL,
+    "quality_features": QUALITY_FEATURES_SQL,
+    "secret_counts": SECRET_COUNTS_SQL,
 }
