@@ -126,7 +126,7 @@ def tokens(urls: DataFrame, lexicon: DataFrame, structure: DataFrame, depth: int
     parts = F.transform(runs, lambda s: F.when(s.rlike(r"^\p{N}+$"), "#").otherwise(s))
     labels = urls.select("host", F.explode(parts).alias("label")).distinct()
     words = labels.join(segment(labels, lexicon).hint("merge"), "label").select("host", F.explode("words").alias("token"))
-    of_host = words.groupBy("host").agg(F.collect_list(F.concat(F.lit("host:"), "token")).alias("host_tokens"))
+    of_host = staged(words.groupBy("host").agg(F.collect_list(F.concat(F.lit("host:"), "token")).alias("host_tokens")), "host-tokens")  # a scan of its own: the join can split a hot host
     deep = F.regexp_replace(F.lower("path"), f"^(/[^/]*){{0,{depth}}}", "")
     of_path = F.transform(F.filter(F.split(deep, r"[^\p{L}\p{N}]+", -1), lambda s: s != ""), lambda s: F.concat(F.lit("path:"), F.when(s.rlike(r"^\d+$"), "#").otherwise(s)))
     both = urls.join(of_host.hint("merge"), "host", "left").select("host", "path", F.explode(F.concat(F.coalesce("host_tokens", F.array()), of_path)).alias("token"))
