@@ -8,13 +8,15 @@ offsets (``B20 -> B40 -> B50``, every name reused for the next). A bucket's poin
 lie in compressed chunks, which lie in buckets of files, so that what a chunk is told comes to its text:
 
 1. each chunk sends the hashes of its anchors, a few bytes each, and learns which stand in a second document;
-2. each chunk sends a row for each different stretch around those, with its smallest document, and learns which
-   stretches a smaller document has, and in which q-gram buckets stretches differ;
-3. of the latter, the chunk of a stretch's smallest document sends a row for each different window and learns
-   which windows a smaller document has.
-
-Rows of 2 and 3 meet in sums and joins by hash, minima before the shuffle. So a string that a third of all documents
-share is sent once by each chunk, whatever stands around it. Nothing is gathered on the driver.
+2. each chunk sends a row for each different stretch around those, with its smallest document; sorted by bucket and
+   stretch, they tell which stretches a smaller document has, and where stretches of one bucket differ whether another
+   has the same 8 or 15 bytes on either side of the q-gram;
+3. of the latter, the chunk of a stretch's smallest document sends a row for each different window that may be
+   another's too, and learns which windows a smaller document has.
+
+Rows of 2 are cut into ranges, so that a bucket may span many tasks; of 3, a name has a row for each chunk at most. So a
+string that a third of all documents share costs each chunk a row, whatever stands around it. Nothing is gathered on
+the driver.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -39,7 +41,9 @@ BLOCK = 1 << 18
 RANGE_BYTES = 32 << 20
 NO_ID = np.iinfo(np.int64).max
 #: ``live`` has a chunk's stretches in one row of its own; the other rows have one stretch each.
-STRETCHES = "chunk long, z long, h long, at int, doc long, live binary"
+STRETCHES = "chunk long, bucket int, stretch long, at int, doc long, sides int, live binary"
+#: Bytes on either side of the q-gram by which stretches of a bucket are told apart first.
+NEAR, FAR = 8, 15
 NAMES = "chunk long, name long, at int, doc long"
 
 
@@ -212,33 +216,104 @@ def _places(row: dict, z: np.ndarray, ids: np.ndarray, ranges: int, drop: int) -
     return live[np.searchsorted(short, z >> k.U(drop))]
 
 
+def _sides(buf: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """A byte's worth of hash of the ``NEAR`` and ``FAR`` bytes before the q-gram at each anchor, and of those behind it."""
+    out = np.zeros(len(anchor), np.uint32)
+    factors = k.BYTE_CODES[1][:FAR].astype(np.uint32) | np.uint32(1)
+    for i in range(0, len(anchor), 1 << 16):
+        at = anchor[i : i + (1 << 16), None]
+        for shift, sign, begin in ((0, -1, 1), (16, 1, Q)):
+            near = buf[np.clip(at + sign * (begin + np.arange(FAR)), 0, len(buf) - 1)].astype(np.uint32) + np.uint32(1)
+            near *= factors
+            for more, n in ((0, NEAR), (8, FAR)):
+                h = near[:, :n].sum(axis=1, dtype=np.uint32)
+                h ^= h >> np.uint32(15)
+                h *= np.uint32(0x2C1B3C6D)
+                out[i : i + (1 << 16)] |= (h >> np.uint32(24)) << np.uint32(shift + more)
+    return out.view(np.int32)
+
+
 def _send_stretches(length: int, ranges: int, drop: int):
-    schema = pa.schema([("chunk", pa.int64()), ("z", pa.int64()), ("h", pa.int64()), ("at", pa.int32()), ("doc", pa.int64()), ("live", pa.binary())])
+    names = [("chunk", pa.int64()), ("bucket", pa.int32()), ("stretch", pa.int64()), ("at", pa.int32()), ("doc", pa.int64()), ("sides", pa.int32()), ("live", pa.binary())]
+    schema = pa.schema(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 c = _stored(row, length)
-                z, doc, start, count, _ = c.runs()
+                z, doc, start, count, anchor = c.runs()
                 ids = c.ids[doc]
                 alive = _places(row, z, ids, ranges, drop)
-                z, ids, start, count = z[alive], ids[alive], start[alive], count[alive]
+                z, ids, start, count, anchor = z[alive], ids[alive], start[alive], count[alive], anchor[alive]
                 if not len(z):
                     continue
-                h = _hashes(c.buf, start, count + length - 1)
-                order = np.lexsort((start, ids, h, z))
-                z, h, ids = z[order], h[order], ids[order]
-                new = np.concatenate([[True], (z[1:] != z[:-1]) | (h[1:] != h[:-1])])
+                h = k.mix(_hashes(c.buf, start, count + length - 1) * k.U(k.BASE) + z)
+                order = np.lexsort((start, ids, h))
+                z, h, ids, start, count, anchor = (x[order] for x in (z, h, ids, start, count, anchor))
+                new = np.concatenate([[True], h[1:] != h[:-1]])
                 first = np.flatnonzero(new)
-                live = b"".join([np.int64(len(z)).tobytes(), start[order].astype(np.int64).tobytes(), count[order].astype(np.uint8).tobytes(), np.packbits(new).tobytes()])
+                live = b"".join([np.int64(len(z)).tobytes(), start.astype(np.int64).tobytes(), count.astype(np.uint8).tobytes(), (anchor - start).astype(np.uint8).tobytes(), np.packbits(new).tobytes()])
                 n = len(first)
-                columns = [np.full(n, row["chunk"]), z[first].view(np.int64), h[first].view(np.int64), np.arange(n, dtype=np.int32), ids[first]]
+                columns = [np.full(n, row["chunk"]), (z[first] >> k.U(32)).astype(np.uint32).view(np.int32), h[first].view(np.int64), np.arange(n, dtype=np.int32), ids[first], _sides(c.buf, anchor[first])]
                 yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in columns], pa.nulls(n, pa.binary())], schema=schema)
                 yield pa.RecordBatch.from_pylist([{"chunk": row["chunk"], "live": _zip(live)}], schema=schema)
 
     return run
 
 
+def _pointed(rows: pa.Table, edge: bool) -> pa.RecordBatch:
+    """Of whole buckets, sorted by bucket, stretch and document: ``chunk``, ``at``, ``shared``.
+
+    ``shared`` is -1 for a stretch that a smaller document has. Where stretches differ it holds for the smallest document's a
+    bit for each side hash that another stretch has too; all at the ``edge`` of a range, beyond which there may be others.
+    """
+    bucket, stretch, doc, sides = (rows.column(c).to_numpy() for c in ("bucket", "stretch", "doc", "sides"))
+    other = np.concatenate([[True], bucket[1:] != bucket[:-1]])
+    new = other | np.concatenate([[True], stretch[1:] != stretch[:-1]])
+    first, of = np.flatnonzero(new), np.cumsum(new) - 1
+    gone = doc > doc[first][of]
+    which = (np.cumsum(other) - 1)[first]
+    differ = np.full(len(first), True) if edge else np.bincount(which)[which] > 1
+    shared = np.zeros(len(first), np.int64)
+    for i in range(4):
+        key = which << 8 | sides[first].view(np.uint32) >> np.uint32(8 * i) & np.uint32(0xFF)
+        _, place, times = np.unique(key, return_inverse=True, return_counts=True)
+        shared |= ((times[place] > 1) | edge).astype(np.int64) << i
+    told = np.where(gone, -1, shared[of])
+    some = pa.array(np.flatnonzero(gone | differ[of]))
+    return pa.RecordBatch.from_arrays([rows.column("chunk").combine_chunks().take(some), rows.column("at").combine_chunks().take(some), pa.array(told.astype(np.int8)).take(some)], names=["chunk", "at", "shared"])
+
+
+def _point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_pointed`` over a range of stretches, as many whole buckets at a time as a batch brings to an end."""
+    held: list[pa.RecordBatch] = []
+    edge = True  # the first bucket of a range
+    for batch in batches:
+        bucket = batch.column("bucket").to_numpy()
+        if not len(bucket):
+            continue
+        cut = int(np.searchsorted(bucket, bucket[-1]))  # where the batch's last bucket begins
+        begun = held and held[-1].column("bucket")[held[-1].num_rows - 1].as_py() == bucket[0]
+        head = int(np.searchsorted(bucket, bucket[0], side="right")) if begun else 0
+        if held and (not begun or head < len(bucket)):
+            yield _pointed(pa.Table.from_batches([*held, batch.slice(0, head)]), edge)
+            held, edge = [], False
+        elif begun:
+            held.append(batch)
+            continue
+        if cut > head:
+            middle = batch.slice(head, cut - head)
+            if edge:  # a range's first bucket by itself
+                one = int(np.searchsorted(bucket[head:cut], bucket[head], side="right"))
+                yield _pointed(pa.Table.from_batches([middle.slice(0, one)]), True)
+                middle, edge = middle.slice(one), False
+            if middle.num_rows:
+                yield _pointed(pa.Table.from_batches([middle]), False)
+        held = [batch.slice(max(cut, head))]
+    if held:
+        yield _pointed(pa.Table.from_batches(held), True)
+
+
 def _hashes(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Of stretches in ascending order, section by section of the buffer."""
     out, i = np.zeros(len(start), k.U), 0
@@ -269,23 +344,31 @@ class Live:
         n = int(np.frombuffer(raw, np.int64, 1)[0])
         self.chunk = chunk
         self.start = np.frombuffer(raw, np.int64, n, 8)
-        self.count = np.frombuffer(raw, np.uint8, n, 8 + 8 * n).astype(np.int64)
-        new = np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 + 9 * n), count=n).astype(bool)
+        self.count, lead = (np.frombuffer(raw, np.uint8, n, 8 + i * n).astype(np.int64) for i in (8, 9))
+        new = np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 + 10 * n), count=n).astype(bool)
         self.first, self.of = np.flatnonzero(new), np.cumsum(new) - 1
+        self.lead = lead[self.first]
         self.ids = chunk.ids[np.searchsorted(chunk.ends, self.start, side="right")]
         self.least = self.ids[self.first]
         at = np.array([t["at"] for t in told or []], np.int64)
-        gone = np.array([t["gone"] for t in told or []], bool)
-        self.gone, self.differ = np.zeros(len(self.first), bool), np.zeros(len(self.first), bool)
-        self.gone[at[gone]] = True
-        self.differ[at[~gone]] = True
+        self.shared = np.zeros(len(self.first), np.int64)
+        self.shared[at] = [t["shared"] for t in told or []]
+        self.gone, self.differ = self.shared < 0, np.zeros(len(self.first), bool)
+        self.differ[at] = ~self.gone[at]
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the stretches whose windows are told apart: each window's stretch, its offset and its bucket's name."""
+        """Of the stretches that differ from others of their buckets, each window that may be another's too: its stretch,
+        its offset and its bucket's name."""
         which = np.flatnonzero(self.differ)
         n = self.count[self.first[which]]
         stretch = np.repeat(which, n)
         offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        before, bits = self.lead[stretch] - offset, self.shared[stretch]
+        behind = self.chunk.length - Q - before
+        may = np.ones(len(stretch), bool)
+        for i, (reach, least) in enumerate(((before, NEAR), (before, FAR), (behind, NEAR), (behind, FAR))):
+            may &= (reach < least) | (bits >> i & 1 > 0)
+        stretch, offset = stretch[may], offset[may]
         return stretch, offset, _names(self.chunk.buf, self.start[self.first[stretch]] + offset, self.chunk.length)
 
     def smallest(self, stretch: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -305,10 +388,12 @@ class Live:
             names, doc, place = self.smallest(stretch, name)
             hit = np.zeros(len(names), bool)
             hit[lost] = True
-            hit = hit[place] | (self.least[stretch] > doc[place])
+            lose = hit[place] | (self.least[stretch] > doc[place])
             # All places of the stretch in its smallest document lose these windows.
-            n = np.bincount(stretch, minlength=len(self.first))
+            n = np.where(self.differ, self.count[self.first], 0)
             before = np.cumsum(n) - n
+            hit = np.zeros(int(n.sum()), bool)
+            hit[before[stretch[lose]] + offset[lose]] = True
             mine = np.flatnonzero(~whole & self.differ[self.of])
             row = np.repeat(mine, self.count[mine])
             move = np.arange(len(row)) - np.repeat(np.cumsum(self.count[mine]) - self.count[mine], self.count[mine])
@@ -397,17 +482,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, id: str = "doc_id", text:
     repeated = repeated.groupBy("chunk").agg(F.collect_list(F.struct("range", "bits")).alias("repeated"))
     sent = staged(text_of.join(repeated.hint("merge"), "chunk").mapInArrow(_send_stretches(length, ranges, drop), STRETCHES), "stretches")
     live = sent.where("live IS NOT NULL").select("chunk", "live")
-    stretches = sent.where("live IS NULL").select("chunk", "z", "h", "at", "doc")
-
-    least = staged(stretches.groupBy("z", "h").agg(F.min("doc").alias("least")), "stretch-pointers")
-    differ = least.groupBy("z").agg(F.min("h").alias("x"), F.max("h").alias("y")).where("x <> y").select("z")
-    least = least.join(differ.withColumn("differ", F.lit(True)).hint("merge"), "z", "left")
-    told = stretches.join(least.hint("merge"), ["z", "h"]).where("least < doc OR differ").select("chunk", "at", (F.col("least") < F.col("doc")).alias("gone"))
-    told = live.join(told.groupBy("chunk").agg(F.collect_list(F.struct("at", "gone")).alias("told")).hint("merge"), "chunk", "left")
-    told = staged(told, "told-stretches")
-
-    names = staged(text_of.join(told.hint("merge"), "chunk").mapInArrow(_send_names(length), NAMES), "windows")
-    pointers = names.groupBy("name").agg(F.min("doc").alias("least"))
-    lost = names.join(pointers.hint("merge"), "name").where("least < doc").groupBy("chunk").agg(F.collect_list("at").alias("lost"))
+    stretches = sent.where("live IS NULL").drop("live").repartitionByRange("bucket", "stretch").sortWithinPartitions("bucket", "stretch", "doc")
+    told = stretches.mapInArrow(_point, "chunk long, at int, shared byte").groupBy("chunk").agg(F.collect_list(F.struct("at", "shared")).alias("told"))
+    told = staged(live.join(told.hint("merge"), "chunk", "left"), "told-stretches")
+
+    names = text_of.join(told.hint("merge"), "chunk").mapInArrow(_send_names(length), NAMES)
+    least = F.min("doc").over(Window.partitionBy("name"))  # a row for each chunk at most
+    lost = names.withColumn("least", least).where("least < doc").groupBy("chunk").agg(F.collect_list("at").alias("lost"))
     out = chunks.join(told.join(lost.hint("merge"), "chunk", "left").hint("merge"), "chunk", "left").mapInArrow(_apply(length), "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(F.col("id").alias(id), "n_bytes", "n_removed", "n_spans", "kept")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brindle.llm import suffixdedup
@@ -77,3 +78,29 @@ def test_null_ids_repeated_ids_and_empty(spark, no_docs):
     rows = [(None, s), (None, s + "!"), (3, "z" + s), (3, s), (1, s[:60]), (2, None), (4, "")]
     check(spark.createDataFrame(rows, "doc_id long, text string"))
     assert suffixdedup.remove_repeats(no_docs).count() == 0
+
+
+def test_buckets_over_batches_and_ranges():
+    """However rows are cut to batches, every bucket is told whole; at a range's edges nothing is ruled out."""
+    rng = random.Random(4)
+    rows = sorted((rng.randrange(12), rng.randrange(5), rng.randrange(4)) for _ in range(200))
+    columns = {"chunk": [i for i in range(200)], "bucket": [b for b, _, _ in rows], "stretch": [b * 10 + s for b, s, _ in rows], "at": list(range(200)), "doc": [d for _, _, d in rows], "sides": [s % 2 for _, s, _ in rows]}
+    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("stretch", pa.int64()), ("at", pa.int32()), ("doc", pa.int64()), ("sides", pa.int32())])
+    batch = pa.RecordBatch.from_pydict(columns, schema=schema)
+    want = None
+    for size in (200, 1, 7, 30):
+        got = sorted((r["chunk"], r["shared"]) for part in suffixdedup._point(batch.slice(i, size) for i in range(0, 200, size)) for r in part.to_pylist())
+        want = want or got
+        assert got == want
+    least = {}
+    for b, s, d in rows:
+        least[b, s] = min(d, least.get((b, s), d))
+    told = dict(want)
+    for i, (b, s, d) in enumerate(rows):
+        if d > least[b, s]:
+            assert told[i] == -1
+        elif b in (rows[0][0], rows[-1][0]):
+            assert told[i] == 15
+        else:
+            others = {x for c, x in least if c == b and x != s}
+            assert (told[i] & 1 > 0) == any(x % 2 == s % 2 for x in others) if others else i not in told
