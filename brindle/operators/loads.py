@@ -140,6 +140,8 @@ def materialize_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def materialize_table(df: DataFrame, name: str) -> DataFrame:
-    df.write.mode("overwrite").saveAsTable(name)
+def materialize_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """A catalog table, in the warehouse or at a path of its own."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)

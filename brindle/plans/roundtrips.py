@@ -111,7 +111,7 @@ def view_and_table(spark, sf_dir):
     """One model as a view and as a table."""
     model = source(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("orders"))
     view = loads.materialize_view(model, "orders_by_status")
-    table = loads.materialize_table(model, "orders_by_status_table").select(F.col("status").alias("_status"), F.col("orders").alias("_orders"))
+    table = loads.materialize_table(model, "orders_by_status_table", scratch_folder(spark, "orders_by_status")).select(F.col("status").alias("_status"), F.col("orders").alias("_orders"))
     return view.join(table, F.col("status") == F.col("_status")).select("status", "orders", (F.col("orders") == F.col("_orders")).alias("same"))
 
 
@@ -252,8 +252,8 @@ def sql_functions(spark, sf_dir):
 def unhealthy_tables(spark, sf_dir):
     """Of two tables, the one with many small files and without statistics; after maintenance there is none left."""
     orders = source(spark, sf_dir, "orders")
-    orders.repartition(6).write.mode("overwrite").saveAsTable("default.wide_orders")
-    orders.coalesce(1).write.mode("overwrite").saveAsTable("default.tidy_orders")
+    loads.materialize_table(orders.repartition(6), "default.wide_orders", scratch_folder(spark, "wide-orders"))
+    loads.materialize_table(orders.coalesce(1), "default.tidy_orders", scratch_folder(spark, "tidy-orders"))
     shaping.analyze(spark, "default.tidy_orders")
     health = shaping.table_health(spark, ["default.wide_orders", "default.tidy_orders"])
     return shaping.unhealthy(health).select("relname", "n_rows", "stale")

@@ -60,8 +60,9 @@ def jdbc_url(warehouse: str, rest: str = "") -> str:
 
 
 def read_jdbc(spark: SparkSession, sql: str, url: str, **options) -> DataFrame:
-    """Rows of a query that a database runs; ``options`` may name how to cut it (``partitionColumn`` and bounds)."""
-    return spark.read.format("jdbc").options(url=url, query=sql, **options).load()
+    """Rows of a query that a database runs; ``options`` may name how tasks share it (``partitionColumn`` and bounds)."""
+    what = {"dbtable": f"({sql}) q"} if "partitionColumn" in options else {"query": sql}  # Spark shares out tables alone
+    return spark.read.format("jdbc").options(url=url, **what, **options).load()
 
 
 def make_resources(spark: SparkSession, makers: dict[str, Callable[[SparkSession], DataFrame]]) -> dict[str, DataFrame]:

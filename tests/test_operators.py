@@ -267,6 +267,16 @@ def test_registered_tables_and_sql(spark, sf_dir):
     assert spark.table("r").count() == 5
 
 
+def test_jdbc_scan(spark, sf_dir):
+    """Against the embedded database that Spark brings along."""
+    url = "jdbc:derby:memory:brindle;create=true"
+    scans.source(spark, sf_dir, "nation").write.jdbc(url, "nation", "overwrite")
+    some = scans.read_jdbc(spark, 'SELECT "n_name", "n_regionkey" FROM nation WHERE "n_nationkey" < 5', url)
+    assert some.columns == ["n_name", "n_regionkey"] and some.count() == 5
+    cut = scans.read_jdbc(spark, 'SELECT "n_nationkey" AS k FROM nation', url, partitionColumn="K", lowerBound=0, upperBound=25, numPartitions=3)
+    assert cut.rdd.getNumPartitions() == 3 and cut.distinct().count() == 25
+
+
 def test_etl_and_summary(spark):
     records, summary = models.etl(spark, "test")
     assert [tuple(r) for r in records.orderBy("id").collect()] == [(n, f"RAW_RECORD_{n}", "test", True) for n in (1, 2, 3)]
