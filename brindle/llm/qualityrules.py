@@ -3,7 +3,7 @@
 The regression reads hashed words, pairs of words and four characters in a row, each as a share of its document. It is
 fitted on a bounded sample of labelled rows (``Training.rows``, ``Training.chars``), calibrated by Platt's method on
 held-out rows, and then scores every document in Arrow batches against a fixed probability. The model is two arrays of ``2**BITS`` numbers, 2 MB,
-whatever the input. Nothing but the labelled sample leaves its task.
+whatever the input. Nothing but the labelled sample leaves its task; one task fits the regression on it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brindle.llm import textkernel as k
-from brindle.llm.common import map_batches, replace_columns, slices, utf8, with_fields
+from brindle.llm.common import replace_columns, slices, utf8, with_fields
 
 BITS = 18
 #: A document goes below this many words, or if more than this percentage of its words stand in repeated windows.
@@ -120,43 +120,49 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def _slots(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """For training: each document's slots (words first, n-grams behind them) and their shares."""
-    slots, shares = [], []
-    for text in utf8(batch.column("text")):
-        for (part, a, z), shift in zip(Batch([text]).slots(), (0, 0, 1 << BITS), strict=True):
-            at, n = np.unique(part[a[0] : z[0]], return_counts=True)
-            slots.append((at + shift).astype(np.int32))
-            shares.append((n / max(z[0] - a[0], 1)).astype(np.float32))
-    join = lambda xs: pa.array([np.concatenate(xs[i : i + 3]).tobytes() for i in range(0, len(xs), 3)], pa.binary())
-    return pa.RecordBatch.from_arrays([batch.column("y").cast(pa.float64()), batch.column("order"), join(slots), join(shares)], names=["y", "order", "slots", "shares"])
+def sample(docs: DataFrame, labels: DataFrame, how: Training, id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """``y``, ``text`` of the labelled rows that fit the regression, in order and in one partition: at most ``how.rows``
+    rows of at most ``how.chars`` characters, those of the smallest hashed ids.
 
-
-def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
-    """Fit and calibrate on at most ``how.rows`` labelled rows of at most ``how.chars`` characters, those of the smallest
-    hashed ids; that sample alone goes to the driver.
-
-    Null ids and labels are left out, an id's labels count as their least and of its texts one is read (the least by
-    hash); with fewer than two classes among the sample, there is no model.
+    Null ids and labels are left out, an id's labels count as their least and of its texts one is read (the least by hash).
     """
     order = F.xxhash64(F.col(id))
     known = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).groupBy(id).agg(F.min(label).alias("y")).withColumn("order", order)
-    sample = known.orderBy("order", id).limit(how.rows)
-    rows = docs.select(F.col(id), F.col(text).alias("text")).join(F.broadcast(sample), id)
+    chosen = known.orderBy("order", id).limit(how.rows)
+    rows = docs.select(F.col(id), F.col(text).alias("text")).join(F.broadcast(chosen), id)
     rows = rows.groupBy("order", id, "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     so_far = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(Window.orderBy("order", id))  # of how.rows rows at most
-    rows = rows.withColumn("so_far", so_far).where(F.col("so_far") <= how.chars)
-    got = map_batches(rows.select("text", F.col("y").cast("double").alias("y"), "order"), _slots, "y double, order long, slots binary, shares binary").toArrow().to_pandas()
-    got = got.sort_values(["order", "slots"], kind="stable")
-    y = (got["y"].to_numpy() > 0).astype(np.float64)
-    if len(set(y)) < 2:
-        return None
-    at = [np.frombuffer(x, np.int32) for x in got["slots"]]
-    share = [np.frombuffer(x, np.float32) for x in got["shares"]]
-    return fit(at, share, y, how)
-
-
-def fit(at: list[np.ndarray], share: list[np.ndarray], y: np.ndarray, how: Training) -> Model | None:
+    return rows.withColumn("so_far", so_far).where(F.col("so_far") <= how.chars).select(F.col("y").cast("double").alias("y"), "text")
+
+
+def _fitted(how: Training):
+    """The model of all rows of a partition, as one row; none with fewer than two classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y, at, share = [], [], []
+        for batch in batches:
+            y += [float(v > 0) for v in batch.column("y").to_pylist()]
+            for text in utf8(batch.column("text")):
+                parts = [(np.unique(part[a[0] : z[0]], return_counts=True), max(z[0] - a[0], 1)) for part, a, z in Batch([text]).slots()]
+                at.append(np.concatenate([slots + shift for ((slots, _), _), shift in zip(parts, (0, 0, 1 << BITS), strict=True)]).astype(np.int32))
+                share.append(np.concatenate([n / size for (_, n), size in parts]).astype(np.float32))
+        if len(set(y)) == 2:
+            m = fit(at, share, np.array(y), how)
+            yield pa.RecordBatch.from_pylist([{"words": m.words.tobytes(), "grams": m.grams.tobytes(), "bias": m.bias, "slope": m.slope, "shift": m.offset}])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
+    """Fit and calibrate on ``sample``, in one task; the model alone, 2 MB, goes to the driver.
+
+    With fewer than two classes among the sample, there is no model.
+    """
+    got = sample(docs, labels, how, id, text, label).mapInArrow(_fitted(how), "words binary, grams binary, bias double, slope double, shift double").first()
+    return got and Model(np.frombuffer(got.words, np.float32), np.frombuffer(got.grams, np.float32), got.bias, got.slope, got.shift)
+
+
+def fit(at: list[np.ndarray], share: list[np.ndarray], y: np.ndarray, how: Training) -> Model:
     """Adagrad over small groups of rows in a fixed order; every ``how.held_out``-th row calibrates."""
     held = np.arange(len(y)) % how.held_out == 0
     weights, seen = np.zeros(2 << BITS), np.full(2 << BITS, 1e-8)

@@ -47,16 +47,14 @@ def test_training_is_bounded_and_repeatable(spark, sf_dir):
     assert qualityrules.train(docs, labels.limit(0)) is None
 
 
-def test_sample_is_bounded_whatever_repeats(spark, sf_dir, monkeypatch):
-    fitted = []
-    monkeypatch.setattr(qualityrules, "fit", lambda at, share, y, how: fitted.append(len(y)))
+def test_sample_is_bounded_whatever_repeats(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     known = labels.groupBy("quality").agg(F.min("doc_id").alias("doc_id"))
     many = docs.join(known, "doc_id").select("doc_id", "text")
     many = many.union(many.withColumn("text", F.concat("text", F.lit(" x")))).union(many)
-    qualityrules.train(many, known, qualityrules.Training(rows=2))
-    qualityrules.train(docs, labels, qualityrules.Training(chars=40_000))
-    assert fitted[0] == 2 and 0 < fitted[1] < 60
+    assert qualityrules.sample(many, known, qualityrules.Training(rows=2)).count() == 2
+    some = qualityrules.sample(docs, labels, qualityrules.Training(chars=40_000))
+    assert 0 < some.count() < 60 and some.agg(F.sum(F.length("text"))).first()[0] <= 40_000
 
 
 def test_scores_by_brute_force(spark):
