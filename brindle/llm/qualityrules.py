@@ -1,9 +1,9 @@
 """Quality rules: counted features with fixed limits, and a logistic regression over hashed n-grams.
 
 The regression reads hashed words, pairs of words and four characters in a row, each as a share of its document. It is
-fitted on a bounded sample of labelled rows (``Training.rows``, ``Training.chars``), calibrated by Platt's method on
-held-out rows, and then scores every document in Arrow batches against a fixed probability. The model is two arrays of ``2**BITS`` numbers, 2 MB,
-whatever the input. Nothing but the labelled sample leaves its task; one task fits the regression on it.
+fitted on a bounded sample of labelled rows (``Training.rows``, ``Training.chars``) in one task, calibrated by Platt's
+method on held-out rows, and then scores every document in Arrow batches against a fixed probability. The model is two
+arrays of ``2**BITS`` numbers, 2 MB, whatever the input. Nothing but the labelled sample leaves its task.
 """
 
 from __future__ import annotations
