@@ -35,7 +35,7 @@ from brindle.llm import textkernel as k
 from brindle.llm.common import bucketed, staged
 
 Q = 20
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 BLOCK = 1 << 18
 #: Bytes of text to a range of hashes, at least; there are also at least four times as many ranges as shuffle partitions.
 RANGE_BYTES = 32 << 20
@@ -144,9 +144,10 @@ class Chunk:
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
-    """One at a time: a row holds a chunk."""
+    """One at a time: a row holds a chunk. Lists stay Arrow arrays, null stays none."""
     for i in range(batch.num_rows):
-        yield batch.slice(i, 1).to_pylist()[0]
+        row = {name: column[i] for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+        yield {name: x.values if isinstance(x, pa.ListScalar) else x.as_py() for name, x in row.items()}
 
 
 def _stored(row: dict, length: int) -> Chunk:
@@ -208,7 +209,7 @@ def _places(row: dict, z: np.ndarray, ids: np.ndarray, ranges: int, drop: int) -
     """Which anchors stand in a second document, by what the chunk is told in ``repeated``."""
     short, _ = _short(z, ids, drop)
     order, part, cut, end = _by_range(short, ranges)
-    bits = {b["range"]: b["bits"] for b in row["repeated"] or []}
+    bits = {b["range"]: b["bits"] for b in row["repeated"].to_pylist()}
     live = np.zeros(len(short), bool)
     for a, e in zip(cut, end, strict=True):
         if (b := bits.get(int(part[a]))) is not None:
@@ -339,7 +340,7 @@ def window_buckets(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 class Live:
     """A chunk's stretches around repeated anchors, by equal stretch and document."""
 
-    def __init__(self, chunk: Chunk, live: bytes, told: list | None):
+    def __init__(self, chunk: Chunk, live: bytes, told: pa.StructArray | None):
         raw = _unzip(live)
         n = int(np.frombuffer(raw, np.int64, 1)[0])
         self.chunk = chunk
@@ -350,11 +351,11 @@ class Live:
         self.lead = lead[self.first]
         self.ids = chunk.ids[np.searchsorted(chunk.ends, self.start, side="right")]
         self.least = self.ids[self.first]
-        at = np.array([t["at"] for t in told or []], np.int64)
-        self.shared = np.zeros(len(self.first), np.int64)
-        self.shared[at] = [t["shared"] for t in told or []]
-        self.gone, self.differ = self.shared < 0, np.zeros(len(self.first), bool)
-        self.differ[at] = ~self.gone[at]
+        self.shared, self.differ = np.zeros(len(self.first), np.int8), np.zeros(len(self.first), bool)
+        if told is not None:
+            at, shared = told.field("at").to_numpy(), told.field("shared").to_numpy()
+            self.shared[at], self.differ[at] = shared, shared >= 0
+        self.gone = self.shared < 0
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the stretches that differ from others of their buckets, each window that may be another's too: its stretch,
@@ -439,7 +440,7 @@ def _apply(length: int):
                 missing = _unzip(row["missing"], bool)
                 mark = np.zeros(len(c.buf) + 1, np.int32)
                 if row["live"] is not None:
-                    start, end = Live(c, row["live"], row["told"]).removed(np.array(row["lost"] or [], np.int64))
+                    start, end = Live(c, row["live"], row["told"]).removed(np.zeros(0, np.int64) if row["lost"] is None else row["lost"].to_numpy())
                     np.add.at(mark, start, 1)
                     np.add.at(mark, end, -1)
                 gone = np.cumsum(mark[:-1]) > 0
