@@ -35,6 +35,18 @@ def bucketed(df: DataFrame, name: str, column: str) -> tuple[DataFrame, str]:
     return spark.table(table), table
 
 
+def join_by_slices(rows: DataFrame, told: DataFrame, on: list[str], by: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``told``, which has one row for each key, whatever share of ``rows`` one key has.
+
+    Rows of a key are dealt into as many slices (by column ``by``) as a shuffle has partitions, and ``told`` goes to the
+    slices that a key has rows in: at most one row for each, told apart before the shuffle. Keys must not be null.
+    """
+    slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = rows.withColumn("_slice", F.pmod(F.xxhash64(by), F.lit(slices)))
+    spread = told.join(cut.select(*on, "_slice").distinct(), on)
+    return cut.join(spread, [*on, "_slice"], how).drop("_slice")
+
+
 def packed(df: DataFrame, *without: str) -> Column:
     """The columns of ``df`` but these as one struct, so that no name among them meets one of an operator's own."""
     kept = [F.col(f"`{c}`") for c in df.columns if c not in without]

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import bpe, embeddings, kneserney, linededup, minhash, mixing, qualityrules, secretscan, suffixdedup, urlfilter
+from brindle.llm import bpe, decontaminate, embeddings, kneserney, linededup, minhash, mixing, prefixtrie, qualityrules, secretscan, suffixdedup, urlfilter, vectorcodes
+from brindle.llm.common import staged
 
 
 def tokenizer_path(name: str) -> str:
@@ -150,6 +151,85 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+i AS (SELECT item_id, least(len(ws), 10) AS n, ws FROM b WHERE len(ws) > 0),
+g AS (SELECT DISTINCT item_id, n, array_to_string(ws[j:j + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS j FROM i)),
+p AS (SELECT doc_id, n, j, array_to_string(ws[j:j + n - 1], ' ') AS g FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS j FROM d, (SELECT DISTINCT n FROM i))),
+h AS (SELECT doc_id, p.n, j, item_id FROM p JOIN g ON g.n = p.n AND g.g = p.g),
+w AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(j, j + n)) AS at FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM h WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN w ON w.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = vectorcodes.kept_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    books = vectorcodes.fit(vectors, parts=8, entries=16, rounds=6)
+    coded = vectorcodes.with_label_error(staged(vectorcodes.encode(vectors, books), "codes"))
+    digits = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return coded.select("vec_id", F.array_join(digits, "").alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def _rounds(n: int) -> str:
+    """Assignments ``a1`` to ``a{n + 1}`` and codebooks ``c1`` to ``cn`` as common table expressions."""
+    far = "list_sum([0] || list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i])))::BIGINT"
+    out = []
+    for r in range(1, n + 2):
+        out.append(f"a{r} AS MATERIALIZED (SELECT row, vec_id, label, part, x, arg_min(entry, far * 64 + entry) AS entry, min(far) AS far FROM (SELECT p.*, entry, {far} AS far FROM p JOIN c{r - 1} c ON c.part = p.part) GROUP BY ALL)")
+        if r <= n:
+            out.append(f"s{r} AS (SELECT part, entry, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM (SELECT part, entry, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY 1, 2, 3)")
+            out.append(f"c{r} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(list((s - ((s % n) + n) % n) // n ORDER BY i) FILTER (WHERE s IS NOT NULL), any_value(y)) AS y FROM c{r - 1} c LEFT JOIN s{r} s ON s.part = c.part AND s.entry = c.entry GROUP BY c.part, c.entry)")
+    return ",\n".join(out)
+
+
+OP12_SQL = f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT row, vec_id, label, part, e[part * (len(e) // 8) + 1:(part + 1) * (len(e) // 8)] AS x FROM v, range(8) r(part)),
+c0 AS MATERIALIZED (SELECT part, row - 1 AS entry, x AS y FROM p WHERE row <= 16),
+{_rounds(6)},
+f AS (SELECT row, vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(far)::BIGINT AS error FROM a7 GROUP BY ALL)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, entry)) FROM c6) AS codebooks_sha256 FROM f
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = """
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS pos,
+             {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT),
+        lambda crc, b: list_reduce(range(8), lambda x, _: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)), 4294967295)) % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS own, pos, said FROM c JOIN t ON t.conv_id = c.base WHERE pos <= h
+      UNION ALL SELECT c.conv_id, 1, pos, said FROM c JOIN t ON t.conv_id = c.conv_id WHERE pos > h),
+l AS (SELECT c.conv_id, coalesce(list(said ORDER BY own, pos) FILTER (WHERE pos IS NOT NULL), []) AS said FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+m AS (SELECT conv_id, depth, said[1:depth] AS path, len(said) = depth AS ends FROM (SELECT *, unnest(range(0, len(said) + 1)) AS depth FROM l)),
+n AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM m GROUP BY depth, path),
+k AS (SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+a AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.depth > 0 THEN (n_convs - 1) * strlen(n.path[n.depth].text) ELSE 0 END AS saved FROM n LEFT JOIN k ON k.depth = n.depth AND k.path = n.path),
+s AS (SELECT up AS depth, path[1:up] AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM a) GROUP BY 1, 2)
+SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves, saved_tokens, a.ends_sha256
+FROM a JOIN s ON s.depth = a.depth AND s.path = a.path LEFT JOIN n p ON p.depth = a.depth - 1 AND p.path = a.path[1:a.depth - 1]
+"""
+
+
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What rules alone decide of every page's url."""
     url = F.col("url")
@@ -233,6 +313,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,
+    "op11_decontamination": op11_decontamination,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_prefix_trie": op13_prefix_trie,
     "url_rules": url_rules,
     "mix_targets": mix_targets,
     "quality_features": quality_features,
@@ -244,6 +327,9 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
     "op6_suffix_dedup": OP6_SQL,
     "op7_embeddings": OP7_SQL,
+    "op11_decontamination": OP11_SQL,
+    "op12_vector_codes": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
     "url_rules": URL_RULES_SQL,
     "mix_targets": MIX_TARGETS_SQL,
     "quality_features": QUALITY_FEATURES_SQL,

@@ -71,9 +71,9 @@ def join(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"\n".join([*texts, b""]), np.uint8), at
 
 
-def words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of bytes other than 0x20 and 0x09-0x0D; ``buf`` ends with such a byte."""
-    dark = ~WHITE[buf]
+def words(buf: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that do not stand ``between`` words; ``buf`` ends with such a byte."""
+    dark = ~between[buf]
     edge = np.flatnonzero(dark[1:] != dark[:-1]) + 1
     if len(dark) and dark[0]:
         edge = np.concatenate([[0], edge])
