@@ -24,15 +24,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, column: str) -> tuple[DataFrame, str]:
-    """``df`` in the shared folder, in as many buckets of ``column`` as a shuffle has partitions, and its table's name.
+def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """``df`` in the shared folder, in as many buckets of ``column`` as a shuffle has partitions.
 
     A task writes a file for each bucket that it has rows of; joins on ``column`` then leave these rows where they are.
+    The catalog's entry goes at once, whatever comes of the query: the DataFrame knows the files and their buckets.
     """
     spark, table = df.sparkSession, f"brindle_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").option("path", scratch_folder(spark, name)).option("compression", "zstd").bucketBy(buckets, column).saveAsTable(table)
-    return spark.table(table), table
+    try:
+        df.write.format("parquet").option("path", scratch_folder(spark, name)).option("compression", "zstd").bucketBy(buckets, column).saveAsTable(table)
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def join_by_slices(rows: DataFrame, told: DataFrame, on: list[str], by: str, how: str = "inner") -> DataFrame:

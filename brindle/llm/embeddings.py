@@ -33,8 +33,14 @@ def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return q, s, np.linalg.norm(near, axis=1) * up, np.linalg.norm(unit - near, axis=1) * up + 1e-12
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that the largest component lies in [0.5, 1): squares neither overflow nor vanish."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1))[1][:, None])
+
+
 def tile_links(x: np.ndarray, y: np.ndarray, threshold: float):
     """Index pairs ``(i, j)`` of rows of ``x`` and ``y`` (doubles, not zero) with cosine at least ``threshold``, a part at a time."""
+    x, y = scaled(x), scaled(y)
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     qx, sx, ax, ex = quantised(x / nx[:, None])
     qy, sy, ay, ey = quantised(y / ny[:, None])
@@ -76,7 +82,7 @@ def _tile(threshold: float, block: str):
         dim = table.column("dim")[0].as_py()
         v = np.frombuffer(b"", np.float64) if not table.num_rows else table.column("v").combine_chunks().flatten().to_numpy().astype(np.float64)
         v = v.reshape(-1, dim)
-        rep, count = table.column("rep"), table.column("count").to_numpy()
+        node, count = table.column("node").combine_chunks(), table.column("count").to_numpy()
         side, low = table.column(block).to_numpy(), table.column("low")[0].as_py()
         inner = table.column("high")[0].as_py() == low
         left = np.flatnonzero(side == low)
@@ -92,7 +98,7 @@ def _tile(threshold: float, block: str):
                     links += (np.bincount(i, count[j], len(v)) + np.bincount(j, count[i], len(v))).astype(np.int64)
                 root = forest(len(v), np.concatenate([np.arange(len(v)), i]), np.concatenate([root, j]))
         some = pa.array(np.flatnonzero(links))
-        return pa.table({"rep": rep.take(some), "links": pa.array(links).take(some), "root": rep.take(pa.array(root[some.to_numpy()]))})
+        return pa.table({"node": node.take(some), "links": pa.array(links).take(some), "root": node.take(pa.array(root[some.to_numpy()]))})
 
     return run
 
@@ -102,7 +108,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id: str = "vec_id"
 
     Vectors of one label (not null) and one length link if their cosine in double precision is at least
     ``threshold``, ties included. Vectors are read whole, however long. Vectors that are null, empty, zero or hold null or non-finite components, and rows without an id,
-    link with nothing: no links, their own id as component, kept. Rows are vectors: a repeated row links to its copy.
+    link with nothing: no links, their own id as component, kept. Rows are vectors: a repeated row links to its copy, and
+    vectors that share an id are vectors of their own. Finite components may be of any size.
     An empty table gives an empty table; other columns are not read.
     """
     kind = vectors.schema[id].dataType.simpleString()
@@ -112,18 +119,21 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, id: str = "vec_id"
     good = F.col("id").isNotNull() & F.col("label").isNotNull() & e.isNotNull() & F.forall(e, fine) & F.exists(e, lambda c: c != 0)
     rows = staged(rows.select("id", "label", F.when(good, e).alias("v"), F.when(good, F.xxhash64(e)).alias("h1"), F.when(good, F.xxhash64(F.lit(1), e)).alias("h2")), "vectors")
     same = ["label", "h1", "h2"]
+    # A class is told by its smallest id, for the order of components, and by its hashes, as an id may have several vectors.
+    node = F.struct("rep", "label", "h1", "h2").alias("node")
+    node_kind = f"struct<rep: {kind}, label: {vectors.schema[label].dataType.simpleString()}, h1: bigint, h2: bigint>"
     classes = rows.where(F.col("v").isNotNull()).groupBy(*same).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("count"), F.first("v").alias("v"))
     classes = staged(classes.withColumn("dim", F.size("v")), "vector-classes")
 
     blocks = classes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     dealt = classes.join(blocks, ["label", "dim"]).withColumn("own", F.pmod(F.xxhash64("h1"), F.col("blocks")).cast("int"))
     tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select("label", "dim", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "count", "v")
-    met = staged(tiles.groupBy("label", "dim", "low", "high").applyInArrow(_tile(threshold, "own"), f"rep {kind}, links long, root {kind}"), "tile-links")
-    links = met.groupBy("rep").agg(F.sum("links").alias("links"))
-    found = connected_components(met.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    tiles = tiles.select("label", "dim", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", node, "count", "v")
+    met = staged(tiles.groupBy("label", "dim", "low", "high").applyInArrow(_tile(threshold, "own"), f"node {node_kind}, links long, root {node_kind}"), "tile-links")
+    links = met.groupBy("node").agg(F.sum("links").alias("links"))
+    found = connected_components(met.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
-    told = classes.join(links, "rep", "left").join(found, F.col("rep") == F.col("node"), "left")
-    told = told.select(*same, (F.coalesce("links", F.lit(0)) + F.col("count") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    told = classes.select(*same, "rep", "count", node).join(links, "node", "left").join(found, "node", "left")
+    told = told.select(*same, (F.coalesce("links", F.lit(0)) + F.col("count") - 1).alias("n_links"), F.coalesce("component.rep", "rep").alias("component"))
     out = rows.join(told, same, "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
     return out.select(F.col("id").alias(id), "n_links", F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))

@@ -269,7 +269,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, id: str =
     kind = docs.schema[id].dataType.simpleString()
     id_type = to_arrow_type(docs.schema[id].dataType)
     packed = rows.mapInArrow(_pack(id_type), f"chunk long, name string, uids array<long>, ids array<{kind}>, sizes array<int>, raw binary")
-    chunks, table = bucketed(packed, "chunks", "chunk")
+    chunks = bucketed(packed, "chunks", "chunk")
     places = chunks.select("chunk", "name", F.posexplode("ids").alias("place", "id")).where("id IS NOT NULL")
     places = places.join(good, "id", "left_semi").withColumn("held", held_out(F.col("id")))
     counted = places.groupBy("name").agg(F.min("held").alias("none"))  # a row for each language
@@ -284,7 +284,6 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, id: str =
     added = chunks.join(told, "chunk", "left").mapInArrow(_add_up, f"uid long, id {kind}, name string, log_p double, n long")
     whole = added.groupBy("uid", "id", "name").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
     scored = staged(whole.select("id", "name", "n", F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n"))).alias("perplexity")), "perplexities")
-    docs.sparkSession.sql(f"DROP TABLE {table}")
     limits = thresholds(scored.where("perplexity IS NOT NULL").join(good, "id", "left_semi").select("name", "perplexity", held_out(F.col("id")).alias("held")), quantile)
     kept = (F.col("n") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     of = F.when(F.col("name") != "-", F.expr("substring(name, 2)"))

@@ -8,6 +8,7 @@ arrays of ``2**BITS`` numbers, 2 MB, whatever the input. Nothing but the labelle
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,9 +31,16 @@ WHITE_BYTES = bytes(np.flatnonzero(k.WHITE).tolist())
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+MOST_SHARE = 64
+
+
 @dataclass(frozen=True)
 class Training:
-    """How the regression is fitted; ``rows`` and ``chars`` (of all their texts) bound the labelled sample."""
+    """How the regression is fitted; ``rows`` and ``chars`` (of all their texts) bound the labelled sample.
+
+    Good and bad rows have one half of ``chars`` each, and a text of more than a ``MOST_SHARE``-th of ``chars`` fits nothing, so
+    no long text takes the place of all others.
+    """
 
     rows: int = 3000
     chars: int = 32_000_000
@@ -122,7 +130,7 @@ def repeated_lines(text: bytes) -> int:
 
 def sample(docs: DataFrame, labels: DataFrame, how: Training, id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """``y``, ``text`` of the labelled rows that fit the regression, in order and in one partition: at most ``how.rows``
-    rows of at most ``how.chars`` characters, those of the smallest hashed ids.
+    rows of at most ``how.chars`` characters (see ``Training``), those of the smallest hashed ids.
 
     Null ids and labels are left out, an id's labels count as their least and of its texts one is read (the least by hash).
     """
@@ -131,8 +139,10 @@ def sample(docs: DataFrame, labels: DataFrame, how: Training, id: str = "doc_id"
     chosen = known.orderBy("order", id).limit(how.rows)
     rows = docs.select(F.col(id), F.col(text).alias("text")).join(F.broadcast(chosen), id)
     rows = rows.groupBy("order", id, "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    so_far = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(Window.orderBy("order", id))  # of how.rows rows at most
-    return rows.withColumn("so_far", so_far).where(F.col("so_far") <= how.chars).select(F.col("y").cast("double").alias("y"), "text")
+    size = F.coalesce(F.length("text"), F.lit(0))
+    so_far = F.sum("size").over(Window.partitionBy(F.col("y") > 0).orderBy("order", id))  # of how.rows rows at most
+    rows = rows.withColumn("size", size).where(F.col("size") <= how.chars // MOST_SHARE).withColumn("so_far", so_far).where(F.col("so_far") <= how.chars // 2)
+    return rows.coalesce(1).sortWithinPartitions("order", id).select(F.col("y").cast("double").alias("y"), "text")
 
 
 def _fitted(how: Training):
@@ -156,9 +166,12 @@ def _fitted(how: Training):
 def train(docs: DataFrame, labels: DataFrame, how: Training = Training(), id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
     """Fit and calibrate on ``sample``, in one task; the model alone, 2 MB, goes to the driver.
 
-    With fewer than two classes among the sample, there is no model.
+    With fewer than two classes among the sample, there is no model, and a warning is logged. Null texts are empty ones,
+    long ones are left out (``Training``), and empty tables give no model.
     """
     got = sample(docs, labels, how, id, text, label).mapInArrow(_fitted(how), "words binary, grams binary, bias double, slope double, shift double").first()
+    if got is None:
+        logging.getLogger(__name__).warning("the labelled sample does not hold both good and bad rows: no regression is fitted")
     return got and Model(np.frombuffer(got.words, np.float32), np.frombuffer(got.grams, np.float32), got.bias, got.slope, got.shift)
 
 
@@ -205,7 +218,8 @@ def judge(df: DataFrame, model: Model | None, threshold: float = Training.thresh
     """Every row of ``df`` with the five features, ``quality`` (the calibrated probability), ``base_failed``, ``kept``.
 
     Null and empty texts have no words and fail the base rules. Without a model ``quality`` is null and the base rules
-    decide alone. Whole texts are read; repeated rows repeat; input columns with these names are replaced.
+    decide alone. Whole texts are read; repeated rows repeat; input columns with these names are replaced; an empty table
+    gives an empty one.
     """
     names = {**{f: T.LongType() for f in FEATURES}, "quality": T.DoubleType(), "base_failed": T.BooleanType(), "kept": T.BooleanType()}
 

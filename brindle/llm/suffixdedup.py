@@ -472,7 +472,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id: str = "doc_id", text:
     if not isinstance(docs.schema[id].dataType, IntegralType):
         raise TypeError(f"ids must be whole numbers, {id} is {docs.schema[id].dataType.simpleString()}")
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    chunks, table = bucketed(texts.mapInArrow(_chunks(CHUNK), "chunk long, n_bytes long, ids binary, missing binary, sizes binary, raw binary"), "chunks", "chunk")
+    chunks = bucketed(texts.mapInArrow(_chunks(CHUNK), "chunk long, n_bytes long, ids binary, missing binary, sizes binary, raw binary"), "chunks", "chunk")
     text_of = chunks.select("chunk", "ids", "sizes", "raw")
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))

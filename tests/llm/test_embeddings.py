@@ -63,3 +63,17 @@ def test_bounds_lose_no_pair():
     want = set(zip(*np.nonzero(unit(x) @ unit(y).T >= 0.9), strict=True))
     got = {(i, j) for a, b in embeddings.tile_links(x, y, 0.9) for i, j in zip(a, b, strict=True)}
     assert {(int(a), int(b)) for a, b in got} == {(int(a), int(b)) for a, b in want}
+
+
+def test_one_id_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (3, [1.0, 0.02], 0), (4, [0.01, 1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.near_vectors(df).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 1, 1, False)]
+
+
+def test_very_large_and_very_small_vectors(spark):
+    rows = [(1, [1e200, 0.0], 0), (2, [1e200, 1e190], 0), (3, [1e-200, 0.0], 0), (4, [0.0, 5e-324], 0), (5, [0.0, 1.7e308], 0), (6, [1e308, -1e308], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
