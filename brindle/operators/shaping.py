@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,16 +67,23 @@ def analyze(spark: SparkSession, table: str) -> None:
 
 
 def maintain(candidates: DataFrame, folder: str, files: int = 1) -> list[str]:
-    """Work off maintenance candidates, the worst first: each table's content is written again to ``folder`` as few files
-    and its statistics are made. A candidate that is no table of the session's catalog is left out. What was done.
+    """Work off maintenance candidates, the worst first; what was done.
 
-    The candidates are a list of tables, not data, and are walked on the driver.
+    Each table is written as few files below ``folder``, the catalog's entry is pointed there in one change, and statistics are
+    made of the new files; readers see the old files or the new ones. The old files stay where they are. A candidate that
+    is no table of the session's catalog is left out; one with partitions is only analyzed, as it has a place for each.
+    The candidates are a list of tables, not data, and are walked on the driver. ``stored.maintain`` mends tables with a
+    ledger and leaves their large files alone.
     """
     spark, done = candidates.sparkSession, []
     for schema, table in candidates.select("schemaname", "relname").collect():
         name = f"`{schema}`.`{table}`"
         if spark.catalog.tableExists(name):
-            compact(spark.table(name), f"{folder}/{schema}.{table}", files)
+            if not any(c.isPartition for c in spark.catalog.listColumns(name)):
+                place = f"{folder.rstrip('/')}/{schema}.{table}-{uuid.uuid4().hex}"
+                compact(spark.table(name), place, files)
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+                spark.catalog.refreshTable(name)
             analyze(spark, name)
             done.append(name)
     return done

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from brindle.functions import columns as c
 from brindle.functions.calendar import holidays
-from brindle.operators import checks, exports, loads, shaping
+from brindle.operators import checks, exports, loads, shaping, stored
 from brindle.plans import models
 from brindle.plans.queries import AS_OF, HOLIDAYS, query, raw_orders
-from brindle.sources import scans
+from brindle.sources import ledger, scans
 from brindle.sources.scans import source
 from brindle.sources.scratch import scratch_folder
-from brindle.streaming.arrivals import file_stream, process_files, read_log
+from brindle.streaming.arrivals import file_stream, into, poll_files, process_files, read_log
 
 CUSTOMER = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
@@ -111,7 +112,7 @@ def view_and_table(spark, sf_dir):
     """One model as a view and as a table."""
     model = source(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("orders"))
     view = loads.materialize_view(model, "orders_by_status")
-    table = loads.materialize_table(model, "orders_by_status_table", scratch_folder(spark, "orders_by_status")).select(F.col("status").alias("_status"), F.col("orders").alias("_orders"))
+    table = loads.materialize_table(model, f"orders_by_status_{uuid.uuid4().hex[:12]}", scratch_folder(spark, "orders_by_status")).select(F.col("status").alias("_status"), F.col("orders").alias("_orders"))
     return view.join(table, F.col("status") == F.col("_status")).select("status", "orders", (F.col("orders") == F.col("_orders")).alias("same"))
 
 
@@ -179,8 +180,17 @@ def streamed_events(spark, sf_dir):
         if lot == 0 or not exists(spark, f"{folder}/in/lot={lot}"):
             events.where(F.col("event_id") % 2 == lot).write.parquet(f"{folder}/in/lot={lot}")
         stream = file_stream(spark, f"{folder}/in", "event_id long, user_id long, event_type string, value double", "parquet", recursiveFileLookup=True)
-        process_files(stream, lambda df: loads.write_appended(df, f"{folder}/out"), f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+        process_files(stream, into(f"{folder}/out"), f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
+    return ledger.read(spark, f"{folder}/out")
+
+
+@query("SELECT event_id, value, 1::BIGINT AS batches FROM events")
+def polled_events(spark, sf_dir):
+    """Polling that stops after the first batch with records, and one that finds none and stops after two polls."""
+    folder = scratch_folder(spark, "arrivals")
+    source(spark, sf_dir, "events").select("event_id", "value").write.parquet(f"{folder}/in")
+    told = [poll_files(file_stream(spark, f"{folder}/in", "event_id long, value double", "parquet"), into(f"{folder}/out"), f"{folder}/log", f"{folder}/checkpoint", poll_seconds=1, most_polls=most) for most in (60, 2)]
+    return ledger.read(spark, f"{folder}/out").withColumn("batches", F.lit(sum(t.batches for t in told)).cast("long"))
 
 
 def exists(spark, path: str) -> bool:
@@ -199,7 +209,7 @@ def late_arrivals(spark, sf_dir):
     for lot, rest in (("b", 0), ("a", 1)):
         events.where(F.col("event_id") % 2 == rest).write.parquet(f"{folder}/in/{lot}")
         stream = file_stream(spark, f"{folder}/in", "event_id long", "parquet", recursiveFileLookup=True)
-        process_files(stream, lambda df: loads.write_appended(df, f"{folder}/out"), f"{folder}/log", f"{folder}/checkpoint", strict=True).awaitTermination()
+        process_files(stream, into(f"{folder}/out"), f"{folder}/log", f"{folder}/checkpoint", strict=True).awaitTermination()
     status = read_log(spark, f"{folder}/log").select("status", "key").distinct()
     landed = spark.read.option("recursiveFileLookup", True).parquet(f"{folder}/in").select(F.col("_metadata.file_path").alias("key"))
     return landed.join(status, "key").groupBy("status").agg(F.count(F.lit(1)).alias("events"))
@@ -248,12 +258,90 @@ def sql_functions(spark, sf_dir):
     )
 
 
-@query("SELECT 'wide_orders' AS relname, count(*) AS n_rows, true AS stale FROM orders")
+UPSERTED = """
+WITH b AS (SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, 'batch' AS origin FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) // 10 FROM orders)
+  UNION ALL SELECT -o_orderkey - 1, o_totalprice, 'batch' FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) // 100 FROM orders))
+SELECT * FROM b UNION ALL SELECT o_orderkey, o_totalprice, NULL FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)
+"""
+
+
+def upserted_orders(spark, sf_dir):
+    """Orders stored in ten files, a tenth of them upserted with some new ones; the table's path and its files before."""
+    path, orders = scratch_folder(spark, "orders"), source(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    before = stored.create(orders, path, ["o_orderkey"], 10)
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    batch = orders.where(F.col("o_orderkey") <= top // 10).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    new = orders.where(F.col("o_orderkey") <= top // 100).withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    stored.upsert(batch.unionByName(new).withColumn("origin", F.lit("batch")), path, [F.desc("o_totalprice")])
+    return path, before
+
+
+@query(UPSERTED)
+def upsert_stored(spark, sf_dir):
+    path, _ = upserted_orders(spark, sf_dir)
+    return ledger.read(spark, path)
+
+
+@query("SELECT 10::BIGINT AS files_before, true AS most_files_stay, (SELECT count(*) FROM (" + UPSERTED + ")) AS rows")
+def upsert_touches(spark, sf_dir):
+    """Files without a key of the batch keep their names: all but two of ten at most."""
+    path, before = upserted_orders(spark, sf_dir)
+    after = ledger.version(spark, path)
+    stay = len(before.files.keys() & after.files.keys())
+    return ledger.read(spark, path).agg(F.lit(len(before.files)).cast("long").alias("files_before"), F.lit(stay >= len(before.files) - 2).alias("most_files_stay"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("SELECT event_id, user_id, ts, value FROM events")
+def durable_increment(spark, sf_dir):
+    """Events in two loads by time; the second looks back three days and leaves out what is there, a third finds none."""
+    path, events = scratch_folder(spark, "events"), source(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    stored.load_increment(events.where((F.col("ts") <= F.lit("2024-01-15").cast("timestamp_ntz")) & (F.col("event_id") % 10 > 0)), path, "ts", ["event_id"])
+    stored.load_increment(events, path, "ts", ["event_id"], "40 days")
+    stored.load_increment(events, path, "ts", ["event_id"])
+    return ledger.read(spark, path)
+
+
+@query(
+    """SELECT * FROM (VALUES ('after', true, true, true), ('before', false, true, true)) AS t(state, healthy, large_file_stays, rows_same)"""
+)
+def compacted_in_place(spark, sf_dir):
+    """A table with one large file and many small ones, before and after its small files are put together."""
+    path, items = scratch_folder(spark, "lineitem"), source(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    stored.create(items, path, ["l_orderkey", "l_linenumber"], 1)
+    large = ledger.version(spark, path).files
+    small = max(f.bytes for f in large.values())
+    for rest in range(4):
+        ledger.append(items.where(F.col("l_linenumber") % 4 == rest).repartition(3), path)
+    # appended files have no index; a compaction by ranges of another column needs none
+    ledger.append(items.limit(0), path, {"keys": None})
+    before, rows = stored.health(spark, {"lineitem": path}, small), ledger.read(spark, path).count()
+    before = before.collect()
+    done = stored.maintain(spark, {"lineitem": path}, small=small, target=1 << 30)
+    after = stored.health(spark, {"lineitem": path}, small).collect()
+    told = [(name, r.n_small <= 1, set(large) <= set(ledger.version(spark, path).files), r.n_rows == rows) for name, (r,) in (("before", before), ("after", after))]
+    assert done == ["lineitem"]
+    return spark.createDataFrame(told, "state string, healthy boolean, large_file_stays boolean, rows_same boolean")
+
+
+@query(
+    """SELECT 'after' AS state, 'wide_orders' AS relname, count(*) AS n_rows, false AS sick FROM orders UNION ALL SELECT 'after', 'tidy_orders', count(*), false FROM orders
+UNION ALL SELECT 'before', 'wide_orders', count(*), true FROM orders UNION ALL SELECT 'before', 'tidy_orders', count(*), false FROM orders"""
+)
 def unhealthy_tables(spark, sf_dir):
-    """Of two tables, the one with many small files and without statistics; after maintenance there is none left."""
-    orders = source(spark, sf_dir, "orders")
-    loads.materialize_table(orders.repartition(6), "default.wide_orders", scratch_folder(spark, "wide-orders"))
-    loads.materialize_table(orders.coalesce(1), "default.tidy_orders", scratch_folder(spark, "tidy-orders"))
-    shaping.analyze(spark, "default.tidy_orders")
-    health = shaping.table_health(spark, ["default.wide_orders", "default.tidy_orders"])
-    return shaping.unhealthy(health).select("relname", "n_rows", "stale")
+    """Two tables of the catalog, before and after maintenance: the one with many small files and no statistics is mended."""
+    orders, own = source(spark, sf_dir, "orders"), uuid.uuid4().hex[:12]
+    names = {f"default.wide_orders_{own}": orders.repartition(6), f"default.tidy_orders_{own}": orders.coalesce(1)}
+    told = []
+    try:
+        for name, df in names.items():
+            loads.materialize_table(df, name, scratch_folder(spark, "orders"))
+        shaping.analyze(spark, f"default.tidy_orders_{own}")
+        for state in ("before", "after"):
+            health = shaping.table_health(spark, list(names))
+            sick = shaping.unhealthy(health)
+            told += [(state, r.relname.removesuffix(f"_{own}"), r.n_rows, r.sick is not None) for r in health.join(sick.select("relname", F.lit(True).alias("sick")), "relname", "left").collect()]
+            shaping.maintain(sick, scratch_folder(spark, "maintained"))
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(told, "state string, relname string, n_rows long, sick boolean")
