@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +78,42 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     return no_rows(child.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_parent"), "left_anti"), name or f"relationships_{column}")
 
 
+#: Values of one bitmap, and bytes that it takes.
+SPAN, SPAN_BYTES = 1 << 15, 1 << 12
+
+
+def relationships_by_bitmaps(child: DataFrame, column: str, parent: DataFrame, parent_column: str, name: str | None = None) -> DataFrame:
+    """``relationships`` for whole-number keys, where few or no rows fail: the same failures, without a join of all child rows.
+
+    Both sides' keys become exact bitmaps of ``SPAN`` values, built before the shuffle; bits that only the child has are its
+    keys without a parent, and the rows with these keys alone are counted. (A Bloom filter could not do that: all rows that it
+    lets pass would have to be looked up.) Keys too sparse for bitmaps meet in ``relationships``.
+    """
+    name = name or f"relationships_{column}"
+    keys = {"child": child.select(F.col(column).cast("long").alias("k")), "parent": parent.select(F.col(parent_column).cast("long").alias("k"))}
+    keys = {side: df.where(F.col("k").isNotNull()) for side, df in keys.items()}
+    span = F.shiftright("k", 15)
+    size = keys["child"].agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(span).alias("spans")).first()
+    if size.spans * SPAN_BYTES > 8 * size.rows + (1 << 20):  # bitmaps would take more than the keys
+        return relationships(child, column, parent, parent_column, name)
+    bits = F.bitmap_construct_agg(F.col("k").bitwiseAND(SPAN - 1))
+    child_bits, parent_bits = (df.groupBy(span.alias("span")).agg(bits.alias(side)) for side, df in keys.items())
+    orphans = child_bits.join(parent_bits, "span", "left").mapInArrow(_only_left, "k long")
+    failing = child.join(orphans, F.col(column).cast("long") == F.col("k"), "left_semi")
+    return no_rows(failing, name)
+
+
+def _only_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The values that ``child`` has and ``parent`` has not."""
+    for batch in batches:
+        for span, child, parent in zip(*[batch.column(c).to_pylist() for c in ("span", "child", "parent")], strict=True):
+            left = np.frombuffer(child, np.uint8)
+            if parent is not None:
+                left = left & ~np.frombuffer(parent, np.uint8)
+            if left.any():
+                yield pa.record_batch([pa.array(span * SPAN + np.flatnonzero(np.unpackbits(left, bitorder="little")))], ["k"])
+
+
 def matches(actual: DataFrame, expected: DataFrame, name: str = "matches") -> DataFrame:
     """A model's unit test: failures are the rows that only one side has; only the expected columns are compared."""
     return no_rows(compare(actual.select(*expected.columns), expected), name)
@@ -119,12 +158,19 @@ def raise_if_exceeded(judged: DataFrame) -> DataFrame:
     return judged
 
 
-def test_report(results: DataFrame) -> DataFrame:
-    """``total``, ``failed`` and ``report`` of test results (``unique_id``, ``status``, ``message``)."""
+def test_report(results: DataFrame, most_lines: int = 1000) -> DataFrame:
+    """``total``, ``failed`` and ``report`` of test results (``unique_id``, ``status``, ``message``).
+
+    The report lists the first ``most_lines`` failing lines in order and says how many more there are.
+    """
     failed = F.col("status") == "fail"
     line = F.concat(test_name(F.col("unique_id")), F.lit(" - "), short_message(F.col("message")))
-    out = results.agg(F.count(F.lit(1)).alias("total"), F.count(F.when(failed, 1)).alias("failed"), F.sort_array(F.collect_list(F.when(failed, line))).alias("lines"))
-    words = F.concat(F.col("failed").cast("string"), F.lit(" of "), F.col("total").cast("string"), F.lit(" tests failed in last run:\n"), F.array_join("lines", "\n"))
+    counts = results.agg(F.count(F.lit(1)).alias("total"), F.count(F.when(failed, 1)).alias("failed"))
+    lines = results.where(failed).select(line.alias("line")).where(F.col("line").isNotNull()).orderBy("line").limit(most_lines)  # the limit is kept by each task
+    listed = lines.agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    out = counts.withColumn("_one", F.lit(1)).join(listed.withColumn("_one", F.lit(1)), "_one")
+    more = F.when(F.col("failed") > most_lines, F.concat(F.lit("\n… and "), (F.col("failed") - most_lines).cast("string"), F.lit(" more"))).otherwise("")
+    words = F.concat(F.col("failed").cast("string"), F.lit(" of "), F.col("total").cast("string"), F.lit(" tests failed in last run:\n"), F.array_join("lines", "\n"), more)
     fine = F.concat(F.lit("All "), F.col("total").cast("string"), F.lit(" tests passed in last run."))
     return out.select("total", "failed", F.when(F.col("failed") > 0, words).otherwise(fine).alias("report"))
 

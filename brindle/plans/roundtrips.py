@@ -11,8 +11,8 @@ from brindle.functions import columns as c
 from brindle.functions.calendar import holidays
 from brindle.operators import checks, exports, loads, shaping, stored
 from brindle.plans import models
-from brindle.plans.queries import AS_OF, HOLIDAYS, query, raw_orders
-from brindle.sources import ledger, scans
+from brindle.plans.queries import AS_OF, HOLIDAYS, ORACLES, query, raw_orders
+from brindle.sources import generated, inferred, ledger, scans
 from brindle.sources.scans import source
 from brindle.sources.scratch import scratch_folder
 from brindle.streaming.arrivals import file_stream, into, poll_files, process_files, read_log
@@ -258,6 +258,66 @@ def sql_functions(spark, sf_dir):
     )
 
 
+@query(ORACLES["compare_relations"])
+def compare_checksums(spark, sf_dir):
+    """The same rows as ``compare_relations``, by checksums of parts first."""
+    a = source(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    b = a.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return loads.compare_by_checksums(a.drop("o_orderstatus"), b.drop("o_orderstatus"))
+
+
+@query(ORACLES["snapshot_events"])
+def snapshot_ranges(spark, sf_dir):
+    """The same rows as ``snapshot_events``, by ranges that a user's events may span."""
+    return loads.snapshot_in_ranges(source(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type"), "user_id", "ts", "event_id")
+
+
+@query(
+    """SELECT *, failures = 0 AS passed FROM (SELECT 'customers_of_orders' AS "check", (SELECT count(*) FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer)) AS failures
+UNION ALL SELECT 'dear_orders_of_lines', (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 1000)))"""
+)
+def integrity_by_bitmaps(spark, sf_dir):
+    orders, customer, lineitem = (source(spark, sf_dir, t) for t in ("orders", "customer", "lineitem"))
+    return checks.relationships_by_bitmaps(orders, "o_custkey", customer, "c_custkey", "customers_of_orders").unionByName(
+        checks.relationships_by_bitmaps(lineitem, "l_orderkey", orders.where("o_totalprice > 1000"), "o_orderkey", "dear_orders_of_lines")
+    )
+
+
+@query(
+    """SELECT 'orders' AS tbl, o_orderkey AS id, NULL AS place, o_totalprice AS amount, CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS status FROM orders
+UNION ALL SELECT 'orders__lines', l_orderkey, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) - 1)::VARCHAR, l_extendedprice, NULL FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)"""
+)
+def inferred_records(spark, sf_dir):
+    """Orders with their lines as JSON in two loads, the second with a column more; schemas inferred, lines a table of their own."""
+    folder = scratch_folder(spark, "records")
+    lines = source(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_extendedprice"))).alias("lines"))
+    orders = source(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    for rest, more in ((0, []), (1, ["o_orderstatus"])):
+        some = orders.where(F.col("o_orderkey") % 2 == rest)
+        record = F.struct(F.col("o_orderkey").alias("id"), F.struct(F.col("o_totalprice").alias("total")).alias("price"), "lines", *more)
+        path = scratch_folder(spark, "landing")
+        some.select(F.to_json(record).alias("value")).write.text(path)
+        places = inferred.load_records(spark, spark.read.text(path), folder, "orders", "id")
+    head, items = ledger.read(spark, places["orders"]), ledger.read(spark, places["orders__lines"])
+    no = F.lit(None).cast("string")
+    head = head.select(F.lit("orders").alias("tbl"), "id", no.alias("place"), F.col("price__total").alias("amount"), F.col("o_orderstatus").alias("status"))
+    return head.unionByName(items.select(F.lit("orders__lines").alias("tbl"), "id", F.col("_position").alias("place"), F.col("l_extendedprice").cast("double").alias("amount"), no.alias("status")))
+
+
+@query("SELECT 'batch' AS way, event_id, value FROM events UNION ALL SELECT 'stream', event_id, value FROM events")
+def generated_events(spark, sf_dir):
+    """A generator that pages through the events, read by four tasks, and as a stream that is stopped and goes on."""
+    what = {"schema": "event_id bigint, value double", "make": "brindle.sources.generated:table_items", "size": "brindle.sources.generated:table_rows", "tasks": 4, "path": f"{sf_dir}/events.parquet", "columns": "event_id,value"}
+    folder, rows = scratch_folder(spark, "generated"), source(spark, sf_dir, "events").count()
+    for upto in (rows // 2, rows):
+        stream = generated.stream_generator(spark, **what, upto=upto)
+        sink = into(f"{folder}/out")
+        run = lambda df, n: sink(df, df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"), n)  # noqa: B023, E731
+        stream.writeStream.foreachBatch(run).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    batch = generated.read_generator(spark, **what)
+    return batch.select(F.lit("batch").alias("way"), "*").unionByName(ledger.read(spark, f"{folder}/out").select(F.lit("stream").alias("way"), "*"))
+
+
 UPSERTED = """
 WITH b AS (SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, 'batch' AS origin FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) // 10 FROM orders)
   UNION ALL SELECT -o_orderkey - 1, o_totalprice, 'batch' FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) // 100 FROM orders))
