@@ -290,9 +290,10 @@ def star_links(shared: DataFrame, sets: DataFrame, percent: int, sketch_bits: in
     # At most four centers a key: a class has a bounded number of them.
     closest = F.slice(F.sort_array(F.collect_set(F.struct(bits.alias("bits"), "crep", "cmark"))), 1, TRIED)
     stars = met.groupBy("rep", "mark").agg(closest.alias("c")).select("rep", "mark", F.explode("c").alias("c")).select("rep", "mark", "c.crep", "c.cmark")
-    stars = staged(stars, "stars")
-    # A table of its own: the join can split a hot center.
-    slices = staged(stars.groupBy("crep", "cmark").agg(F.ceil(F.count(F.lit(1)) / STAR_ROWS).alias("slices")), "star-slices")
+    stars = staged(stars.join(sets.select("rep", "mark", "size"), ["rep", "mark"]), "stars")
+    # A table of its own: the join can split a hot center. Slices are bounded in rows and, for long documents, in shingles.
+    slices = F.greatest(F.ceil(F.count(F.lit(1)) / STAR_ROWS), F.ceil(F.sum("size") / BLOCK_SHINGLES))
+    slices = staged(stars.groupBy("crep", "cmark").agg(slices.alias("slices")), "star-slices")
     stars = stars.join(slices, ["crep", "cmark"]).withColumn("slice", F.pmod(drawn, F.col("slices")))
     tile = ["crep", "cmark", "slice"]
     centers = stars.select(*tile).distinct().select(*tile, F.col("crep").alias("rep"), F.col("cmark").alias("mark"), F.lit(True).alias("center"))

@@ -77,7 +77,7 @@ def test_deep_conversations_in_many_blocks(spark, monkeypatch):
 
 
 def test_one_conversation_has_most_turns(spark):
-    rows = [(10, i % 7 if i % 2 else None, "user", "x" * (i % 3), 0, "") for i in range(3000)] + made(8, 5)
+    rows = [(10, i % 7 if i % 2 else None, "user", "x" * (i % 3), 0, "") for i in range(500)] + made(8, 5)
     rows = [r for r in rows if r[0] is None or r[0] >= 0]
     assert got(spark.createDataFrame(rows, TURNS).repartition(6)) == brute(rows)
 
