@@ -156,9 +156,12 @@ def bayes_scores(urls: DataFrame, tokens: DataFrame, weights: DataFrame, prior:
     return urls.join(sums.hint("merge"), ["host", "path"], "left").select("host", "path", F.round(F.coalesce("sum", F.lit(0.0)) + prior, 9).alias("score"))
 
 
-def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", odds: float | None = 1.0) -> DataFrame:
     """One row per row of ``pages``: ``id``, ``host``, ``path``, ``rule``, ``verdict``, ``score``.
 
+    ``odds`` are those of block against allow before a word is read. They are even unless given: how much the rules cover
+    says nothing of the pages that they leave open; None takes the rules' own share.
+
     The rule's verdict holds where one fits; elsewhere a url is blocked if its log odds (``score``) are above 0, not at 0.
     A null url or one without ``://`` has an empty host and path and only the prior. Without rules that fit any page all
     others are allowed. Hosts, paths and pages are read whole, however long. Repeated rows repeat; an empty table gives
@@ -173,6 +176,7 @@ def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "u
     ruled = urls.where(F.col("ruled").isNotNull())
     trained = not ruled.isEmpty()
     weights, prior = bayes_weights(found, ruled.select("host", "path", "ruled", "n"))
+    prior = prior if odds is None else math.log(odds)
     scored = bayes_scores(urls.where(F.col("ruled").isNull()).select("host", "path"), found, weights, prior)
     verdict = F.coalesce("ruled", F.when(F.lit(trained) & (F.col("score") > 0), "block").otherwise("allow"))
     told = urls.join(scored.hint("merge"), ["host", "path"], "left").select("host", "path", "rule", verdict.alias("verdict"), "score")

@@ -71,3 +71,13 @@ def test_held_out_hosts(spark):
     held = out.where(F.col("rule").isNull()).collect()
     bad = set(kinds["net/es"])
     assert len(held) == 12 and all((r.verdict == "block") == any(w in r.host for w in bad) for r in held)
+
+
+def test_odds_before_words_are_read(spark):
+    """Two blocked hosts for each allowed one say nothing of pages whose words are new; their odds do."""
+    rules = spark.createDataFrame([("bad", "/", "block"), ("good", "/", "allow")], "rule_host string, rule_path string, verdict string")
+    urls = [f"http://alpha{i}.bad/x" for i in range(20)] + [f"http://beta{i}.good/x" for i in range(10)] + ["http://gamma.open/y", "no url"]
+    pages = spark.createDataFrame([(i, x, "") for i, x in enumerate(urls)], "page_id long, url string, html string")
+    for odds, verdict in ((1.0, "allow"), (None, "block"), (3.0, "block"), (0.5, "allow")):
+        got = {r.page_id: r.verdict for r in u.judge(pages, rules, odds=odds).collect()}
+        assert (got[30], got[31]) == (verdict, verdict)
