@@ -41,10 +41,11 @@ def read_resources(spark: SparkSession, folder: str, resources: dict[str, Struct
     return {name: read_json_landing(spark, f"{folder}/{name}", schema) for name, schema in resources.items()}
 
 
-def read_test_results(spark: SparkSession, path: str) -> DataFrame:
-    """``unique_id``, ``status``, ``message`` of JSON documents that each hold a list ``results``."""
+def read_test_results(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """``unique_id``, ``status``, ``message`` of JSON documents that each hold a list ``results``: a file each, or with ``lines`` a
+    line each, so that many share a file and a file is read by many tasks."""
     schema = "results array<struct<unique_id: string, status: string, message: string>>"
-    return spark.read.option("multiLine", True).schema(schema).json(path).select(F.inline("results"))
+    return spark.read.option("multiLine", not lines).schema(schema).json(path).select(F.inline("results"))
 
 
 def read_seed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
