@@ -156,10 +156,11 @@ def write_replaced(df: DataFrame, path: str) -> None:
     spark = df.sparkSession
     beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     df.write.parquet(beside)
-    _move(spark, beside, path)
+    put_in_place(spark, beside, path)
 
 
-def _move(spark: SparkSession, beside: str, path: str) -> None:
+def put_in_place(spark: SparkSession, beside: str, path: str) -> None:
+    """Give the folder ``beside`` the name ``path``, whatever had it before."""
     jvm = spark.sparkContext._jvm
     old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
     aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.replaced-{uuid.uuid4().hex}")

@@ -138,6 +138,20 @@ def written_groups(spark, sf_dir):
     return exports.written_manifest(spark, path).groupBy("file").agg(F.sum("rows").alias("rows"))
 
 
+@query(
+    """SELECT lower(c_mktsegment) || '_20240101.csv' AS file, c_custkey, c_name, c_mktsegment, c_acctbal, true AS one_file FROM customer
+WHERE c_mktsegment IS NOT NULL"""
+)
+def exported_files(spark, sf_dir):
+    """Customers in a file for each segment, exported over an export by nation, read back from the files."""
+    path, customers = scratch_folder(spark, "customers"), source(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
+    exports.export_files(exports.with_file(customers, "c_nationkey"), path)
+    named = exports.with_file(customers.drop("c_nationkey"), "c_mktsegment", "{c_mktsegment}", {"c_mktsegment": F.lower}, datetime(2024, 1, 1))
+    told = exports.export_files(named, path, salt=3).select(F.col("file").alias("_told"))
+    back = spark.read.option("header", True).schema("c_custkey long, c_name string, c_mktsegment string, c_acctbal double").csv(path).withColumn("file", F.col("_metadata.file_name"))
+    return back.join(told, F.col("file") == F.col("_told"), "left").select("file", "c_custkey", "c_name", "c_mktsegment", "c_acctbal", F.col("_told").isNotNull().alias("one_file"))
+
+
 @query("SELECT 'nation=' || n_nationkey AS folder FROM nation WHERE n_nationkey >= 5")
 def new_files(spark, sf_dir):
     """A listing of written files, from where an earlier listing ended."""

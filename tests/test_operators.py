@@ -217,6 +217,25 @@ def test_grouped_export(spark, tmp_path):
     assert set(back.columns) == {"name", "mask", "weapon", "_file"}
 
 
+def test_a_file_for_each_group(spark, tmp_path):
+    rows = [("Leo", i, 'a "b",\nc' if i == 3 else "ü") for i in range(500)] + [("x/y 5%: =1", 1, ""), ("Raph", 2, None), (None, 3, "z")]
+    df = spark.createDataFrame(rows, ["name", "n, of it", "text"]).repartition(4)
+    for salt in (1, 5):  # the second export takes the place of the first
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", salt == 1)  # so few rows would share a task
+        told = {r.file: (r.parts, r.bytes) for r in exports.export_files(exports.with_file(df, "name", "of_{name}"), str(tmp_path / "g"), salt=salt).collect()}
+        made = {p.name: p for p in (tmp_path / "g").iterdir() if p.is_file()}
+        assert set(made) == {"of_Leo.csv", "of_x%2Fy 5%25%3A =1.csv", "of_Raph.csv"} == set(told)
+        assert {n: p.stat().st_size for n, p in made.items()} == {n: size for n, (_, size) in told.items()}
+        assert (told["of_Leo.csv"][0] > 1) == (salt > 1)
+        back = spark.read.option("header", True).option("multiLine", True).option("escape", "\\").csv(str(tmp_path / "g"))
+        assert back.columns == ["name", "n, of it", "text"]
+        assert sorted((r[0], int(r[1])) for r in back.collect()) == sorted((a, n) for a, n, _ in rows if a)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [p.name for p in tmp_path.iterdir()] == ["g"]
+    assert exports.export_files(exports.with_file(df.where("name = 'none'"), "name"), str(tmp_path / "g")).count() == 0
+    assert list((tmp_path / "g").iterdir()) == []
+
+
 def test_single_and_text_export(spark, tmp_path):
     df = spark.createDataFrame([("a", None), ("b,c", "")], "x string, y string")
     exports.export_one(df, str(tmp_path / "one"), sep="|")
