@@ -20,6 +20,8 @@ BLOOM_BITS, PIECE_BITS, HASHES = 1 << 19, 1 << 15, 4
 #: A batch of more keys is not looked up in the filters, where some key would seem to be in every file; it meets stored keys at once.
 MOST_PROBED = 20_000
 TARGET_BYTES = 256 << 20
+#: Ends the names of folders whose files have an index.
+INDEXED = "-indexed"
 
 
 def _slots(keys: list[str]) -> list[Column]:
@@ -28,7 +30,7 @@ def _slots(keys: list[str]) -> list[Column]:
 
 def _add_indexed(df: DataFrame, path: str, keys: list[str]) -> dict[str, File]:
     """Add files, and to ``{path}/index`` for each its least and greatest key and a Bloom filter of its keys."""
-    spark, files = df.sparkSession, ledger.add_files(df, path)
+    spark, files = df.sparkSession, ledger.add_files(df, path, INDEXED)
     for folder in {name.split("/")[0] for name in files}:
         written = spark.read.schema(df.schema).parquet(f"{path}/files/{folder}").select(F.concat(F.lit(f"{folder}/"), "_metadata.file_name").alias("file"), *keys)
         ends = written.groupBy("file").agg(F.min(F.struct(*keys)).alias("low"), F.max(F.struct(*keys)).alias("high"))
@@ -43,25 +45,32 @@ def _add_indexed(df: DataFrame, path: str, keys: list[str]) -> dict[str, File]:
 def files_with_keys(spark: SparkSession, path: str, at: Version, batch: DataFrame, keys: list[str]) -> list[str]:
     """Names of the table's files that hold a key of ``batch``.
 
-    Files whose key range or Bloom filter excludes all of the batch's keys are not opened. Of the others the key columns
-    alone are read, and meet the batch's keys.
+    Files whose key range or Bloom filter excludes all of the batch's keys are not opened. Of the others, and of files without
+    an index (those that ``ledger.append`` added), the key columns alone are read, and meet the batch's keys.
     """
     batch = batch.select(*keys).distinct()
     ends = batch.agg(F.min(F.struct(*keys)).alias("low"), F.max(F.struct(*keys)).alias("high"), F.count(F.lit(1)).alias("n")).first()
     if not ends.n or not at.files:
         return []
+    names = [name for name in at.files if not name.split("/")[0].endswith(INDEXED)]
+    if len(names) < len(at.files):
+        names += _maybe_with_keys(spark, path, at, batch, keys, ends.n <= MOST_PROBED)
+    if not names:
+        return []
+    stored = ledger.read(spark, path, at, names).select(*keys, F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)$", 1).alias("_file"))
+    return [r._file for r in stored.join(batch, keys, "left_semi").select("_file").distinct().collect()]
+
+
+def _maybe_with_keys(spark: SparkSession, path: str, at: Version, batch: DataFrame, keys: list[str], probed: bool) -> list[str]:
+    """Names of the indexed files whose key range and, if ``probed``, Bloom filter do not exclude all keys of ``batch``."""
     folders = sorted({name.split("/")[0] for name in at.files})
-    index = spark.read.parquet(*[f"{path}/index/{folder}" for folder in folders])
+    index = spark.read.parquet(*[f"{path}/index/{folder}" for folder in folders if folder.endswith(INDEXED)])
     bounds = batch.agg(F.min(F.struct(*keys)).alias("_low"), F.max(F.struct(*keys)).alias("_high"))
     maybe = index.join(F.broadcast(bounds), (F.col("low") <= F.col("_high")) & (F.col("high") >= F.col("_low")))  # one row
-    if ends.n <= MOST_PROBED:
+    if probed:
         slots = np.array([list(r) for r in batch.select(*_slots(keys)).collect()], np.int64)
         maybe = maybe.select("file", "bloom").mapInArrow(_probe(slots), "file string")
-    names = [r.file for r in maybe.select("file").collect() if r.file in at.files]
-    if not names:
-        return []
-    stored = ledger.read(spark, path, at, names).select(*keys, F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)$", 1).alias("_file"))
-    return [r._file for r in stored.join(batch, keys, "left_semi").select("_file").distinct().collect()]
+    return [r.file for r in maybe.select("file").collect() if r.file in at.files]
 
 
 def _probe(slots: np.ndarray):

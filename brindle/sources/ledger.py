@@ -88,9 +88,12 @@ def read(spark: SparkSession, path: str, at: Version | None = None, names: list[
     return spark.read.schema(at.schema).parquet(*[f"{path}/files/{name}" for name in names])
 
 
-def add_files(df: DataFrame, path: str) -> dict[str, File]:
-    """Write files that belong to no commit yet; their names. Rows and sizes come from the files' metadata."""
-    spark, folder = df.sparkSession, uuid.uuid4().hex
+def add_files(df: DataFrame, path: str, mark: str = "") -> dict[str, File]:
+    """Write files that belong to no commit yet; their names. Rows and sizes come from the files' metadata.
+
+    The name of the folder that they share ends with ``mark``.
+    """
+    spark, folder = df.sparkSession, uuid.uuid4().hex + mark
     df.write.parquet(f"{path}/files/{folder}")
     told = spark.read.schema(df.schema).parquet(f"{path}/files/{folder}").groupBy(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("rows"))
     return {f"{folder}/{r.name}": File(r.rows, r.bytes) for r in told.collect()}

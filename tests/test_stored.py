@@ -119,6 +119,22 @@ def test_upsert_of_nothing_and_into_nothing(spark, tmp_path):
     assert rows_of(spark, path) == [(1, "a")]
 
 
+@pytest.mark.parametrize("probed", [20_000, 0])
+def test_upsert_of_keys_in_appended_files(spark, tmp_path, monkeypatch, probed):
+    monkeypatch.setattr(stored, "MOST_PROBED", probed)
+    path = str(tmp_path)
+    stored.create(keyed(spark, [(i, "old") for i in range(10)]), path, ["k"], 2)
+    ledger.append(keyed(spark, [(100, "appended"), (101, "appended"), (None, "appended")]).coalesce(1), path)  # no index
+    at = stored.upsert(keyed(spark, [(101, "new"), (3, "new")]), path, [F.col("v")])
+    want = {i: "old" for i in range(10)} | {100: "appended", 101: "new", None: "appended", 3: "new"}
+    assert dict(rows_of(spark, path)) == want and len(rows_of(spark, path)) == len(want)
+    assert all(name.split("/")[0].endswith(stored.INDEXED) for name in at.files)
+    ledger.append(keyed(spark, [(200, "appended")]), path)
+    stored.compact(spark, path, small=1 << 30)
+    stored.upsert(keyed(spark, [(200, "new")]), path, [F.col("v")])
+    assert dict(rows_of(spark, path)) == want | {200: "new"}
+
+
 def test_increment_that_dies_between_data_and_state(spark, tmp_path, monkeypatch):
     path, source = str(tmp_path), keyed(spark, [(1, 10), (2, 20), (3, None)], "k long, t long")
     real = ledger.commit
