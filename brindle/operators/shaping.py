@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 
@@ -66,10 +67,16 @@ def analyze(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
 
 
-def maintain(candidates: DataFrame, folder: str, files: int = 1) -> list[str]:
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files that a table's rows lie in; of a file nothing but its metadata is read."""
+    files = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+    return files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+
+
+def maintain(candidates: DataFrame, folder: str, target: int = 256 << 20) -> list[str]:
     """Work off maintenance candidates, the worst first; what was done.
 
-    Each table is written as few files below ``folder``, the catalog's entry is pointed there in one change, and statistics are
+    Each table is written as files of about ``target`` bytes below ``folder``, the catalog's entry is pointed there in one change, and statistics are
     made of the new files; readers see the old files or the new ones. The old files stay where they are. A candidate that
     is no table of the session's catalog is left out; one with partitions is only analyzed, as it has a place for each.
     The candidates are a list of tables, not data, and are walked on the driver. ``stored.maintain`` mends tables with a
@@ -81,7 +88,7 @@ def maintain(candidates: DataFrame, folder: str, files: int = 1) -> list[str]:
         if spark.catalog.tableExists(name):
             if not any(c.isPartition for c in spark.catalog.listColumns(name)):
                 place = f"{folder.rstrip('/')}/{schema}.{table}-{uuid.uuid4().hex}"
-                compact(spark.table(name), place, files)
+                compact(spark.table(name), place, max(1, math.ceil(stored_bytes(spark.table(name)) / target)))
                 spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
                 spark.catalog.refreshTable(name)
             analyze(spark, name)

@@ -81,13 +81,19 @@ def normalised(df: DataFrame, name: str, key: str) -> dict[str, DataFrame]:
     return out
 
 
-def load_records(spark: SparkSession, records: DataFrame, folder: str, name: str, key: str, column: str = "value") -> dict[str, str]:
+def load_records(spark: SparkSession, records: DataFrame, folder: str, name: str, key: str, column: str = "value", writer: str | None = None, batch: int = 0) -> dict[str, str]:
     """Append JSON records to a table with a ledger, and their nested lists to tables beside it; where each lies.
 
+    Each table has a commit of its own. With ``writer`` a load is that writer's numbered ``batch``: run again after a crash
+    between two of them, it adds to each table what that one lacks and doubles nothing (``ledger.append_once``).
+
     A table's schema is in its ledger, so a load reads no earlier file to learn it: the batch's own schema is inferred and
     merged with that one (``ledger.evolved``), new columns come last.
     """
     tables = normalised(parsed(records, infer_schema(records, column), column), name, key)
     for table, df in tables.items():
-        ledger.append(df, f"{folder}/{table}")
+        if writer is None:
+            ledger.append(df, f"{folder}/{table}")
+        else:
+            ledger.append_once(df, f"{folder}/{table}", writer, batch)
     return {table: f"{folder}/{table}" for table in tables}

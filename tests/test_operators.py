@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -341,6 +343,19 @@ def test_maintenance_job(spark, tmp_path):
         shaping.maintain(candidates, str(tmp_path))
 
 
+def test_maintenance_writes_files_by_size(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS staging")
+    spark.range(20000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).repartition(9).write.mode("overwrite").saveAsTable("staging.large")
+    candidates = spark.createDataFrame([("staging", "large")], "schemaname string, relname string")
+    size = shaping.stored_bytes(spark.table("staging.large"))
+    assert size == sum(Path(urlparse(f).path).stat().st_size for f in spark.table("staging.large").inputFiles())
+    shaping.maintain(candidates, str(tmp_path), target=size // 3 + 1)
+    assert len(spark.table("staging.large").inputFiles()) == 3 and spark.table("staging.large").count() == 20000
+    spark.sql("TRUNCATE TABLE staging.large")
+    shaping.maintain(candidates, str(tmp_path))
+    assert spark.table("staging.large").count() == 0
+
+
 def test_maintenance_leaves_partitioned_tables_in_place(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS staging")
     spark.range(10).withColumn("p", F.col("id") % 2).write.mode("overwrite").partitionBy("p").saveAsTable("staging.parts")

@@ -41,6 +41,24 @@ def test_loads_evolve_the_tables(spark, tmp_path):
         inferred.load_records(spark, lines(spark, '{"id": "text"}'), str(tmp_path), "t", "id")
 
 
+def test_load_that_dies_between_two_tables(spark, tmp_path, monkeypatch):
+    record, real = lines(spark, '{"id": 1, "xs": [1, 2]}'), ledger.append
+
+    def dies(df, path, *more):
+        if path.endswith("__xs"):
+            raise RuntimeError("lost power")
+        return real(df, path, *more)
+
+    load = lambda batch: inferred.load_records(spark, record, str(tmp_path), "t", "id", writer="w", batch=batch)
+    monkeypatch.setattr(ledger, "append", dies)
+    with pytest.raises(RuntimeError):
+        load(0)
+    monkeypatch.setattr(ledger, "append", real)
+    for batch, times in ((0, 1), (0, 1), (1, 2)):
+        places = load(batch)
+        assert [ledger.read(spark, places[t]).count() for t in ("t", "t__xs")] == [times, 2 * times]
+
+
 def test_shares_cover_all_items():
     for first, last, n in ((0, 10, 3), (5, 5, 4), (0, 2, 8), (7, 107, 7)):
         parts = generated.shares(first, last, n)
