@@ -228,7 +228,7 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids")
     ``vocabulary``: path of the file, read by the driver alone; its text (a fixed size) goes to the tasks. Gives what
     the library does without special tokens of its own; the strings of special tokens in a text become their ids.
     Null and empty texts give an empty list, an empty table an empty table; rows are independent, so repeated rows
-    repeat; an input column with the name ``ids`` is replaced.
+    repeat; whole texts are read, however long; an input column with the name ``ids`` is replaced.
     """
     definition = Path(vocabulary).read_text(encoding="utf-8")
 
@@ -243,7 +243,8 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids")
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Every row of ``df`` with the text of its ids in column ``text``, special tokens included.
 
-    A null or empty list gives an empty text; an input column with the name ``text`` is replaced.
+    A null or empty list gives an empty text, an empty table an empty table; lists of any length are read whole, repeated
+    rows repeat; an input column with the name ``text`` is replaced.
     """
     definition = Path(vocabulary).read_text(encoding="utf-8")
 

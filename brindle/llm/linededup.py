@@ -39,7 +39,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep:
     ``dropped`` lists the runs of dropped lines, ``array<struct<start,end>>``, end exclusive, from 0. Keys of at least
     ``min_chars`` characters found in at least ``min_docs`` documents lose all their lines (``keep="none"``) or all but
     the first by document id, mark and position (``keep="first"``). Rows that agree in id and text are one document,
-    however often they are repeated; a null id is an id like any other, first in order. An empty table gives no rows.
+    however often they are repeated; a null id is an id like any other, first in order. Texts are split whole, however long. An empty table gives no rows.
     """
     spark = docs.sparkSession
     lines = docs.select(F.col(id).alias("id"), text_mark(F.col(text)).alias("mark"), F.posexplode(lines_of(F.col(text))).alias("pos", "line"))
@@ -73,7 +73,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id: str = "doc_id", text:
     """Every row of ``docs`` with the kept lines as ``text``, and ``n_lines`` (before) and ``n_dropped``.
 
     A text that loses nothing stays as it is; one that loses all lines becomes empty; a null text becomes empty. Input
-    columns named ``n_lines`` or ``n_dropped`` are replaced; all others stay, whatever their names.
+    columns named ``n_lines`` or ``n_dropped`` are replaced; all others stay, whatever their names. Rows that agree in id
+    and text lose the same lines; texts of any length are read whole; an empty table gives an empty table.
     """
     own = [F.col("_row")[c].alias(c) for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
     return _dropped(docs, bitmaps, id, text).select(*own, F.col("_kept").alias(text), "n_lines", "n_dropped")

@@ -363,7 +363,8 @@ def dedup(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "doc_id", te
     """``docs`` with one row of each group: that of the smallest id; of rows with one id, the least by its text's hash,
     then by all its columns written out.
 
-    Rows without an id stay. Columns may have any names and types.
+    Rows without an id stay; null and empty texts are like none. Columns may have any names and types. Texts of any length are
+    compared whole; an empty table gives an empty table.
     """
     judged = near_duplicates(docs, n, percent, id, text).where("kept").select(F.col(id).alias("_kept_id")).distinct()
     rows = docs.select(packed(docs).alias("_row"), F.col(id).alias("_own_id"), F.xxhash64(F.col(text)).alias("_mark"))

@@ -66,3 +66,30 @@ def test_stages_on_nulls_and_nothing(spark, folder):
         for _, stage in p.STAGES:
             rows = stage(spark, rows, folder)
         rows.collect()
+
+
+CLASHING = ["ids", "found", "kept", "quality", "base_failed", "n_words", "n_lines", "n_dropped", "n_shingles", "component_id", "size", "target", "copies", "taken", "mark", "_row", "_all", "_text", "_id", "_own"]
+
+
+def test_stages_with_clashing_columns_and_a_very_long_text(spark, folder):
+    schema = spark.read.parquet(f"{folder}/documents.parquet").schema
+    words = lambda a, n: " ".join(f"w{i}" for i in range(a, a + n))
+    shared = " ".join(f"s{i}" for i in range(12))  # a line of twelve documents
+    rows = [(i, f"{shared}\n{words(100 * i, 80)}", "en", "ab"[i % 2], 5) for i in range(12)]
+    rows += [(20, words(0, 100_000), "en", "a", 5), (20, words(0, 100_000), "en", "a", 5), (21, words(1, 100_000), "fr", "b", 5), (None, words(50_000, 60), None, None, None)]
+    plain = spark.createDataFrame(rows, schema)
+    clashing = plain.withColumns({c: F.struct(F.lit(i).alias("n")) if i % 3 == 0 else F.lit(c) for i, c in enumerate(CLASHING)})
+    for name, stage in p.STAGES:
+        out, more = stage(spark, plain, folder), stage(spark, clashing, folder)
+        if name == "bpe":
+            assert out.columns == more.columns
+        else:
+            assert out.columns == schema.names and more.columns == schema.names + CLASHING
+        known = [c for c in out.columns if c != "ids"]
+        count = lambda df: sorted(map(repr, df.select(*known, F.xxhash64("ids" if name == "bpe" else "text")).collect()))  # noqa: B023, E731
+        assert count(out) == count(more) and len(out.head(1)) == 1
+        if name == "line_dedup":
+            assert not out.where(F.col("text").contains(shared)).count() and out.where("doc_id < 12").count() == 12
+        if name == "minhash":
+            assert sorted((r.doc_id for r in out.select("doc_id").collect()), key=repr) == sorted([*range(12), 20, None], key=repr)
+        plain, clashing = out, more
