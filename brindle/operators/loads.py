@@ -11,9 +11,9 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, NullType, StringType, StructField, StructType
 
-from brindle.sources.ledger import absent, evolved, fitted
+from brindle.sources.ledger import absent, fitted
 from brindle.sources.scratch import scratch_folder
 
 
@@ -28,8 +28,15 @@ def numbered(df: DataFrame, partition: list[str], order_by: list[Column], name:
 
 
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Both by name: a column that one side lacks is null there. ``TypeError`` if a column's values would not fit the target's type."""
-    evolved(target.schema, batch.schema)
+    """Both by name: a column that one side lacks is null there; numbers and times widen to hold both.
+
+    Texts do not meet other types: ``TypeError`` up front, as a cast would fail only when rows are read.
+    """
+    kinds = {f.name: f.dataType for f in target.schema}
+    for f in batch.schema:
+        both = {kinds.get(f.name, f.dataType), f.dataType} - {NullType()}
+        if len(both) > 1 and any(isinstance(kind, StringType) for kind in both):
+            raise TypeError(f"column {f.name} holds {kinds[f.name].simpleString()}, not {f.dataType.simpleString()}")
     return target.unionByName(batch, allowMissingColumns=True)
 
 

@@ -121,6 +121,9 @@ def test_schema_evolution(spark, tmp_path):
     a, b = spark.createDataFrame([(1, "a"), (2, "b")], "id int, x string"), spark.createDataFrame([(2, 7)], "id long, y int")
     assert sorted(map(tuple, loads.append(a, b).collect()), key=str) == [(1, "a", None), (2, "b", None), (2, None, 7)]
     assert sorted(map(tuple, loads.upsert(a, b, ["id"], [F.col("y")]).collect())) == [(1, "a", None), (2, None, 7)]
+    with pytest.raises(TypeError, match="column x holds string, not int"):
+        loads.append(a, spark.createDataFrame([(3, 4)], "id int, x int"))
+    assert loads.append(a, spark.createDataFrame([(3, None)], "id int, x void")).where("x IS NULL").count() == 1
 
 
 def test_a_failed_move_keeps_the_old_content(spark, tmp_path, monkeypatch):
