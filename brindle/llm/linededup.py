@@ -38,8 +38,9 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep:
 
     ``dropped`` lists the runs of dropped lines, ``array<struct<start,end>>``, end exclusive, from 0. Keys of at least
     ``min_chars`` characters found in at least ``min_docs`` documents lose all their lines (``keep="none"``) or all but
-    the first by document id, mark and position (``keep="first"``). Rows that agree in id and text are one document,
-    however often they are repeated; a null id is an id like any other, first in order. Texts are split whole, however long. An empty table gives no rows.
+    the first by document id, mark and position (``keep="first"``). Documents are told by their ids: rows of one id count
+    as one document, however often they are repeated and whatever their texts, and each text loses its own lines; a null
+    id is an id like any other, first in order. Texts are split whole, however long. An empty table gives no rows.
     """
     spark = docs.sparkSession
     lines = docs.select(F.col(id).alias("id"), text_mark(F.col(text)).alias("mark"), F.posexplode(lines_of(F.col(text))).alias("pos", "line"))
@@ -57,8 +58,14 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep:
     frequent = per_slice.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.min("first").alias("first")).where(F.col("n") >= min_docs)
 
     # Back to the lines slice by slice, so that a frequent key's lines stay dealt to many tasks.
-    spread = frequent.select("h1", "h2", "first").join(per_slice.select("h1", "h2", "slice"), ["h1", "h2"])
-    hits = cut.join(spread, ["h1", "h2", "slice"])
+    def back(keys: DataFrame) -> DataFrame:
+        return cut.join(keys.select("h1", "h2", "first").join(per_slice.select("h1", "h2", "slice"), ["h1", "h2"]), ["h1", "h2", "slice"])
+
+    hits = back(frequent)
+    texts = hashed.groupBy("id").agg(F.min("mark").alias("x"), F.max("mark").alias("y"))
+    if not texts.where(F.col("x") != F.col("y")).isEmpty():  # counts so far are of texts, at least as many as ids
+        ids = hits.select("h1", "h2", "id").distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("ids")).where(F.col("ids") >= min_docs)
+        hits = back(frequent.join(staged(ids.select("h1", "h2"), "frequent-keys"), ["h1", "h2"]))
     if keep == "first":
         hits = hits.where(~F.col("first").eqNullSafe(F.struct("id", "mark", "pos")))
     hits = hits.select("id", "mark", "pos").distinct()

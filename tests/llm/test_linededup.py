@@ -52,6 +52,17 @@ def test_columns_null_ids_repeats_and_empty(spark, docs, no_docs):
     assert linededup.keep_bitmaps(df.where("doc_id < 3"), min_docs=3).count() == 0
 
 
+def test_an_id_with_several_texts_is_one_document(spark):
+    rows = [(i, f"shared\nown{i}") for i in range(9)] + [(8, "shared\nother")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert linededup.keep_bitmaps(df).count() == 0  # 10 texts, 9 documents
+    more = df.union(spark.createDataFrame([(None, "shared\nnone"), (8, "Shared ")], df.schema))
+    out = linededup.dedup_lines(more)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in out.collect()) == sorted([(i, f"own{i}") for i in range(9)] + [(8, "other"), (-1, "none"), (8, "")])
+    first = linededup.dedup_lines(more, keep="first")
+    assert [r.text for r in first.where("text LIKE '%hared%'").collect()] == ["shared\nnone"]
+
+
 def test_columns_of_any_name(spark):
     rows = [(i, "same line\nown%d" % i, "_id", "_runs", 7) for i in range(12)]
     df = spark.createDataFrame(rows, "doc_id long, text string, _id string, _runs string, n_dropped int")
