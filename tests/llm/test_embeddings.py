@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 
 from brindle.llm import embeddings
 
@@ -77,3 +78,26 @@ def test_very_large_and_very_small_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect()}
     assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+
+
+def test_vectors_go_only_to_tiles_in_which_they_may_link():
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(60, 64))
+    v[40] = v[3] * 2 + 0.01
+    codes = embeddings.quantised(v / np.linalg.norm(v, axis=1)[:, None])
+    batch = pa.record_batch([pa.array([list(x) for x in v]), pa.array([64] * 60, pa.int32()), pa.array(range(60))], ["v", "dim", "h1"])
+    coded = embeddings._code_batch(batch)
+    assert coded.column("q").to_pylist() == [x.tobytes() for x in codes[0]]
+    sides = pa.array([0] * 30 + [1] * 30, pa.int32())
+    for high, own, want in ((1, sides, [3, 40]), (0, pa.array([0] * 60, pa.int32()), [3, 40])):
+        table = pa.Table.from_batches([coded]).append_column("own", own)
+        table = table.append_column("low", pa.array([0] * 60)).append_column("high", pa.array([high] * 60))
+        assert embeddings._open(0.93, ["h1"])(table).column("h1").to_pylist() == want
+
+
+def test_lengths_that_differ_within_a_batch():
+    rows = [[1.0, 2.0], [3.0], [0.5, -1e300], [1e-310] * 5]
+    batch = pa.record_batch([pa.array([len(r) for r in rows], pa.int32()), pa.array(rows)], ["dim", "v"])
+    coded = embeddings._code_batch(batch).to_pydict()
+    assert [np.frombuffer(q, np.int8).tolist() for q in coded["q"]] == [[64, 127], [127], [0, -127], [127] * 5]
+    assert all(np.isfinite(coded[c]).all() for c in ("s", "a", "e"))
