@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from brindle.llm.common import bucketed, slices, staged
+from brindle.llm.common import bucketed, join_by_slices, slices, staged
 
 ORDER = 4
 #: What stands before a text: a code point that Unicode assigns to no character.
@@ -33,6 +33,8 @@ CHUNK, PART, SECTION = 8 << 20, 1 << 20, 1 << 20
 HELD_OUT = 2
 #: Held-out documents of a language that weigh as much as all languages together.
 DRAWN = 100
+#: A table with a row for each language is broadcast if it has at most so many; an unclean column may name any number.
+MOST_LANGUAGES = 10_000
 
 
 def name_of(lang: Column) -> Column:
@@ -193,7 +195,17 @@ def discounts(counts: DataFrame) -> DataFrame:
     return t.select("name", d(1), d(2), d(3))
 
 
-def train(counted: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+def few_languages(named: DataFrame) -> bool:
+    return named.select("name").distinct().limit(MOST_LANGUAGES + 1).count() <= MOST_LANGUAGES
+
+
+def by_language(rows: DataFrame, told: DataFrame, few: bool, spread: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``told``, a row for each language: broadcast where these are ``few``, else dealt by ``spread``
+    too, so that one language may have any share of the rows."""
+    return rows.join(F.broadcast(told), "name", how) if few else join_by_slices(rows, told, ["name"], spread, how)
+
+
+def train(counted: DataFrame, few: bool = False) -> tuple[list[DataFrame], list[DataFrame]]:
     """From ``name``, ``gram``, ``n``: of each order from 1 the probabilities ``name``, ``gram``, ``p``, and what a
     context leaves to the next lower order, ``name``, ``context``, ``g``."""
     counts = {ORDER: staged(counted, "ngrams")}
@@ -202,7 +214,7 @@ def train(counted: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         counts[n] = staged(counts[n + 1].groupBy("name", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "ngrams")
     known, left = [], []
     for n in range(1, ORDER + 1):
-        table = counts[n].join(F.broadcast(discounts(counts[n])), "name")
+        table = by_language(counts[n], discounts(counts[n]), few, "gram")
         cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         table = table.select("name", "gram", F.substring("gram", 1, n - 1).alias("context"), "n", cut.alias("cut"))
         of = staged(table.groupBy("name", "context").agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("g")), "contexts")
@@ -217,12 +229,12 @@ def train(counted: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     return known, left
 
 
-def look_up(wanted: DataFrame, known: list[DataFrame], left: list[DataFrame]) -> DataFrame:
+def look_up(wanted: DataFrame, known: list[DataFrame], left: list[DataFrame], few: bool = False) -> DataFrame:
     """``name``, ``gram``, ``p`` of the n-grams ``wanted`` (distinct ``name``, ``gram``) whose language has a model.
 
     Only those that an order has not seen go on to the next lower one.
     """
-    wanted = wanted.join(F.broadcast(left[0].select("name").distinct()), "name", "left_semi")
+    wanted = by_language(wanted, left[0].select("name").distinct(), few, "gram", "left_semi")
     told = []
     for n in range(ORDER, 0, -1):
         found = wanted.join(known[n - 1], ["name", "gram"], "left").withColumn("context", F.substring("gram", 1, n - 1))
@@ -236,7 +248,7 @@ def look_up(wanted: DataFrame, known: list[DataFrame], left: list[DataFrame]) ->
     return below
 
 
-def thresholds(trusted: DataFrame, quantile: float) -> DataFrame:
+def thresholds(trusted: DataFrame, quantile: float, few: bool = False) -> DataFrame:
     """``name``, ``threshold`` from ``name``, ``perplexity``, ``held`` of trusted documents.
 
     A language's limit is the quantile of those held out (of all where none is), in logarithms. With few of them that
@@ -244,10 +256,10 @@ def thresholds(trusted: DataFrame, quantile: float) -> DataFrame:
     of all languages; each distance is widened by one part in the root of the number of documents behind it.
     """
     some = trusted.groupBy("name").agg(F.max("held").alias("some"))  # here and below: a row for each language
-    held = trusted.join(F.broadcast(some), "name").where(F.col("held") | ~F.col("some"))
+    held = by_language(trusted, some, few, "perplexity").where(F.col("held") | ~F.col("some"))
     own = held.groupBy("name").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(F.log("perplexity"), q, 100_000).alias(c) for c, q in (("middle", 0.5), ("limit", quantile))])
     own = staged(own, "language-limits")
-    above, n = held.join(F.broadcast(own), "name").agg(F.percentile_approx(F.log("perplexity") - F.col("middle"), quantile, 100_000), F.count(F.lit(1))).first()
+    above, n = by_language(held, own, few, "perplexity").agg(F.percentile_approx(F.log("perplexity") - F.col("middle"), quantile, 100_000), F.count(F.lit(1))).first()
     widened = F.lit(above * (1 + n**-0.5) if n else 0.0)
     alone = (F.col("limit") - F.col("middle")) * (1 + F.pow("n", F.lit(-0.5)))
     share = F.col("n") / (F.col("n") + DRAWN)
@@ -270,21 +282,22 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, id: str =
     id_type = to_arrow_type(docs.schema[id].dataType)
     packed = rows.mapInArrow(_pack(id_type), f"chunk long, name string, uids array<long>, ids array<{kind}>, sizes array<int>, raw binary")
     chunks = bucketed(packed, "chunks", "chunk")
+    few = few_languages(chunks)
     places = chunks.select("chunk", "name", F.posexplode("ids").alias("place", "id")).where("id IS NOT NULL")
     places = places.join(good, "id", "left_semi").withColumn("held", held_out(F.col("id")))
     counted = places.groupBy("name").agg(F.min("held").alias("none"))  # a row for each language
-    places = places.join(F.broadcast(counted), "name").where(~F.col("held") | F.col("none"))
+    places = by_language(places, counted, few, "id").where(~F.col("held") | F.col("none"))
     trusted = places.groupBy("chunk").agg(F.collect_list("place").alias("trusted"))
     sent = chunks.select("chunk", "name", "sizes", "raw").join(trusted, "chunk", "left").mapInArrow(_send, "name string, gram string, chunk long, at int, n long")
     sent = staged(sent, "chunk-ngrams")
-    known, left = train(sent.where("n > 0").groupBy("name", "gram").agg(F.sum("n").alias("n")))
-    p = look_up(sent.select("name", "gram").distinct(), known, left)
+    known, left = train(sent.where("n > 0").groupBy("name", "gram").agg(F.sum("n").alias("n")), few)
+    p = look_up(sent.select("name", "gram").distinct(), known, left, few)
     told = sent.select("name", "gram", "chunk", "at").join(p, ["name", "gram"]).select("chunk", "at", F.log("p").cast("float").alias("log_p"))
     told = told.groupBy("chunk").agg(F.collect_list(F.struct("at", "log_p")).alias("told"))
     added = chunks.join(told, "chunk", "left").mapInArrow(_add_up, f"uid long, id {kind}, name string, log_p double, n long")
     whole = added.groupBy("uid", "id", "name").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
     scored = staged(whole.select("id", "name", "n", F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n"))).alias("perplexity")), "perplexities")
-    limits = thresholds(scored.where("perplexity IS NOT NULL").join(good, "id", "left_semi").select("name", "perplexity", held_out(F.col("id")).alias("held")), quantile)
+    limits = thresholds(scored.where("perplexity IS NOT NULL").join(good, "id", "left_semi").select("name", "perplexity", held_out(F.col("id")).alias("held")), quantile, few)
     kept = (F.col("n") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     of = F.when(F.col("name") != "-", F.expr("substring(name, 2)"))
-    return scored.join(F.broadcast(limits), "name", "left").select(F.col("id").alias(id), of.alias("lang"), "perplexity", "threshold", kept.alias("kept"))
+    return by_language(scored, limits, few, "id", "left").select(F.col("id").alias(id), of.alias("lang"), "perplexity", "threshold", kept.alias("kept"))

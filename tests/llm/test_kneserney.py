@@ -133,3 +133,13 @@ def test_null_and_text_ids(spark):
     df = spark.createDataFrame(rows, "doc_id string, text string, lang string")
     out = kneserney.judge(df, spark.createDataFrame([("x", 1, 0)], "doc_id string, quality int, toxic int")).collect()
     assert sorted((r.doc_id or "", r.kept) for r in out) == [("", True), ("x", True), ("x", True), ("y", False)]
+
+
+def test_any_number_of_languages(spark, docs, monkeypatch):
+    rows = docs.where("doc_id < 60").withColumn("lang", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("dirty "), "doc_id")).otherwise("en"))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 2)], "doc_id long, quality int, toxic int")
+    rounded = lambda out: sorted((r.doc_id, r.lang, r.kept, r.perplexity and round(r.perplexity, 3), r.threshold and round(r.threshold, 3)) for r in out.collect())
+    told = rounded(kneserney.judge(rows, labels))
+    monkeypatch.setattr(kneserney, "MOST_LANGUAGES", 5)  # beyond it nothing with a row for each is broadcast
+    monkeypatch.setattr(F, "broadcast", None)
+    assert rounded(kneserney.judge(rows, labels)) == told and {r[3] is None for r in told} == {False, True}
