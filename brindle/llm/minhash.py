@@ -14,8 +14,11 @@ Equal sets are one class, and no join makes pairs of the classes of a key:
 - tiles: the classes of a key that are still in different components are dealt into blocks, and every two blocks meet in
   a tile. There sketches tell which classes have a partner left (a pair belongs to the first key that both share);
   only those send their sets to a second tile, which returns links of a spanning forest. Pairs stay within a tile.
+  Of a key of several blocks, classes go first whose shingles are too much their own for any partner, and a component of
+  a block's size has blocks of its own, which do not meet each other.
 
-So a hot key is many tasks, and what is shuffled grows with a key's classes times its blocks, never with its pairs.
+So a hot key is many tasks, and what is shuffled grows with the classes of a key times the blocks of other components
+that may have partners, never with its pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm import textkernel as k
@@ -184,7 +187,7 @@ def by_tile(df: DataFrame, tile: list[str], fn: Callable[[pa.Table], pa.Table],
     return df.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(run, schema)
 
 
-def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
+def _sets(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
     return [np.frombuffer(x, k.U) for x in column.to_pylist()]
 
 
@@ -202,6 +205,15 @@ def linked(sets: list[np.ndarray], one: int, others: np.ndarray, percent: int) -
     return np.concatenate(out) if out else others
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of a set."""
+    for batch in batches:
+        sets = _sets(batch.column("shingles"))
+        for i, j in slices([len(s) for s in sets]):
+            repeat = pa.array(np.repeat(np.arange(i, j), [len(s) for s in sets[i:j]]))
+            yield pa.RecordBatch.from_arrays([batch.column("rep").take(repeat), batch.column("mark").take(repeat), _signed(np.concatenate(sets[i:j]))], names=["rep", "mark", "shingle"])
+
+
 def _star(percent: int):
     """A slice of a center's classes: ``a``, ``b`` of those linked with it."""
 
@@ -301,17 +313,64 @@ def star_links(shared: DataFrame, sets: DataFrame, percent: int, sketch_bits: in
     return by_tile(rows.join(sets.select("rep", "mark", "shingles"), ["rep", "mark"]), tile, _star(percent), f"a {kind}, b {kind}")
 
 
+def _blocks(rows: Column, shingles: Column) -> Column:
+    return F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """``placed`` without the keys whose classes are all in one component."""
+    keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(F.col("x") != F.col("y")).select("key")
+    return placed.join(keys, "key")
+
+
+def with_possible_partner(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``placed`` without classes that no class of their key can be linked with; keys of one block stay as they are.
+
+    A shingle that one class alone has, of all in keys of several blocks, is in no intersection. A class with ``shared``
+    others has a partner of at most ``shared * (100 + percent) / percent - size`` shingles, if the key has a set so small.
+    """
+    kind = placed.schema["rep"].dataType.simpleString()
+    keys = placed.groupBy("key").agg(_blocks(F.count(F.lit(1)), F.sum("size")).alias("blocks"), F.min("size").alias("least"))
+    keys = staged(keys.where("blocks > 1").select("key", "least"), "hot-keys")
+    if keys.isEmpty():
+        return placed
+    hot = placed.join(keys, "key").select("rep", "mark").distinct()
+    shingles = hot.join(sets.select("rep", "mark", "shingles"), ["rep", "mark"]).mapInArrow(_shingle_rows, f"rep {kind}, mark long, shingle long")
+    alone = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep"), F.min("mark").alias("mark")).where("n = 1")
+    alone = alone.groupBy("rep", "mark").agg(F.count(F.lit(1)).alias("alone"))
+    shared = F.col("size") - F.coalesce("alone", F.lit(0))
+    possible = F.col("least").isNull() | (shared * (100 + percent) >= percent * (F.col("size") + F.col("least")))
+    kept = placed.join(keys, "key", "left").join(alone, ["rep", "mark"], "left").where(possible)
+    return staged(_mixed(staged(kept.select(placed.columns), "possible")), "mixed-possible")
+
+
+def dealt_tiles(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``own``, a class's block, a row for each tile of two blocks ``low`` and ``high``.
+
+    Components that would fill a block have blocks of their own, which meet all blocks of the key but each other.
+    """
+    groups = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("shingles"))
+    large = (F.col("rows") >= BLOCK_ROWS) | (F.col("shingles") >= BLOCK_SHINGLES)
+    groups = groups.groupBy("key", F.when(large, F.col("component")).alias("of")).agg(_blocks(F.sum("rows"), F.sum("shingles")).alias("blocks"))
+    groups = groups.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("of", "blocks"))).alias("groups"))  # fewer than blocks
+    before = lambda i: F.aggregate(F.slice("groups", 1, i), F.lit(0), lambda n, g: n + g["blocks"])
+    groups = groups.select("key", F.transform("groups", lambda g, i: F.struct(g["of"], before(i).alias("start"), g["blocks"])).alias("groups"))
+    dealt = placed.join(groups, "key").withColumn("_own", F.get(F.filter("groups", lambda g: g["of"] == F.col("component")), F.lit(0)))
+    dealt = dealt.withColumn("_in", F.coalesce("_own", F.get(F.filter("groups", lambda g: g["of"].isNull()), F.lit(0))))
+    dealt = dealt.withColumn("own", F.col("_in.start") + F.pmod(F.xxhash64("rep", "mark"), F.col("_in.blocks")).cast("int"))
+    met = F.filter("groups", lambda g: ~g["of"].eqNullSafe(F.col("component")))
+    others = F.flatten(F.transform(met, lambda g: F.sequence(g["start"], g["start"] + g["blocks"] - 1)))
+    tiles = dealt.select(*placed.columns, "own", F.explode(others).alias("other"))
+    return tiles.select(*placed.columns, "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+
 def tile_links(shared: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, sketch_bits: int, long_bits: int) -> DataFrame:
     """``a``, ``b``: links between classes of one key whose components (``found``) differ so far."""
     kind = shared.schema["rep"].dataType.simpleString()
     placed = shared.join(found, shared["rep"] == found["node"], "left").select("key", "rep", "mark", F.coalesce("component", "rep").alias("component"))
     info = sets.select("rep", "mark", "size", "wide").join(classes.select("rep", "mark", "sketch", "parts"), ["rep", "mark"])
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(F.col("x") != F.col("y")).select("key")
-    placed = staged(placed.join(mixed, "key").join(info, ["rep", "mark"]), "mixed-keys")
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
-    dealt = placed.join(placed.groupBy("key").agg(blocks.alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("rep", "mark"), F.col("blocks")).cast("int"))
-    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "mark", "component", "size", "sketch", "parts", "wide")
+    placed = with_possible_partner(staged(_mixed(placed).join(info, ["rep", "mark"]), "mixed-keys"), sets, percent)
+    tiles = dealt_tiles(placed).select("key", "low", "high", "own", "rep", "mark", "component", "size", "sketch", "parts", "wide")
     tile = ["key", "low", "high"]
     active = staged(by_tile(tiles, tile, _with_partner(percent, sketch_bits, long_bits), tiles.schema), "tiles")
     return by_tile(active.join(sets.select("rep", "mark", "shingles"), ["rep", "mark"]), tile, _links(percent, sketch_bits, long_bits), f"a {kind}, b {kind}")

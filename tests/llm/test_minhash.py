@@ -76,6 +76,30 @@ def test_a_crowd_of_half_alike_copies(spark, monkeypatch):
     check(spark, df, 4, 85)
 
 
+def test_tiles_do_not_grow_with_the_square_of_a_crowd(spark, monkeypatch):
+    """A hot key's rows in tiles: those that share too little, and those in one large component, do not all meet."""
+    made, real = [], minhash.by_tile
+    rng, base = random.Random(12), [f"w{i}" for i in range(120)]
+
+    def counted(df, tile, fn, schema):
+        if "low" in tile and "wide" in df.columns and "shingles" not in df.columns:
+            made.append((df.count(), df.select("key", "rep", "mark").distinct().count()))
+        return real(df, tile, fn, schema)
+
+    monkeypatch.setattr(minhash, "by_tile", counted)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 6)
+    rows = []
+    for i in range(120):  # close copies, some far ones, and a few that are close to a far one alone
+        copy = list(base)
+        for at in rng.sample(range(120), 1 if i % 4 else 8):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    rows += [(200 + i, f"y {rows[4 * i][1]}") for i in range(3)]
+    check(spark, spark.createDataFrame(rows, "doc_id long, text string"), 4)
+    (tiles, classes), = made
+    assert tiles <= 6 * classes, (tiles, classes)
+
+
 def test_sketches_can_be_turned_off(spark):
     df = crowd(spark, 30)
     rows = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, 4, 80, sketch_bits=64, long_bits=1024).collect()}
