@@ -29,12 +29,15 @@ def _slots(keys: list[str]) -> list[Column]:
 
 
 def _add_indexed(df: DataFrame, path: str, keys: list[str]) -> dict[str, File]:
-    """Add files, and to ``{path}/index`` for each its least and greatest key and a Bloom filter of its keys."""
+    """Add files, and to ``{path}/index`` for each bounds of its keys and a Bloom filter of them."""
     spark, files = df.sparkSession, ledger.add_files(df, path, INDEXED)
     for folder in {name.split("/")[0] for name in files}:
         written = spark.read.schema(df.schema).parquet(f"{path}/files/{folder}").select(F.concat(F.lit(f"{folder}/"), "_metadata.file_name").alias("file"), *keys)
-        ends = written.groupBy("file").agg(F.min(F.struct(*keys)).alias("low"), F.max(F.struct(*keys)).alias("high"))
-        slot = written.select("file", F.explode(F.array(*_slots(keys))).alias("slot"))
+        # least and greatest of each key by itself: they bound the keys together, and fixed-width ones are aggregated without a sort
+        ends = written.groupBy("file").agg(*[F.min(k).alias(f"low{i}") for i, k in enumerate(keys)], *[F.max(k).alias(f"high{i}") for i, k in enumerate(keys)])
+        ends = ends.select("file", *[F.struct(*[F.col(f"{end}{i}").alias(k) for i, k in enumerate(keys)]).alias(end) for end in ("low", "high")])
+        # bitmaps are aggregated by a sort: of distinct slots, of which a file has BLOOM_BITS at most, not of all rows
+        slot = written.select("file", F.explode(F.array(*_slots(keys))).alias("slot")).distinct()
         # the two functions count slots from 1
         pieces = slot.groupBy("file", F.bitmap_bucket_number(F.col("slot") + 1).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits"))
         bloom = pieces.groupBy("file").agg(F.collect_list(F.struct("n", "bits")).alias("bloom"))  # of BLOOM_BITS in all

@@ -94,6 +94,27 @@ def test_filters_tell_files_apart_that_ranges_do_not(spark, tmp_path):
     assert stored.files_with_keys(spark, path, at, keys, ["k"]) == list(files.keys() - at.files.keys()) or len(stored.files_with_keys(spark, path, at, keys, ["k"])) == 1
 
 
+def test_an_index_sorts_no_more_than_slots(spark, tmp_path, monkeypatch):
+    """A task that indexes a file sorts distinct slots, not a row for each key and slot."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, real = [], DataFrameWriter.parquet
+
+    def planned(writer, path, *args, **options):
+        if "/index/" in path:
+            plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return real(writer, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", planned)
+    stored.create(spark.range(5000).select(F.col("id").alias("k"), (-F.col("id")).alias("j")), str(tmp_path), ["k", "j"], 2)
+    index = spark.read.parquet(f"{tmp_path}/index/*")
+    (plan,) = plans
+    for line in plan.splitlines():  # what is sorted comes from an aggregate that is hashed
+        assert "SortAggregate" not in line or "bitmap_construct_agg" in line, line
+    assert plan.count("keys=[file#") >= 2 and "slot" in plan.split("partial_bitmap_construct_agg")[1].split("HashAggregate")[1]
+    assert sorted((r.low.k, r.high.k, r.low.j, r.high.j) for r in index.collect())[0][0] == 0
+
+
 @pytest.mark.parametrize("probed", [20_000, 0])
 def test_upsert_by_two_keys_equals_a_dictionary(spark, tmp_path, monkeypatch, probed):
     monkeypatch.setattr(stored, "MOST_PROBED", probed)
