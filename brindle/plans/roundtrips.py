@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from datetime import datetime
 
@@ -17,6 +18,8 @@ from brindle.sources.scans import source
 from brindle.sources.scratch import scratch_folder
 from brindle.streaming.arrivals import file_stream, into, poll_files, process_files, read_log
 
+#: Rows of a large file.
+FILE_ROWS = 2_000_000
 CUSTOMER = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
 
@@ -380,16 +383,20 @@ def durable_increment(spark, sf_dir):
     """SELECT * FROM (VALUES ('after', true, true, true), ('before', false, true, true)) AS t(state, healthy, large_file_stays, rows_same)"""
 )
 def compacted_in_place(spark, sf_dir):
-    """A table with one large file and many small ones, before and after its small files are put together."""
+    """A table with large files and many small ones, before and after its small files are put together.
+
+    There are more files, not larger ones, where there are more rows, so that no task writes or reads more than a few of them.
+    """
     path, items = scratch_folder(spark, "lineitem"), source(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    stored.create(items, path, ["l_orderkey", "l_linenumber"], 1)
+    wanted = max(1, math.ceil(items.count() / FILE_ROWS))
+    stored.create(items, path, ["l_orderkey", "l_linenumber"], wanted)
     large = ledger.version(spark, path).files
-    small = max(f.bytes for f in large.values())
+    small = min(f.bytes for f in large.values())
     for rest in range(4):
-        ledger.append(items.where(F.col("l_linenumber") % 4 == rest).repartition(3), path)
+        ledger.append(items.where(F.col("l_linenumber") % 4 == rest).repartition(3 * wanted), path)
     before, rows = stored.health(spark, {"lineitem": path}, small), ledger.read(spark, path).count()
     before = before.collect()
-    done = stored.maintain(spark, {"lineitem": path}, small=small, target=1 << 30)
+    done = stored.maintain(spark, {"lineitem": path}, small=small, target=4 * small)
     after = stored.health(spark, {"lineitem": path}, small).collect()
     told = [(name, r.n_small <= 1, set(large) <= set(ledger.version(spark, path).files), r.n_rows == rows) for name, (r,) in (("before", before), ("after", after))]
     assert done == ["lineitem"]
