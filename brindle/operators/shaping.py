@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from brindle.functions.columns import maintenance_command
 
+#: Most bytes of a file that maintenance writes, a task each; the half of it is more than a small file has.
+#: What the task reads, not encoded by columns, is several times a file's size.
+TARGET_BYTES = 160 << 20
+
 
 def enrich(df: DataFrame) -> DataFrame:
     """All fields, ``value`` in upper case, ``transformed`` true; a null value stays null."""
@@ -73,7 +77,12 @@ def stored_bytes(df: DataFrame) -> int:
     return files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
 
 
-def maintain(candidates: DataFrame, folder: str, target: int = 256 << 20) -> list[str]:
+def files_for(df: DataFrame, target: int = TARGET_BYTES) -> int:
+    """How many files of about ``target`` bytes hold the rows of ``df``."""
+    return max(1, math.ceil(stored_bytes(df) / target))
+
+
+def maintain(candidates: DataFrame, folder: str, target: int = TARGET_BYTES) -> list[str]:
     """Work off maintenance candidates, the worst first; what was done.
 
     Each table is written as files of about ``target`` bytes below ``folder``, the catalog's entry is pointed there in one change, and statistics are
@@ -88,7 +97,7 @@ def maintain(candidates: DataFrame, folder: str, target: int = 256 << 20) -> lis
         if spark.catalog.tableExists(name):
             if not any(c.isPartition for c in spark.catalog.listColumns(name)):
                 place = f"{folder.rstrip('/')}/{schema}.{table}-{uuid.uuid4().hex}"
-                compact(spark.table(name), place, max(1, math.ceil(stored_bytes(spark.table(name)) / target)))
+                compact(spark.table(name), place, files_for(spark.table(name), target))
                 spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
                 spark.catalog.refreshTable(name)
             analyze(spark, name)

@@ -410,12 +410,14 @@ UNION ALL SELECT 'before', 'wide_orders', count(*), true FROM orders UNION ALL S
 def unhealthy_tables(spark, sf_dir):
     """Two tables of the catalog, before and after maintenance: the one with many small files and no statistics is mended."""
     orders, own = source(spark, sf_dir, "orders"), uuid.uuid4().hex[:12]
-    names = {f"default.wide_orders_{own}": orders.repartition(6), f"default.tidy_orders_{own}": orders.coalesce(1)}
+    names = wide, tidy = f"default.wide_orders_{own}", f"default.tidy_orders_{own}"
     told = []
     try:
-        for name, df in names.items():
+        # more files for more rows, not larger ones; by the source's bytes, as rows in other orders may take more
+        large = shaping.files_for(orders)
+        for name, df in ((wide, orders.repartition(6 * large)), (tidy, orders.repartition(large))):
             loads.materialize_table(df, name, scratch_folder(spark, "orders"))
-        shaping.analyze(spark, f"default.tidy_orders_{own}")
+        shaping.analyze(spark, tidy)
         for state in ("before", "after"):
             health = shaping.table_health(spark, list(names))
             sick = shaping.unhealthy(health)
